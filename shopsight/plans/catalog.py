@@ -116,7 +116,9 @@ def bot_session_filter(spark, d):
 
 def csv_roundtrip(spark, d):
     path = tables.scratch_path(use_utc(spark), "landing")
-    shop.shop_events_dirty(spark, d).select(*shop.RAW_TEXT_COLUMNS).write.option("header", True).csv(path)
+    shop.shop_events_dirty(spark, d).select(*shop.RAW_TEXT_COLUMNS).write.options(
+        header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
+    ).csv(path)
     return raw.read_checked_csv(spark, path)
 
 
