@@ -21,7 +21,8 @@ def blank_to_null(text: Column) -> Column:
 
 def category_part(code: Column, position: int) -> Column:
     """Zero-based part of a dotted code; null where the part is missing or empty."""
-    return F.nullif(F.get(F.split(code, r"\."), F.lit(position)), F.lit(""))
+    part = F.substring_index(code, ".", 1) if position == 0 else F.split_part(code, F.lit("."), F.lit(position + 1))
+    return F.nullif(part, F.lit(""))
 
 
 def is_type(event_type: str) -> Column:

@@ -38,6 +38,9 @@ def binary_metrics(scored: DataFrame, threshold: float = 0.5, group: tuple[str,
     pairs = (neg * (above * 2 + pos)).cast(wide)
     tp = F.col("pos_before") + F.col("pos")
     seen = tp + F.col("neg_before") + F.col("neg")
+    if not group:
+        whole = scored.withColumn("_all", F.lit(0))
+        return binary_metrics(whole, threshold, ("_all",)).drop("_all")
     curves = _by_score(scored, group).groupBy(*group).agg(
         F.sum(pairs).cast("double").alias("_area"),
         F.sum(F.col("pos") * (tp / seen)).alias("_precision_sum"),
@@ -45,10 +48,6 @@ def binary_metrics(scored: DataFrame, threshold: float = 0.5, group: tuple[str,
         F.max("neg_total").alias("_neg"),
     )
     cells = confusion(scored, threshold, group)
-    # One row per group; without groups the two single rows are joined on a constant.
-    on = list(group) or ["_one"]
-    if not group:
-        curves, cells = curves.withColumn("_one", F.lit(1)), cells.withColumn("_one", F.lit(1))
     precision = ratio(F.col("tp"), F.col("tp") + F.col("fp"))
     recall = ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     total = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
@@ -60,7 +59,7 @@ def binary_metrics(scored: DataFrame, threshold: float = 0.5, group: tuple[str,
         "recall": recall,
         "accuracy": ratio(F.col("tp") + F.col("tn"), total),
     }
-    return curves.join(cells, on).select(*group, *[F.round(v, 6).alias(k) for k, v in metrics.items()])
+    return curves.join(cells, list(group)).select(*group, *[F.round(v, 6).alias(k) for k, v in metrics.items()])
 
 
 def roc_curve(scored: DataFrame, group: tuple[str, ...] = ()) -> DataFrame:

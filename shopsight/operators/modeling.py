@@ -139,7 +139,7 @@ def cross_validate(name: str, data: Training, config: ModelConfig = ModelConfig(
         model = validator.fit(folded)
     finally:
         folded.unpersist()
-    return model.avgMetrics[0], model.stdMetrics[0]
+    return float(model.avgMetrics[0]), float(model.stdMetrics[0])
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:

@@ -1,28 +1,51 @@
 """Category opportunity, co-purchase affinity and per-user recommendations.
 
-`events` carry a `category` column (functions.events.with_category).
+Most functions read *demand*: rows with user_id, category and the additive measures `views`
+and `purchases`. `as_demand` makes one such row per event; `user_demand` adds them up to one
+row per user and category, the form to write once when several steps share it.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopsight.config import UpsellConfig
 from shopsight.functions.events import UNKNOWN, is_type
 from shopsight.functions.numbers import ratio
-from shopsight.operators.features import category_stats, user_categories
+from shopsight.operators.features import category_stats
 from shopsight.operators.ranking import running_totals
 from shopsight.sources.tables import materialise
 
 MASK_BITS = 62
 
 
-def _gap(alpha: float) -> Column:
+def as_demand(events: DataFrame, include_unknown: bool = False) -> DataFrame:
+    """Events with a `category` column (functions.events.with_category) as demand rows."""
+    known = events if include_unknown else events.filter(F.col("category") != UNKNOWN)
+    return known.select(
+        "user_id",
+        "category",
+        is_type("view").cast("long").alias("views"),
+        is_type("purchase").cast("long").alias("purchases"),
+    )
+
+
+def user_demand(demand: DataFrame) -> DataFrame:
+    return demand.groupBy("user_id", "category").agg(
+        F.sum("views").alias("views"), F.sum("purchases").alias("purchases")
+    )
+
+
+def _gap(alpha: float, views: str = "views", purchases: str = "purchases") -> Column:
     """Unmet demand: views not explained by alpha views per purchase."""
-    return F.greatest(F.col("total_views") - F.col("total_purchases") * F.lit(float(alpha)), F.lit(0.0))
+    return F.greatest(F.col(views) - F.col(purchases) * F.lit(float(alpha)), F.lit(0.0))
+
+
+def _per_category(demand: DataFrame) -> DataFrame:
+    return demand.groupBy("category").agg(F.sum("views").alias("views"), F.sum("purchases").alias("purchases"))
 
 
 def upsell_features(events: DataFrame, alpha: float = 8.0, min_views: int = 100) -> DataFrame:
@@ -31,52 +54,52 @@ def upsell_features(events: DataFrame, alpha: float = 8.0, min_views: int = 100)
         category_stats(events)
         .filter(F.col("total_views") >= min_views)
         .withColumn("conversion_rate", ratio(F.col("total_purchases"), F.col("total_views")))
-        .withColumn("opportunity_score", _gap(alpha))
+        .withColumn("opportunity_score", _gap(alpha, "total_views", "total_purchases"))
     )
 
 
-def category_opportunity(events: DataFrame, config: UpsellConfig = UpsellConfig()) -> DataFrame:
+def category_opportunity(demand: DataFrame, config: UpsellConfig = UpsellConfig()) -> DataFrame:
     """Opportunity scaled to [0, 1] over the categories kept; a constant gap scales to 0."""
-    kept = category_stats(events).filter(F.col("total_views") >= config.min_views).select(
+    kept = _per_category(demand).filter(F.col("views") >= config.min_views).select(
         "category",
-        F.col("total_views").alias("views"),
-        F.col("total_purchases").alias("purchases"),
+        "views",
+        "purchases",
         _gap(config.alpha).alias("gap_score"),
-        F.try_divide(F.col("total_purchases").cast("double"), F.col("total_views")).alias("conversion_rate"),
+        F.try_divide(F.col("purchases").cast("double"), F.col("views")).alias("conversion_rate"),
     )
     limits = kept.agg(F.struct(F.min("gap_score").alias("low"), F.max("gap_score").alias("high")).alias("_limits"))
     low, high = F.col("_limits.low"), F.col("_limits.high")
     scaled = F.when(high > low, (F.col("gap_score") - low) / (high - low)).otherwise(F.lit(0.0))
-    return (
-        kept.withColumn("_limits", limits.scalar()).withColumn("opportunity_score", scaled).drop("_limits")
-    )
+    return kept.withColumn("_limits", limits.scalar()).withColumn("opportunity_score", scaled).drop("_limits")
 
 
-def top_opportunities(events: DataFrame, config: UpsellConfig) -> DataFrame:
-    """The categories recommended from, best first: at most `top_categories` rows."""
-    return (
-        category_opportunity(events, config)
-        .orderBy(F.col("opportunity_score").desc(), "category")
-        .limit(config.top_categories)
-        .select("category", "opportunity_score")
-    )
+def top_opportunities(demand: DataFrame, config: UpsellConfig) -> DataFrame:
+    """The categories recommended from, best first in `idx`: at most `top_categories` rows."""
+    scored = category_opportunity(demand, config)
+    return _numbered(scored, F.col("opportunity_score"), config.top_categories)
 
 
-def opportunity_panel(events: DataFrame, alpha: float = 8.0, n: int = 10) -> DataFrame:
+def opportunity_panel(demand: DataFrame, alpha: float = 8.0, n: int = 10) -> DataFrame:
     """Top categories by unscaled opportunity, no minimum of views."""
-    scored = category_stats(events, include_unknown=True).select("category", _gap(alpha).alias("score"))
+    scored = _per_category(demand).select("category", _gap(alpha).alias("score"))
     return scored.orderBy(F.col("score").desc(), "category").limit(n)
 
 
-def top_purchased(events: DataFrame, n: int, include_unknown: bool = False) -> DataFrame:
-    """The n categories with most purchases, with a 0-based `idx`: at most n rows."""
-    bought = events.filter(is_type("purchase"))
-    if not include_unknown:
-        bought = bought.filter(F.col("category") != UNKNOWN)
-    counts = bought.groupBy("category").agg(F.count("*").alias("purchases"))
-    top = counts.orderBy(F.col("purchases").desc(), "category").limit(n)
-    listed = top.agg(F.sort_array(F.collect_list(F.struct((-F.col("purchases")).alias("o"), "category"))).alias("c"))
-    return listed.select(F.posexplode("c").alias("idx", "c")).select("idx", F.col("c.category").alias("category"))
+def top_purchased(demand: DataFrame, n: int) -> DataFrame:
+    """The n categories with most purchases, best first in `idx`: at most n rows."""
+    bought = _per_category(demand).filter(F.col("purchases") > 0)
+    return _numbered(bought, F.col("purchases"), n)
+
+
+def _numbered(rows: DataFrame, weight: Column, n: int) -> DataFrame:
+    """First n rows by descending weight, then category: (idx from 0, category, weight)."""
+    top = rows.select(weight.alias("weight"), "category").orderBy(F.col("weight").desc(), "category").limit(n)
+    ordered = F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("o"), "category", "weight")))
+    return top.agg(ordered.alias("c")).select(F.posexplode("c").alias("idx", "c")).select("idx", "c.category", "c.weight")
+
+
+def _bought(demand: DataFrame) -> DataFrame:
+    return demand.filter(F.col("purchases") > 0)
 
 
 def _mask_blocks(pairs: DataFrame, n_blocks: int) -> DataFrame:
@@ -129,11 +152,15 @@ def co_buyers(pairs: DataFrame, n: int) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def affinity_counts(events: DataFrame, n: int = 10) -> DataFrame:
+def affinity_counts(demand: DataFrame, n: int = 10) -> DataFrame:
     """Users who bought both, for every pair of the n most purchased categories (diagonal included)."""
-    top = top_purchased(events, n)
-    bought = events.filter(is_type("purchase")).join(F.broadcast(top), "category").select("user_id", "idx")
-    return _named(co_buyers(bought, n), F.broadcast(top))
+    return _counts_among(demand, top_purchased(demand, n), n)
+
+
+def _counts_among(demand: DataFrame, top: DataFrame, n: int) -> DataFrame:
+    top = F.broadcast(top)  # at most n rows
+    bought = _bought(demand).join(top, "category").select("user_id", "idx")
+    return _named(co_buyers(bought, n), top)
 
 
 def _named(counts: DataFrame, names: DataFrame) -> DataFrame:
@@ -142,24 +169,27 @@ def _named(counts: DataFrame, names: DataFrame) -> DataFrame:
     return counts.join(left, "x").join(right, "y").select("cat_x", "cat_y", "buyers")
 
 
-def affinity_matrix(events: DataFrame, n: int = 10, digits: int = 2) -> DataFrame:
+def affinity_matrix(demand: DataFrame, n: int = 10, digits: int = 2) -> DataFrame:
     """Co-buyers as a share of the row total, in percent, and as P(bought y | bought x)."""
-    counts = affinity_counts(events, n)
-    rows = counts.groupBy(F.col("cat_x").alias("cat_x")).agg(
-        F.sum("buyers").alias("_row"), F.max(F.when(F.col("cat_x") == F.col("cat_y"), F.col("buyers"))).alias("_own")
-    )
-    return counts.join(F.broadcast(rows), "cat_x").select(  # n rows
+    return _as_shares(affinity_counts(demand, n), digits)
+
+
+def _as_shares(counts: DataFrame, digits: int) -> DataFrame:
+    row = Window.partitionBy("cat_x")
+    own = F.max(F.when(F.col("cat_x") == F.col("cat_y"), F.col("buyers"))).over(row)
+    share = F.lit(100) * F.col("buyers") / F.greatest(F.sum("buyers").over(row), F.lit(1))
+    return counts.select(
         "cat_x",
         "cat_y",
         "buyers",
-        F.round(F.lit(100) * F.col("buyers") / F.greatest("_row", F.lit(1)), digits).alias("affinity_pct"),
-        (F.col("buyers") / F.col("_own")).alias("conditional_prob"),
+        F.round(share, digits).alias("affinity_pct"),
+        (F.col("buyers") / own).alias("conditional_prob"),
     )
 
 
-def copurchase_pairs(events: DataFrame) -> DataFrame:
-    """Buyers shared by every two different known categories, whole catalogue."""
-    owned = materialise(user_categories(events), "owned")
+def copurchase_pairs(demand: DataFrame) -> DataFrame:
+    """Buyers shared by every two different categories, whole catalogue."""
+    owned = materialise(_owned(demand), "owned")
     catalogue = running_totals(
         owned.select("category").distinct().withColumn("n", F.lit(1).cast("long")), ["category"], ["n"]
     ).select(F.col("n_before").alias("idx"), "category")
@@ -171,117 +201,104 @@ def copurchase_pairs(events: DataFrame) -> DataFrame:
     return _named(counts.filter((F.col("x") != F.col("y")) & (F.col("buyers") > 0)), catalogue)
 
 
-def copurchase_support(events: DataFrame) -> DataFrame:
+def _owned(demand: DataFrame) -> DataFrame:
+    return _bought(demand).select("user_id", "category").distinct()
+
+
+def copurchase_support(demand: DataFrame) -> DataFrame:
     """Per user and category bought: the number of the user's other categories.
 
     Equals counting a self-join on user with different category, without the join: each of
     the k categories of a user meets the k - 1 others.
     """
-    owned = user_categories(events)
+    owned = _owned(demand)
     sizes = owned.groupBy("user_id").agg((F.count("*") - 1).alias("shared_buyers")).filter("shared_buyers > 0")
     return owned.join(sizes, "user_id").select("user_id", F.col("category").alias("target_category"), "shared_buyers")
 
 
-def _candidates(events: DataFrame, config: UpsellConfig) -> DataFrame:
+def _candidates(opportunities: DataFrame, lenders: DataFrame, affinity: DataFrame, config: UpsellConfig) -> DataFrame:
     """One row holding an array of at most `top_categories` candidate structs, best first.
 
-    Every candidate knows its bit in the user masks and the affinity (in hundredths of a
-    percent) that each of the `affinity_top` categories lends to it.
+    Every candidate knows its bit in the user masks and the affinity (in its last digit)
+    that each of the `affinity_top` categories lends to it.
     """
-    scale = 10**config.affinity_digits
+    amount = F.round(F.col("affinity_pct") * 10**config.affinity_digits).cast("long")
     lent = (
-        affinity_matrix(events, config.affinity_top, config.affinity_digits)
-        .join(F.broadcast(top_purchased(events, config.affinity_top)).withColumnRenamed("category", "cat_x"), "cat_x")
+        affinity.join(F.broadcast(lenders.withColumnRenamed("category", "cat_x")), "cat_x")
         .groupBy(F.col("cat_y").alias("category"))
-        .agg(
-            F.collect_list(
-                F.struct(
-                    (F.col("idx") + config.top_categories).alias("bit"),
-                    F.round(F.col("affinity_pct") * scale).cast("long").alias("amount"),
-                )
-            ).alias("lent")
-        )
-    )
-    ranked = top_opportunities(events, config).join(F.broadcast(lent), "category", "left")
-    fields = F.struct(
-        (-F.col("opportunity_score")).alias("order"), "category", F.col("opportunity_score").alias("opportunity"), "lent"
+        .agg(F.collect_list(F.struct((F.col("idx") + config.top_categories).alias("bit"), amount.alias("amount"))).alias("lent"))
     )
-    listed = ranked.agg(F.sort_array(F.collect_list(fields)).alias("listed"))
-    return listed.select(F.transform("listed", lambda c, i: c.withField("bit", i)).alias("candidates"))
+    fields = F.struct(F.col("idx").alias("bit"), "category", F.col("weight").alias("opportunity"), "lent")
+    ranked = opportunities.join(F.broadcast(lent), "category", "left")
+    return ranked.agg(F.sort_array(F.collect_list(fields)).alias("candidates"))
 
 
-def _user_masks(events: DataFrame, config: UpsellConfig) -> DataFrame:
-    """Per buyer, bits for bought candidate categories and bought affinity categories."""
-    as_candidate = _positions(top_opportunities(events, config))
-    as_lender = top_purchased(events, config.affinity_top).select(
-        (F.col("idx") + config.top_categories).alias("idx"), "category"
-    )
-    bits = as_candidate.unionByName(as_lender)
+def _offers(demand: DataFrame, rfm: DataFrame, config: UpsellConfig) -> DataFrame:
+    """Per scored user: a mask of bought categories and the array of candidates not yet bought.
+
+    The events are read once, into one row per user and category. The category tables that
+    follow are bounded by the configuration; each is written so that it is computed once.
+    """
     if config.top_categories + config.affinity_top > MASK_BITS:
         raise ValueError(f"top_categories + affinity_top must not exceed {MASK_BITS}")
-    bought = events.filter(is_type("purchase")).join(F.broadcast(bits), "category").select("user_id", "idx")
-    return _mask_blocks(bought, 1).withColumnRenamed("m0", "mask")
-
-
-def _positions(opportunities: DataFrame) -> DataFrame:
-    fields = F.struct((-F.col("opportunity_score")).alias("order"), "category")
-    listed = opportunities.agg(F.sort_array(F.collect_list(fields)).alias("c"))
-    return listed.select(F.posexplode("c").alias("idx", "c")).select("idx", F.col("c.category").alias("category"))
-
-
-def _offers(events: DataFrame, rfm: DataFrame, config: UpsellConfig) -> DataFrame:
-    """Per scored user, the array of not yet bought candidates."""
-    masks = _user_masks(events, config)
+    demand = materialise(user_demand(demand), "user-demand")
+    opportunities = materialise(top_opportunities(demand, config), "opportunities")
+    lenders = materialise(top_purchased(demand, config.affinity_top), "lenders")
+    affinity = _as_shares(_counts_among(demand, lenders, config.affinity_top), config.affinity_digits)
+    candidates = materialise(_candidates(opportunities, lenders, affinity, config), "candidates")
+
+    bits = opportunities.select("category", "idx").unionByName(
+        lenders.select("category", (F.col("idx") + config.top_categories).alias("idx"))
+    )
+    marked = _bought(demand).join(F.broadcast(bits), "category").select("user_id", "idx")
+    masks = _mask_blocks(marked, 1).withColumnRenamed("m0", "mask")
     users = rfm.select("user_id", "rfm_score").join(masks, "user_id", "left").fillna(0, ["mask"])
-    with_all = users.withColumn("_all", _candidates(events, config).scalar())
+    with_all = users.withColumn("_all", candidates.scalar())
     return with_all.withColumn("offers", F.filter("_all", lambda c: ~_has_bit(F.col("mask"), c["bit"])))
 
 
-def upsell_candidates(events: DataFrame, rfm: DataFrame, config: UpsellConfig = UpsellConfig()) -> DataFrame:
+def upsell_candidates(demand: DataFrame, rfm: DataFrame, config: UpsellConfig = UpsellConfig()) -> DataFrame:
     """Scored users x top categories, minus what each user bought."""
-    offers = _offers(events, rfm, config).select("user_id", F.explode("offers").alias("c"))
+    offers = _offers(demand, rfm, config).select("user_id", F.explode("offers").alias("c"))
     return offers.select("user_id", "c.category", (F.col("c.bit") + 1).alias("opportunity_rank"))
 
 
 def user_scores(
-    events: DataFrame, rfm: DataFrame, config: UpsellConfig = UpsellConfig(), top_k: int | None = None
+    demand: DataFrame, rfm: DataFrame, config: UpsellConfig = UpsellConfig(), top_k: int | None = None
 ) -> DataFrame:
     """Weighted opportunity, affinity and customer value per user and candidate category.
 
     The candidates of a user are an array of bounded length inside one row, so scoring,
     ranking and keeping the best k need no shuffle after the users are assembled.
     """
-    scale = 10**config.affinity_digits
+    full_affinity = F.lit(100.0 * 10**config.affinity_digits)
     weight = F.col("rfm_score") / F.lit(15.0)
 
     def score(c: Column) -> Column:
-        amount = F.aggregate(
-            F.filter(F.coalesce(c["lent"], F.array().cast("array<struct<bit:int,amount:bigint>>")),
-                     lambda e: _has_bit(F.col("mask"), e["bit"])),
-            F.lit(0).cast("long"),
-            lambda total, e: total + e["amount"],
-        )
-        affinity = F.least(amount / F.lit(100.0 * scale), F.lit(1.0))
-        combined = (
+        nothing = F.array().cast("array<struct<bit:int,amount:bigint>>")
+        lent = F.filter(F.coalesce(c["lent"], nothing), lambda e: _has_bit(F.col("mask"), e["bit"]))
+        amount = F.aggregate(lent, F.lit(0).cast("long"), lambda total, e: total + e["amount"])
+        affinity = F.least(amount / full_affinity, F.lit(1.0))
+        combined = F.round(
             F.lit(config.opportunity_weight) * c["opportunity"]
             + F.lit(config.affinity_weight) * affinity
-            + F.lit(config.rfm_weight) * weight
+            + F.lit(config.rfm_weight) * weight,
+            4,
         )
-        rounded = F.round(combined, 4)
         return F.struct(
-            (-rounded).alias("order"),
+            (-combined).alias("order"),
             c["bit"].alias("bit"),
             c["category"].alias("category"),
             F.round(c["opportunity"], 4).alias("opportunity"),
             F.round(affinity, 4).alias("affinity"),
             F.round(weight, 4).alias("rfm_weight"),
-            rounded.alias("upsell_score"),
+            combined.alias("upsell_score"),
         )
 
     scored = F.array_sort(F.transform("offers", score))
     if top_k is not None:
         scored = F.slice(scored, 1, top_k)
-    offers = _offers(events, rfm, config).select("user_id", F.posexplode(scored).alias("_i", "c"))
+    offers = _offers(demand, rfm, config).select("user_id", F.posexplode(scored).alias("_i", "c"))
     return offers.select(
         "user_id",
         (F.col("_i") + 1).alias("rank"),
@@ -293,6 +310,6 @@ def user_scores(
     )
 
 
-def upsell_top_k(events: DataFrame, rfm: DataFrame, config: UpsellConfig = UpsellConfig()) -> DataFrame:
+def upsell_top_k(demand: DataFrame, rfm: DataFrame, config: UpsellConfig = UpsellConfig()) -> DataFrame:
     """The best `top_k` recommendations per user; equal scores go by opportunity rank."""
-    return user_scores(events, rfm, config, config.top_k)
+    return user_scores(demand, rfm, config, config.top_k)

@@ -56,6 +56,10 @@ def _bronze(spark, d):
     return bronze.clean_events(shop.shop_events_dirty(spark, d))
 
 
+def _demand(spark, d, include_unknown=False):
+    return upsell.as_demand(_events(spark, d, "full"), include_unknown)
+
+
 def _as_bronze(spark, d):
     """Clean events in bronze form."""
     return with_time_parts(_events(spark, d)).withColumn("price_raw", F.col("price")).drop("event_id")
@@ -209,9 +213,9 @@ def score_overview(spark, d):
 
 def score_lookup_batch(spark, d):
     """Every customer asks; those without events are answered as not found."""
-    requested = use_utc(spark).read.parquet(f"{d}/customer.parquet").select(F.col("c_custkey").alias("user_id"))
+    requested = shop.customers(spark, d)
     scores = tables.materialise(_event_rfm(spark, d), "event-rfm")
-    recommended = upsell.upsell_top_k(_events(spark, d, "full"), scores, UPSELL)
+    recommended = upsell.upsell_top_k(_demand(spark, d), scores, UPSELL)
     return scoring.lookup_scores(requested, _rule_scores(spark, d), scores, recommended)
 
 
@@ -232,7 +236,7 @@ def hash_sample(spark, d):
 
 
 def _recommend(spark, d, build):
-    return build(_events(spark, d, "full"), _event_rfm(spark, d), UPSELL)
+    return build(_demand(spark, d), _event_rfm(spark, d), UPSELL)
 
 
 def upsell_scores_published(spark, d):
@@ -255,7 +259,7 @@ def panel_tiers(spark, d):
 
 def panel_contract(spark, d):
     panels = dashboard.build_panels(_events(spark, d), "full")
-    panels["affinity_matrix"] = upsell.affinity_matrix(_events(spark, d, "full"), 8, 1)
+    panels["affinity_matrix"] = upsell.affinity_matrix(_demand(spark, d), 8, 1)
     panels["segments"] = segment_counts(spark, d)
     minimum = {"weekday_hour_heatmap": 168, "affinity_matrix": 64, "segments": 4}
     return quality.panel_contract(panels, minimum)
@@ -308,9 +312,8 @@ def churn_scores(spark, d):
 
 
 def _stream(spark, d):
-    path = f"{d}/events.parquet"
-    schema = use_utc(spark).read.parquet(path).schema
-    return jobs.event_stream(spark, f"{d}/events.parque[t]", schema)
+    """The event table as a stream; the pattern lets the table be one file or a folder of files."""
+    return jobs.event_stream(use_utc(spark), f"{d}/events.parque[t]", shop.TABLE_SCHEMAS["events"])
 
 
 def _finished(spark, stream, label, partitions=()):
@@ -374,12 +377,12 @@ def queries() -> dict[str, Query]:
         "churn_labels": lambda s, d: churn.churn_labels(_events(s, d), EVENTS_CHURN),
         "user_category_bought": lambda s, d: features.user_categories(_events(s, d, "full")),
         "upsell_features": lambda s, d: upsell.upsell_features(_events(s, d, "root"), 1.0, 300),
-        "category_opportunity_scaled": lambda s, d: upsell.category_opportunity(_events(s, d, "full"), UPSELL),
-        "upsell_panel": lambda s, d: upsell.opportunity_panel(_events(s, d, "full"), 1.0),
-        "affinity_counts": lambda s, d: upsell.affinity_counts(_events(s, d, "full"), 10),
-        "category_affinity": lambda s, d: upsell.affinity_matrix(_events(s, d, "full"), 10, 2),
-        "category_copurchase_pairs": lambda s, d: upsell.copurchase_pairs(_events(s, d, "full")),
-        "category_copurchase_support": lambda s, d: upsell.copurchase_support(_events(s, d, "full")),
+        "category_opportunity_scaled": lambda s, d: upsell.category_opportunity(_demand(s, d), UPSELL),
+        "upsell_panel": lambda s, d: upsell.opportunity_panel(_demand(s, d, include_unknown=True), 1.0),
+        "affinity_counts": lambda s, d: upsell.affinity_counts(_demand(s, d), 10),
+        "category_affinity": lambda s, d: upsell.affinity_matrix(_demand(s, d), 10, 2),
+        "category_copurchase_pairs": lambda s, d: upsell.copurchase_pairs(_demand(s, d)),
+        "category_copurchase_support": lambda s, d: upsell.copurchase_support(_demand(s, d)),
         "upsell_candidates": lambda s, d: _recommend(s, d, upsell.upsell_candidates),
         "upsell_scores": lambda s, d: _recommend(s, d, upsell.user_scores),
         "upsell_top_k": lambda s, d: _recommend(s, d, upsell.upsell_top_k),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shopsight.config import ModelConfig, UpsellConfig
 from shopsight.operators import modeling
-from shopsight.operators.upsell import upsell_top_k
+from shopsight.operators.upsell import as_demand, upsell_top_k
 from shopsight.sources import tables
 
 
@@ -52,4 +52,4 @@ def score_and_publish(
 ) -> None:
     """Daily scoring: churn scores of all users and their recommendations."""
     tables.publish(modeling.score_users(features, champion_path), f"{folder}/churn_scores")
-    tables.publish(upsell_top_k(events, rfm, config), f"{folder}/upsell_scores")
+    tables.publish(upsell_top_k(as_demand(events), rfm, config), f"{folder}/upsell_scores")

@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from shopsight.config import EVENT_TYPES
 from shopsight.session import use_utc
 
+# Columns of the given tables that are used here. Declared, so that reading
+# starts no job to infer them.
+TABLE_SCHEMAS = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "part": "p_partkey long, p_name string, p_brand string, p_type string",
+    "orders": "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz",
+    "lineitem": "l_orderkey long, l_partkey long, l_extendedprice double",
+    "customer": "c_custkey long",
+}
 RAW_TEXT_COLUMNS = (
     "event_time",
     "event_type",
@@ -22,7 +31,7 @@ RAW_TEXT_COLUMNS = (
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return use_utc(spark).read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,8 +72,8 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def shop_purchases(spark: SparkSession, sf_dir: str, with_product: bool = True) -> DataFrame:
     """One purchase event per order line. Without product columns the part join is left out."""
-    lines = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_extendedprice")
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    lines = _table(spark, sf_dir, "lineitem")
+    orders = _table(spark, sf_dir, "orders")
     purchases = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
         F.col("o_orderdate").cast("timestamp").alias("event_time"),
         F.lit("purchase").alias("event_type"),
@@ -78,6 +87,10 @@ def shop_purchases(spark: SparkSession, sf_dir: str, with_product: bool = True)
     return purchases
 
 
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+
+
 def _every(n: int) -> Column:
     return F.col("event_id") % n == 0
 
