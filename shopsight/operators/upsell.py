@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from shopsight.config import UpsellConfig
@@ -73,10 +73,10 @@ def category_opportunity(demand: DataFrame, config: UpsellConfig = UpsellConfig(
     return kept.withColumn("_limits", limits.scalar()).withColumn("opportunity_score", scaled).drop("_limits")
 
 
-def top_opportunities(demand: DataFrame, config: UpsellConfig) -> DataFrame:
-    """The categories recommended from, best first in `idx`: at most `top_categories` rows."""
-    scored = category_opportunity(demand, config)
-    return _numbered(scored, F.col("opportunity_score"), config.top_categories)
+def _by_opportunity(demand: DataFrame, config: UpsellConfig) -> list[Row]:
+    """The categories recommended from, best first: at most `top_categories` rows."""
+    scored = category_opportunity(demand, config).select("category", "opportunity_score")
+    return scored.orderBy(F.col("opportunity_score").desc(), "category").take(config.top_categories)
 
 
 def opportunity_panel(demand: DataFrame, alpha: float = 8.0, n: int = 10) -> DataFrame:
@@ -85,88 +85,63 @@ def opportunity_panel(demand: DataFrame, alpha: float = 8.0, n: int = 10) -> Dat
     return scored.orderBy(F.col("score").desc(), "category").limit(n)
 
 
-def top_purchased(demand: DataFrame, n: int) -> DataFrame:
-    """The n categories with most purchases, best first in `idx`: at most n rows."""
-    bought = _per_category(demand).filter(F.col("purchases") > 0)
-    return _numbered(bought, F.col("purchases"), n)
+def top_purchased(demand: DataFrame, n: int) -> list[str]:
+    """Names of the n categories with most purchases, best first."""
+    bought = _per_category(demand).filter("purchases > 0")
+    return [row["category"] for row in bought.orderBy(F.col("purchases").desc(), "category").take(n)]
 
 
-def _numbered(rows: DataFrame, weight: Column, n: int) -> DataFrame:
-    """First n rows by descending weight, then category: (idx from 0, category, weight)."""
-    top = rows.select(weight.alias("weight"), "category").orderBy(F.col("weight").desc(), "category").limit(n)
-    ordered = F.sort_array(F.collect_list(F.struct((-F.col("weight")).alias("o"), "category", "weight")))
-    return top.agg(ordered.alias("c")).select(F.posexplode("c").alias("idx", "c")).select("idx", "c.category", "c.weight")
-
-
-def _bought(demand: DataFrame) -> DataFrame:
-    return demand.filter(F.col("purchases") > 0)
-
-
-def _mask_blocks(pairs: DataFrame, n_blocks: int) -> DataFrame:
-    """(user_id, idx) to one bit set per user, in blocks of MASK_BITS bits.
-
-    bit_or combines before the shuffle and ignores repeats, so neither a hot user nor a
-    repeated purchase weighs more than one row per task.
-    """
-    bit = F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("idx") % MASK_BITS).cast("int"))
-    block = F.floor(F.col("idx") / MASK_BITS)
-    return pairs.groupBy("user_id").agg(
-        *[F.coalesce(F.bit_or(F.when(block == b, bit)), F.lit(0).cast("long")).alias(f"m{b}") for b in range(n_blocks)]
-    )
-
-
-def _has_bit(block: Column, position: Column) -> Column:
-    return F.call_function("shiftright", block, position.cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
+def _position(names: list[str]) -> Column:
+    """0-based position of `category` in a short list of names, -1 if absent."""
+    return F.array_position(F.lit(names), F.col("category")) - 1 if names else F.lit(-1).cast("long")
 
 
 def co_buyers(pairs: DataFrame, n: int) -> DataFrame:
-    """(x, y, buyers) for category indexes below n, from (user_id, idx) rows.
+    """(x, y, buyers) for category positions below n, from (user_id, idx) rows.
 
-    No pairs are emitted per user. Users collapse to distinct baskets with a count; a basket
-    then yields one row per category it holds, and the other side is n conditional sums.
+    No pairs are emitted per user. Users collapse to bit sets (bit_or combines before the
+    shuffle and ignores repeats), bit sets to distinct baskets with a count; a basket then
+    yields one row per category it holds, and the other side is a conditional sum per category.
     """
-    n_blocks = -(-n // MASK_BITS)
-    blocks = [f"m{b}" for b in range(n_blocks)]
-    baskets = _mask_blocks(pairs, n_blocks).groupBy(*blocks).agg(F.count("*").alias("users"))
-    if n_blocks > 1:
-        baskets = materialise(baskets, "baskets")
-
-    def held(block: int, first: int) -> Column:
-        positions = F.array(*[F.lit(i) for i in range(min(MASK_BITS, n - first))])
-        return F.transform(
-            F.filter(positions, lambda p: _has_bit(F.col(f"m{block}"), p)), lambda p: p + F.lit(first)
-        )
-
     firsts = range(0, n, MASK_BITS)
-    items = baskets.withColumn("x", F.explode(F.concat(*[held(b, first) for b, first in enumerate(firsts)])))
+    blocks = {f"m{first // MASK_BITS}": first for first in firsts}
+    masks = [
+        F.expr(
+            f"coalesce(bit_or(if(idx div {MASK_BITS} = {first // MASK_BITS}, "
+            f"shiftleft(1L, cast(idx % {MASK_BITS} as int)), 0L)), 0L)"
+        ).alias(m)
+        for m, first in blocks.items()
+    ]
+    baskets = pairs.groupBy("user_id").agg(*masks).groupBy(*blocks).agg(F.count("*").alias("users"))
+    if len(blocks) > 1:
+        baskets = materialise(baskets, "baskets")
+    held = [
+        f"transform(filter(sequence(0, {min(MASK_BITS, n - first) - 1}), i -> (shiftright({m}, i) & 1L) = 1L), i -> i + {first})"
+        for m, first in blocks.items()
+    ]
+    items = baskets.withColumn("x", F.expr(f"explode(concat({', '.join(held)}))"))
     parts = []
-    for b, first in enumerate(firsts):
-        ys = range(first, min(first + MASK_BITS, n))
-        sums = [F.sum(F.when(_has_bit(F.col(f"m{b}"), F.lit(y - first)), F.col("users")).otherwise(0)) for y in ys]
-        wide = items.groupBy("x").agg(F.array(*sums).alias("buyers"))
-        parts.append(
-            wide.select("x", F.posexplode("buyers").alias("_i", "buyers")).select(
-                "x", (F.col("_i") + first).alias("y"), "buyers"
-            )
-        )
+    for m, first in blocks.items():
+        sums = [f"sum(if((shiftright({m}, {i}) & 1L) = 1L, users, 0L))" for i in range(min(MASK_BITS, n - first))]
+        wide = items.groupBy("x").agg(F.expr(f"array({', '.join(sums)})").alias("b"))
+        parts.append(wide.selectExpr("x", "posexplode(b) as (i, buyers)").selectExpr("x", f"i + {first} as y", "buyers"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def affinity_counts(demand: DataFrame, n: int = 10) -> DataFrame:
     """Users who bought both, for every pair of the n most purchased categories (diagonal included)."""
-    return _counts_among(demand, top_purchased(demand, n), n)
+    return _counts_among(demand, top_purchased(demand, n))
 
 
-def _counts_among(demand: DataFrame, top: DataFrame, n: int) -> DataFrame:
-    top = F.broadcast(top)  # at most n rows
-    bought = _bought(demand).join(top, "category").select("user_id", "idx")
-    return _named(co_buyers(bought, n), top)
+def _counts_among(demand: DataFrame, names: list[str]) -> DataFrame:
+    marked = _bought(demand).select("user_id", _position(names).alias("idx")).filter("idx >= 0")
+    counts = co_buyers(marked, max(len(names), 1))
+    listed = F.lit(names) if names else F.array().cast("array<string>")
+    return counts.select(F.get(listed, "x").alias("cat_x"), F.get(listed, "y").alias("cat_y"), "buyers")
 
 
-def _named(counts: DataFrame, names: DataFrame) -> DataFrame:
-    left = names.select(F.col("idx").alias("x"), F.col("category").alias("cat_x"))
-    right = names.select(F.col("idx").alias("y"), F.col("category").alias("cat_y"))
-    return counts.join(left, "x").join(right, "y").select("cat_x", "cat_y", "buyers")
+def _bought(demand: DataFrame) -> DataFrame:
+    return demand.filter("purchases > 0")
 
 
 def affinity_matrix(demand: DataFrame, n: int = 10, digits: int = 2) -> DataFrame:
@@ -198,7 +173,10 @@ def copurchase_pairs(demand: DataFrame) -> DataFrame:
     if n == 0:
         return owned.sparkSession.createDataFrame([], "cat_x string, cat_y string, buyers long")
     counts = co_buyers(owned.join(catalogue, "category").select("user_id", "idx"), n)
-    return _named(counts.filter((F.col("x") != F.col("y")) & (F.col("buyers") > 0)), catalogue)
+    left = catalogue.select(F.col("idx").alias("x"), F.col("category").alias("cat_x"))
+    right = catalogue.select(F.col("idx").alias("y"), F.col("category").alias("cat_y"))
+    shared = counts.filter("x <> y and buyers > 0")
+    return shared.join(left, "x").join(right, "y").select("cat_x", "cat_y", "buyers")
 
 
 def _owned(demand: DataFrame) -> DataFrame:
@@ -216,51 +194,45 @@ def copurchase_support(demand: DataFrame) -> DataFrame:
     return owned.join(sizes, "user_id").select("user_id", F.col("category").alias("target_category"), "shared_buyers")
 
 
-def _candidates(opportunities: DataFrame, lenders: DataFrame, affinity: DataFrame, config: UpsellConfig) -> DataFrame:
-    """One row holding an array of at most `top_categories` candidate structs, best first.
-
-    Every candidate knows its bit in the user masks and the affinity (in its last digit)
-    that each of the `affinity_top` categories lends to it.
-    """
-    amount = F.round(F.col("affinity_pct") * 10**config.affinity_digits).cast("long")
-    lent = (
-        affinity.join(F.broadcast(lenders.withColumnRenamed("category", "cat_x")), "cat_x")
-        .groupBy(F.col("cat_y").alias("category"))
-        .agg(F.collect_list(F.struct((F.col("idx") + config.top_categories).alias("bit"), amount.alias("amount"))).alias("lent"))
-    )
-    fields = F.struct(F.col("idx").alias("bit"), "category", F.col("weight").alias("opportunity"), "lent")
-    ranked = opportunities.join(F.broadcast(lent), "category", "left")
-    return ranked.agg(F.sort_array(F.collect_list(fields)).alias("candidates"))
-
-
 def _offers(demand: DataFrame, rfm: DataFrame, config: UpsellConfig) -> DataFrame:
-    """Per scored user: a mask of bought categories and the array of candidates not yet bought.
+    """Per scored user: bit masks of what was bought and the candidates not yet bought.
 
-    The events are read once, into one row per user and category. The category tables that
-    follow are bounded by the configuration; each is written so that it is computed once.
+    The events are read once, into one row per user and category. What follows on the driver
+    is bounded by the configuration: the candidate names with their scores and, per candidate,
+    the affinity that each of the `affinity_top` categories lends to it (in its last digit).
     """
-    if config.top_categories + config.affinity_top > MASK_BITS:
-        raise ValueError(f"top_categories + affinity_top must not exceed {MASK_BITS}")
+    if max(config.top_categories, config.affinity_top) > MASK_BITS:
+        raise ValueError(f"top_categories and affinity_top must not exceed {MASK_BITS}")
     demand = materialise(user_demand(demand), "user-demand")
-    opportunities = materialise(top_opportunities(demand, config), "opportunities")
-    lenders = materialise(top_purchased(demand, config.affinity_top), "lenders")
-    affinity = _as_shares(_counts_among(demand, lenders, config.affinity_top), config.affinity_digits)
-    candidates = materialise(_candidates(opportunities, lenders, affinity, config), "candidates")
-
-    bits = opportunities.select("category", "idx").unionByName(
-        lenders.select("category", (F.col("idx") + config.top_categories).alias("idx"))
+    candidates = _by_opportunity(demand, config)
+    lenders = top_purchased(demand, config.affinity_top)
+    matrix = _as_shares(_counts_among(demand, lenders), config.affinity_digits)
+    scale = 10**config.affinity_digits
+    lent = {(r["cat_x"], r["cat_y"]): round(r["affinity_pct"] * scale) for r in matrix.collect()}  # affinity_top ** 2
+    rows = [
+        (i, c["category"], c["opportunity_score"], [lent.get((x, c["category"]), 0) for x in lenders])
+        for i, c in enumerate(candidates)
+    ]
+    schema = "candidates array<struct<bit:int,category:string,opportunity:double,lent:array<bigint>>>"
+    listed = demand.sparkSession.createDataFrame([(rows,)], schema)
+
+    def mask(names: list[str]) -> Column:
+        position = _position(names)
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(position, F.lit(0)).cast("int"))
+        return F.bit_or(F.when(position >= 0, bit).otherwise(F.lit(0).cast("long")))
+
+    masks = _bought(demand).groupBy("user_id").agg(
+        mask([c["category"] for c in candidates]).alias("owned"), mask(lenders).alias("lending")
     )
-    marked = _bought(demand).join(F.broadcast(bits), "category").select("user_id", "idx")
-    masks = _mask_blocks(marked, 1).withColumnRenamed("m0", "mask")
-    users = rfm.select("user_id", "rfm_score").join(masks, "user_id", "left").fillna(0, ["mask"])
-    with_all = users.withColumn("_all", candidates.scalar())
-    return with_all.withColumn("offers", F.filter("_all", lambda c: ~_has_bit(F.col("mask"), c["bit"])))
+    users = rfm.select("user_id", "rfm_score").join(masks, "user_id", "left").fillna(0, ["owned", "lending"])
+    open_to = "filter(candidates, c -> (shiftright(owned, c.bit) & 1L) = 0L)"
+    return users.withColumn("candidates", listed.scalar()).withColumn("offers", F.expr(open_to))
 
 
 def upsell_candidates(demand: DataFrame, rfm: DataFrame, config: UpsellConfig = UpsellConfig()) -> DataFrame:
     """Scored users x top categories, minus what each user bought."""
     offers = _offers(demand, rfm, config).select("user_id", F.explode("offers").alias("c"))
-    return offers.select("user_id", "c.category", (F.col("c.bit") + 1).alias("opportunity_rank"))
+    return offers.selectExpr("user_id", "c.category", "c.bit + 1 as opportunity_rank")
 
 
 def user_scores(
@@ -271,42 +243,31 @@ def user_scores(
     The candidates of a user are an array of bounded length inside one row, so scoring,
     ranking and keeping the best k need no shuffle after the users are assembled.
     """
-    full_affinity = F.lit(100.0 * 10**config.affinity_digits)
-    weight = F.col("rfm_score") / F.lit(15.0)
-
-    def score(c: Column) -> Column:
-        nothing = F.array().cast("array<struct<bit:int,amount:bigint>>")
-        lent = F.filter(F.coalesce(c["lent"], nothing), lambda e: _has_bit(F.col("mask"), e["bit"]))
-        amount = F.aggregate(lent, F.lit(0).cast("long"), lambda total, e: total + e["amount"])
-        affinity = F.least(amount / full_affinity, F.lit(1.0))
-        combined = F.round(
-            F.lit(config.opportunity_weight) * c["opportunity"]
-            + F.lit(config.affinity_weight) * affinity
-            + F.lit(config.rfm_weight) * weight,
-            4,
-        )
-        return F.struct(
-            (-combined).alias("order"),
-            c["bit"].alias("bit"),
-            c["category"].alias("category"),
-            F.round(c["opportunity"], 4).alias("opportunity"),
-            F.round(affinity, 4).alias("affinity"),
-            F.round(weight, 4).alias("rfm_weight"),
-            combined.alias("upsell_score"),
-        )
-
-    scored = F.array_sort(F.transform("offers", score))
-    if top_k is not None:
-        scored = F.slice(scored, 1, top_k)
-    offers = _offers(demand, rfm, config).select("user_id", F.posexplode(scored).alias("_i", "c"))
-    return offers.select(
+    full = float(100 * 10**config.affinity_digits)
+    lent = "filter(c.lent, (amount, i) -> (shiftright(lending, i) & 1L) = 1L)"
+    with_affinity = (
+        f"transform(offers, c -> struct(c, least(aggregate({lent}, 0L, (total, amount) -> total + amount) / {full}D, 1D) "
+        "as affinity, rfm_score / 15D as weight))"
+    )
+    combined = (
+        f"round({config.opportunity_weight}D * o.c.opportunity + {config.affinity_weight}D * o.affinity "
+        f"+ {config.rfm_weight}D * o.weight, 4)"
+    )
+    scored = (
+        f"array_sort(transform(offers, o -> struct(-{combined} as order, o.c.bit as bit, o.c.category as category, "
+        "round(o.c.opportunity, 4) as opportunity, round(o.affinity, 4) as affinity, round(o.weight, 4) as rfm_weight, "
+        f"{combined} as upsell_score)))"
+    )
+    best = scored if top_k is None else f"slice({scored}, 1, {top_k})"
+    offers = _offers(demand, rfm, config).withColumn("offers", F.expr(with_affinity))
+    return offers.selectExpr("user_id", f"posexplode({best}) as (i, s)").selectExpr(
         "user_id",
-        (F.col("_i") + 1).alias("rank"),
-        "c.category",
-        "c.opportunity",
-        "c.affinity",
-        "c.rfm_weight",
-        "c.upsell_score",
+        "i + 1 as rank",
+        "s.category",
+        "s.opportunity",
+        "s.affinity",
+        "s.rfm_weight",
+        "s.upsell_score",
     )
 
 

@@ -275,7 +275,7 @@ def test_constant_gap_scales_to_zero(events_from):
 def test_category_bought_but_never_viewed_and_the_reverse(events_from):
     demand = shop(events_from, view(1, "a", 3) + [purchase("2019-11-01", 1.0, 1, code="b")])
     assert values(upsell.opportunity_panel(demand), "category", "score") == [("a", 3.0), ("b", 0.0)]
-    assert values(upsell.top_purchased(demand, 5), "idx", "category") == [(0, "b")]
+    assert upsell.top_purchased(demand, 5) == ["b"]
 
 
 def test_recommendations(events_from):
