@@ -20,7 +20,8 @@ def running_totals(
     """Add `<s>_before` (sum over all earlier rows) and `<s>_total` for every s in `sums`.
 
     `rows` must hold one row per (group, order) value: pre-aggregate ties first, which also
-    takes the weight out of a value shared by many rows.
+    takes the weight out of a value shared by many rows. `group` is for a handful of groups,
+    such as metrics or models.
     """
     by = [F.col(c).desc() if descending else F.col(c).asc() for c in order]
     sliced = materialise(

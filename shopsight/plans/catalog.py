@@ -18,7 +18,7 @@ from shopsight.functions.numbers import hash_bucket
 from shopsight.operators import bronze, churn, features, metrics, modeling, quality, rfm, scoring, silver, upsell
 from shopsight.operators.panels import behaviour, overview, products, tiers
 from shopsight.plans import dashboard, ingest, training
-from shopsight.session import use_utc
+from shopsight.session import prepare
 from shopsight.sources import raw, shop, tables
 from shopsight.streaming import jobs
 
@@ -78,7 +78,7 @@ def _labelled_rule_scores(spark, d):
 
 
 def _order_rfm(spark, d, method="percent_rank", breadth=False):
-    return rfm.customer_rfm(shop.shop_purchases(spark, d, with_product=breadth), order_rfm_config(method), breadth)
+    return rfm.customer_rfm(shop.shop_purchases(spark, d), order_rfm_config(method), breadth)
 
 
 def _event_rfm(spark, d):
@@ -119,7 +119,7 @@ def bot_session_filter(spark, d):
 
 
 def csv_roundtrip(spark, d):
-    path = tables.scratch_path(use_utc(spark), "landing")
+    path = tables.scratch_path(prepare(spark), "landing")
     shop.shop_events_dirty(spark, d).select(*shop.RAW_TEXT_COLUMNS).write.options(
         header=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False
     ).csv(path)
@@ -128,7 +128,7 @@ def csv_roundtrip(spark, d):
 
 def month_union(spark, d):
     """Two yearly inputs, tagged and concatenated."""
-    purchases = shop.shop_purchases(spark, d, with_product=False)
+    purchases = shop.shop_purchases(spark, d)
     frames = {
         year: purchases.filter(churn.in_period(f"{year}-01-01", f"{int(year) + 1}-01-01")) for year in ("2000", "2001")
     }
@@ -137,7 +137,7 @@ def month_union(spark, d):
 
 
 def bronze_partition_counts(spark, d):
-    path = tables.scratch_path(use_utc(spark), "bronze")
+    path = tables.scratch_path(prepare(spark), "bronze")
     events = bronze.dedup_events(_bronze(spark, d))
     bronze.write_bronze(bronze.with_ingestion_columns(events, "2024-01-31", "shop"), path)
     table = spark.read.parquet(path)
@@ -146,7 +146,7 @@ def bronze_partition_counts(spark, d):
 
 def silver_incremental_merge(spark, d):
     """First load up to the cut, then the rest with a day of look-back."""
-    path = tables.scratch_path(use_utc(spark), "silver")
+    path = tables.scratch_path(prepare(spark), "silver")
     events = tables.materialise(_as_bronze(spark, d), "bronze")
     ingest.refresh_silver(events.filter(F.col("event_date") < F.lit(SILVER_CUT).cast("date")), path, SILVER)
     ingest.refresh_silver(events, path, SILVER)
@@ -185,19 +185,19 @@ def segment_counts(spark, d):
 
 
 def churned_buyers(spark, d):
-    return churn.churned_buyers(shop.shop_purchases(spark, d, with_product=False), ORDER_COHORT)
+    return churn.churned_buyers(shop.shop_purchases(spark, d), ORDER_COHORT)
 
 
 def retained_buyers(spark, d):
-    return churn.retained_buyers(shop.shop_purchases(spark, d, with_product=False), ORDER_COHORT)
+    return churn.retained_buyers(shop.shop_purchases(spark, d), ORDER_COHORT)
 
 
 def new_buyers(spark, d):
-    return churn.new_buyers(shop.shop_purchases(spark, d, with_product=False), ORDER_COHORT)
+    return churn.new_buyers(shop.shop_purchases(spark, d), ORDER_COHORT)
 
 
 def cohort_retention(spark, d):
-    return churn.cohort_retention(shop.shop_purchases(spark, d, with_product=False), ORDER_COHORT)
+    return churn.cohort_retention(shop.shop_purchases(spark, d), ORDER_COHORT)
 
 
 # Scores, metrics ------------------------------------------------------------------------
@@ -240,7 +240,7 @@ def _recommend(spark, d, build):
 
 
 def upsell_scores_published(spark, d):
-    path = tables.scratch_path(use_utc(spark), "upsell-scores")
+    path = tables.scratch_path(prepare(spark), "upsell-scores")
     tables.publish(_recommend(spark, d, upsell.upsell_top_k), path)
     return spark.read.parquet(path).drop("scored_at")
 
@@ -252,7 +252,7 @@ def panel_tiers(spark, d):
     return tiers.panel_tiers(
         products.category_conversion(_event_facts(spark, d, "full")),
         behaviour.session_depth(_events(spark, d)),
-        churn.cohort_retention(shop.shop_purchases(spark, d, with_product=False), ORDER_COHORT),
+        churn.cohort_retention(shop.shop_purchases(spark, d), ORDER_COHORT),
         metrics.score_histogram(_labelled_rule_scores(spark, d)),
     )
 
@@ -313,7 +313,7 @@ def churn_scores(spark, d):
 
 def _stream(spark, d):
     """The event table as a stream; the pattern lets the table be one file or a folder of files."""
-    return jobs.event_stream(use_utc(spark), f"{d}/events.parque[t]", shop.TABLE_SCHEMAS["events"])
+    return jobs.event_stream(prepare(spark), f"{d}/events.parque[t]", shop.TABLE_SCHEMAS["events"])
 
 
 def _finished(spark, stream, label, partitions=()):
@@ -392,7 +392,7 @@ def queries() -> dict[str, Query]:
         "funnel": lambda s, d: overview.funnel(_event_facts(s, d)),
         "event_split": lambda s, d: overview.event_split(_event_facts(s, d)),
         "category_revenue_top10": lambda s, d: overview.category_revenue_top(_purchase_facts(s, d, "full")),
-        "daily_revenue": lambda s, d: overview.daily_revenue(as_facts_narrow(s, d)),
+        "daily_revenue": lambda s, d: overview.daily_revenue(_purchase_facts(s, d)),
         "category_revenue": lambda s, d: overview.category_revenue(_purchase_facts(s, d)),
         "top_brands": lambda s, d: products.top_brands(_purchase_facts(s, d)),
         "top_brands_by_category": lambda s, d: products.top_brands_by_category(_purchase_facts(s, d, "full")),
@@ -434,8 +434,3 @@ def queries() -> dict[str, Query]:
         "stream_sessions": stream_sessions,
     }
 
-
-def as_facts_narrow(spark, d):
-    """Purchase facts without the part join, for panels that use no product column."""
-    plain = shop.shop_purchases(spark, d, with_product=False)
-    return as_facts(plain.withColumns({"category_code": F.lit(None).cast("string"), "brand": F.lit(None).cast("string")}))

@@ -5,22 +5,25 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 
 
+# Runtime settings every job relies on. Days, hours and months are those of UTC.
+# A join partition that one hot key fills is split even if that costs another shuffle later.
+SETTINGS = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+}
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
+    return spark
+
+
 def build_session(app_name: str, **conf: str) -> SparkSession:
     """Session for a job; deployment settings (master, memory) come from spark-submit."""
-    builder = (
-        SparkSession.builder.appName(app_name)
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.parquet.compression.codec", "snappy")
-        .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    )
+    builder = SparkSession.builder.appName(app_name).config("spark.sql.parquet.compression.codec", "snappy")
     for key, value in conf.items():
         builder = builder.config(key, value)
-    return use_utc(builder.getOrCreate())
-
-
-def use_utc(spark: SparkSession) -> SparkSession:
-    """Event times are UTC; days, hours and months must not depend on the host's zone."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return spark
+    return prepare(builder.getOrCreate())

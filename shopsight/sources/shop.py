@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsight.config import EVENT_TYPES
-from shopsight.session import use_utc
+from shopsight.session import prepare
 
 # Columns of the given tables that are used here. Declared, so that reading
 # starts no job to infer them.
@@ -31,16 +31,19 @@ RAW_TEXT_COLUMNS = (
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return use_utc(spark).read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+    return prepare(spark).read.schema(TABLE_SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per product. The grouping tells Spark so: where no product column is used, it drops the join."""
     last_word = F.element_at(F.split("p_name", " "), -1)
-    return _table(spark, sf_dir, "part").select(
+    products = _table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
         F.concat_ws(".", F.lower("p_type"), last_word).alias("category_code"),
         F.lower("p_brand").alias("brand"),
     )
+    one = products.groupBy("product_id").agg(F.min(F.struct("category_code", "brand")).alias("p"))
+    return one.select("product_id", "p.category_code", "p.brand")
 
 
 def from_event_rows(events: DataFrame) -> DataFrame:
@@ -70,8 +73,8 @@ def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return all_shop_events(spark, sf_dir).filter(F.col("event_type").isin(*EVENT_TYPES))
 
 
-def shop_purchases(spark: SparkSession, sf_dir: str, with_product: bool = True) -> DataFrame:
-    """One purchase event per order line. Without product columns the part join is left out."""
+def shop_purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One purchase event per order line."""
     lines = _table(spark, sf_dir, "lineitem")
     orders = _table(spark, sf_dir, "orders")
     purchases = lines.join(orders, lines.l_orderkey == orders.o_orderkey).select(
@@ -82,9 +85,7 @@ def shop_purchases(spark: SparkSession, sf_dir: str, with_product: bool = True)
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderkey").cast("string").alias("user_session"),
     )
-    if with_product:
-        purchases = purchases.join(_products(spark, sf_dir), "product_id", "left")
-    return purchases
+    return purchases.join(_products(spark, sf_dir), "product_id", "left")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:

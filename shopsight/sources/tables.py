@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _fallback_root: dict[str, str] = {}
+_written: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -33,9 +34,17 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Delete the scratch copies this application has written, once its results are stored."""
+    for path in _written.pop(spark.sparkContext.applicationId, []):
+        fs, hadoop_path = _file_system(spark, path)
+        fs.delete(hadoop_path, True)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

@@ -31,6 +31,11 @@ def test_scan_reads_only_the_columns_used(spark):
     assert sorted(schemas) == ["l_orderkey:bigint,l_extendedprice:double", "o_orderkey:bigint,o_orderdate:timestamp_ntz"]
 
 
+def test_product_join_is_dropped_where_no_product_column_is_used(spark):
+    for name in ("overview_kpis", "daily_events", "cohort_retention", "session_depth", "run_metadata"):
+        assert "p_partkey" not in plan_of(catalog.queries()[name](spark, SMALL)), name
+
+
 def test_type_filter_reaches_the_scan(spark):
     plan = plan_of(catalog.queries()["churn_features"](spark, SMALL))
     assert "PushedFilters" in plan and "GreaterThanOrEqual(ts" in plan

@@ -96,3 +96,14 @@ def test_hash_sample_ignores_layout(spark):
 def test_periods_are_tagged(spark):
     out = raw.union_periods({"october": spark.range(2), "november": spark.range(3)})
     assert {r.month: r["count"] for r in out.groupBy("month").count().collect()} == {"october": 2, "november": 3}
+
+
+def test_scratch_copies_can_be_released(spark):
+    copy = tables.materialise(spark.range(3), "released")
+    path = copy.inputFiles()[0].rsplit("/", 1)[0]
+    assert tables.path_exists(spark, path)
+    kept = tables._written.pop(spark.sparkContext.applicationId)
+    tables._written[spark.sparkContext.applicationId] = [kept.pop()]
+    tables.release(spark)
+    tables._written[spark.sparkContext.applicationId] = kept
+    assert not tables.path_exists(spark, path)
