@@ -70,6 +70,7 @@ class ModelConfig:
     test_percent: int = 20
     folds: int = 5
     lr_iterations: int = 1000
+    lr_tolerance: float = 1e-4
     rf_trees: int = 150
     rf_depth: int = 6
     gbt_iterations: int = 200

@@ -65,8 +65,8 @@ def build_pipeline(name: str, train_rows: int, config: ModelConfig = ModelConfig
     if name == LOGISTIC:
         # An L2 strength of 1 on the summed loss is 1 / rows on Spark's mean loss.
         learner = LogisticRegression(
-            **common, weightCol="weight", maxIter=config.lr_iterations, regParam=1.0 / max(train_rows, 1),
-            standardization=False,
+            **common, weightCol="weight", maxIter=config.lr_iterations, tol=config.lr_tolerance,
+            regParam=1.0 / max(train_rows, 1), standardization=False,
         )
     elif name == FOREST:
         learner = RandomForestClassifier(
