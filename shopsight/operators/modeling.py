@@ -96,7 +96,9 @@ class Training:
 
 
 def prepare(features: DataFrame, config: ModelConfig = ModelConfig()) -> Training:
-    split = materialise(with_split(features, config), "split")
+    # Sampling in the tree learners follows row order, so the order must not vary between runs.
+    ordered = with_split(features, config).repartition("user_id").sortWithinPartitions("user_id")
+    split = materialise(ordered, "split")
     train = with_weights(split.filter(~F.col("is_test")))
     return Training(train, split.filter("is_test"), split.filter(~F.col("is_test")).count())
 
