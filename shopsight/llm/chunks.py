@@ -82,7 +82,7 @@ class Chunk:
         raw = zstandard.ZstdDecompressor().decompress(self.row["rest"], max_output_size=1 << 31)
         return pa.ipc.open_stream(raw).read_next_batch()
 
-    def answers(self, level: int, bits: int = 1) -> list[tuple[int, bytes]]:
+    def answers(self, level: int) -> list[tuple[int, bytes]]:
         return sorted((x["bucket"], x["mask"]) for x in self.row.get(f"answer{level}") or [])
 
 
@@ -95,12 +95,13 @@ def chunks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[Chunk]:
 class Question:
     """The distinct keys of some windows of a chunk, ordered by bucket and key, with the lowest id that has each."""
 
-    def __init__(self, keys: np.ndarray, ids: np.ndarray, buckets: int):
+    def __init__(self, keys: np.ndarray, ids: np.ndarray, buckets: int, dealt_by: np.ndarray | None = None):
+        """`dealt_by` chooses the bucket where it isn't the key itself; equal keys must have it equal."""
         order = np.argsort(keys, kind="stable")
         ranked = keys[order]
         heads = np.flatnonzero(np.concatenate([[True], ranked[1:] != ranked[:-1]])) if len(keys) else np.zeros(0, np.int64)
         distinct = ranked[heads]
-        place = (distinct % np.uint64(buckets)).astype(np.int32)
+        place = ((distinct if dealt_by is None else dealt_by[order][heads]) % np.uint64(buckets)).astype(np.int32)
         by_bucket = np.argsort(place, kind="stable")
         self.keys, self.place = distinct[by_bucket], place[by_bucket]
         if len(keys):
@@ -109,6 +110,7 @@ class Question:
             self.many = (np.maximum.reduceat(own, heads)[by_bucket]) != self.lows
         else:
             self.lows, self.many = np.zeros(0, np.int64), np.zeros(0, bool)
+        self.sample = order[heads][by_bucket]  # for every key: one window that has it
         where = np.empty(len(distinct), np.int64)
         where[by_bucket] = np.arange(len(distinct))
         self.of_window = np.empty(len(keys), np.int64)  # for every window given: the place of its key
@@ -131,14 +133,15 @@ class Question:
             }
         )
 
-    def heard(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
-        """The answered bit of every key asked."""
-        bits = np.zeros(len(self.keys), bool)
+    def heard(self, answers: list[tuple[int, bytes]], dtype: type = bool) -> np.ndarray:
+        """What was answered to every key asked: a bit, or a number of the given type."""
+        found = np.zeros(len(self.keys), dtype)
         masks = dict(answers)
         for place, a, b in self.parts():
             if place in masks:
-                bits[a:b] = np.unpackbits(np.frombuffer(masks[place], np.uint8), count=b - a).astype(bool)
-        return bits
+                raw = np.frombuffer(masks[place], np.uint8)
+                found[a:b] = np.unpackbits(raw, count=b - a).astype(bool) if dtype is bool else raw.view(dtype)
+        return found
 
 
 def key48(hashes: np.ndarray) -> np.ndarray:
