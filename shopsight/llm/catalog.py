@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard, substring, suffixdedup, workers
+from . import fingerprint, jaccard, mixing, packing, substring, suffixdedup, workers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,10 +19,23 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_copied_bytes(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.with_next(_table(spark, sf_dir, "documents"))
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents"))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op7_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.pack(_table(spark, sf_dir, "documents"))
+    return pieces.select("doc_id", "start", "length", F.crc32("tokens").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return substring.remove_repeats(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -31,7 +44,10 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op4_document_fingerprints": op4_document_fingerprints,
+        "op5_mix_sources": op5_mix_sources,
         "op6_jaccard_join": op6_jaccard_join,
+        "op7_pack_sequences": op7_pack_sequences,
         "op8_substring_dedup": op8_substring_dedup,
     }
 
