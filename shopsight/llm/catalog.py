@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import fingerprint, jaccard, mixing, packing, substring, suffixdedup, workers
+import corpus_pipeline
+
+from . import chat, fingerprint, html, jaccard, mixing, packing, quality, substring, suffixdedup, warc, workers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -19,6 +21,14 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.remove_copied_bytes(docs).select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(_table(spark, sf_dir, "pages")).select("row.page_id", "visible_text")
+
+
+def op3_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.repair(_table(spark, sf_dir, "conversations"))
+
+
 def op4_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.with_next(_table(spark, sf_dir, "documents"))
 
@@ -41,14 +51,29 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(docs).select("row.doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = quality.judge(docs)
+    return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op10_warc_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.convert(_table(spark, sf_dir, "pages"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
+        "op2_html_extraction": op2_html_extraction,
+        "op3_chat_formatting": op3_chat_formatting,
         "op4_document_fingerprints": op4_document_fingerprints,
         "op5_mix_sources": op5_mix_sources,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_pack_sequences": op7_pack_sequences,
         "op8_substring_dedup": op8_substring_dedup,
+        "op9_quality_rules": op9_quality_rules,
+        "op10_warc_conversion": op10_warc_conversion,
+        "pipeline": corpus_pipeline.run,
     }
 
 
