@@ -176,6 +176,21 @@ def shared_keys(table: pa.Table) -> pa.Table:
     return _answered(chunks, buckets, sizes, shared[which])
 
 
+def holder_classes(table: pa.Table) -> pa.Table:
+    """Answer how many hold the key, as 0 for one and otherwise 1 + log2, rounded down."""
+    chunks, buckets, raw, many = _asked(table)
+    sizes = [len(x) // 6 for x in raw]
+    wide = np.zeros((sum(sizes), 8), np.uint8)
+    wide[:, :6] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 6)
+    flags = np.concatenate([np.unpackbits(np.frombuffer(m, np.uint8), count=n) for m, n in zip(many, sizes)] or [np.zeros(0, np.uint8)])
+    _, which = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
+    holders = np.bincount(which, 1 + flags) if len(which) else np.zeros(0)
+    classes = np.where(holders > 1, 1 + np.floor(np.log2(np.maximum(holders, 1))), 0).astype(np.uint8)[which]
+    cuts = np.concatenate([[0], np.cumsum(sizes)])
+    masks = [classes[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array(buckets, pa.int32()), "mask": pa.array(masks, pa.binary())})
+
+
 def earlier_elsewhere(table: pa.Table) -> pa.Table:
     """Answer whether another chunk holds the key under an id smaller than the asking chunk's smallest."""
     chunks, buckets, raw, _ = _asked(table)

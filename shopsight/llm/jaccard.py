@@ -1,10 +1,11 @@
 """N-gram Jaccard join: documents whose word-shingle sets have a Jaccard similarity of 0.8 or more, as components.
 
 1. Candidates. In the order of their hashes, two linked sets share tokens among their first ones (prefix filter). Chunks ask
-   which of these tokens other sets hold too; a set that shares too few cannot be linked and goes no further.
-2. Stars. Equal sets are one node. For every shared token a few holders, chosen by hash, are compared with all holders of
-   the token: exactly, as intersections of sorted arrays. This unites most copies with a number of pairs that is linear in the
-   postings, however large a group is.
+   which of these tokens other sets hold too; a set that shares too few cannot be linked and goes no further. The others ask how
+   many of them hold each of their tokens, and list their rarest shared tokens: as many as a linked set can't miss all of.
+2. Stars. Equal sets are one node. For every listed token one holder, chosen by hash, is compared with all its holders; a second
+   round chooses another for each token and leaves out what is connected. Signatures (below) are compared first, then sorted
+   arrays exactly. This unites most copies with a number of pairs that is linear in the postings, however large a group is.
 3. Tiles. What is left are pairs from different components under one token. Holders are dealt into tiles by size band (a factor
    of 1.25) and hash, and tiles of equal or neighbouring bands meet. A tile holds hashed bitmap signatures: the
    bits in which two differ bound their overlap from above. Pairs that pass are intersected exactly.
@@ -28,13 +29,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import spans
-from .chunks import ASK_SCHEMA, LAST_ID, Chunk, Question, bucket_count, chunked, chunks_of, exchange, key48, shared_keys
+from .chunks import ASK_SCHEMA, LAST_ID, Chunk, Question, bucket_count, chunked, chunks_of, exchange, holder_classes, key48, shared_keys
 from .graph import components
 from .scratch import written
 
 WORDS = 5
 PERCENT = 80
-STARS = 3
 TILE = 1024
 BAND = 1.25
 NODE_SCHEMA = "doc_id long, n long, node long, tokens array<long>, bits binary, members binary"
@@ -79,20 +79,31 @@ class _Sets:
         self.need = np.maximum(1, self.least // 5)
         place = np.arange(len(self.tokens)) - np.repeat(self.begin, self.n)
         self.asked = np.flatnonzero(place < np.repeat(self.n - self.least + spare, self.n))
-        self.listed = place < np.repeat(self.n - self.least + 1, self.n)
 
     def question(self) -> Question:
         return Question(key48(self.tokens[self.asked]), self.nodes[self.texts[self.asked]], self.buckets)
 
-    def rows(self) -> pa.RecordBatch:
+    def suspects(self) -> np.ndarray:
+        """Which texts share enough of the tokens asked first."""
         asked = self.question()
         shared = asked.heard(self.chunk.answers(1))[asked.of_window]
         count = np.bincount(self.texts[self.asked][shared], minlength=len(self.n))
-        suspect = (self.n > 0) & (count >= self.need)
+        return (self.n > 0) & (count >= self.need)
+
+    def second_question(self) -> Question:
+        self.second = np.flatnonzero(self.suspects()[self.texts])
+        return Question(key48(self.tokens[self.second]), self.nodes[self.texts[self.second]], self.buckets)
+
+    def rows(self) -> pa.RecordBatch:
+        asked = self.second_question()
+        classes = np.zeros(len(self.tokens), np.uint8)
+        classes[self.second] = asked.heard(self.chunk.answers(2), np.uint8)[asked.of_window]
+        shared = np.flatnonzero(classes)
+        count = np.bincount(self.texts[shared], minlength=len(self.n))
+        suspect = (self.n > 0) & (count >= self.least)
+        order = shared[np.lexsort((self.tokens[shared], classes[shared], self.texts[shared]))]
+        edges = np.concatenate([[0], np.cumsum(count)])
         seen: set[int] = set()
-        post = np.zeros(len(self.tokens), bool)
-        post[self.asked[shared]] = True
-        post &= self.listed
         raw = self.tokens.view(np.uint8).reshape(-1, 8)[:, 2:]  # the upper six bytes keep the order
         tokens, bits, members = [], [], []
         for i in range(len(self.n)):
@@ -102,7 +113,7 @@ class _Sets:
                 continue
             seen.add(node)
             own = slice(self.begin[i], self.begin[i] + self.n[i])
-            tokens.append(self.tokens[own][post[own]].view(np.int64))
+            tokens.append(self.tokens[order[edges[i] : edges[i] + count[i] - self.least[i] + 1]].view(np.int64))
             bits.append(signature(self.tokens[own]))
             members.append(raw[own].tobytes())
         nulls = np.unpackbits(np.frombuffer(self.chunk.row["nulls"], np.uint8), count=len(self.n)).astype(bool)
@@ -147,6 +158,7 @@ def linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * both >= percent * (len(own) + len(other) - both))
             yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
 
+    # the set of b travels to that of a, which Spark splits if it has very many pairs
     left = sets.select(F.col("node").alias("a"), F.col("members").alias("x"))
     right = sets.select(F.col("node").alias("b"), F.col("members").alias("y"))
     return pairs.join(right, "b").join(left, "a").select("a", "b", "x", "y").mapInArrow(check, "a long, b long")
@@ -159,12 +171,31 @@ def _fold(bits: np.ndarray, words: int) -> np.ndarray:
     return bits
 
 
-def compare_tile(percent: int, table: pa.Table) -> pa.Table:
-    """Pairs of one tile from different components whose sizes and signatures allow the similarity."""
-    table = table.sort_by([("n", "ascending"), ("node", "ascending")])
-    n, node = table.column("n").to_numpy(), table.column("node").to_numpy()
-    part, side = table.column("component").to_numpy(), table.column("side").to_numpy()
-    raw = table.column("bits").to_pylist()
+def most_shared(n: np.ndarray, other: np.ndarray, differ: np.ndarray) -> np.ndarray:
+    """Upper bound of the overlap of sets of two sizes whose signatures differ in so many bits."""
+    return np.minimum((n + other - differ) // 2, np.minimum(n, other))
+
+
+def plausible(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures allow the similarity."""
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for x, y, n, other in zip(*(batch.column(i).to_pylist() for i in (2, 3, 4, 5))):
+                words = min(len(x), len(y)) // 8
+                one, two = (_fold(np.frombuffer(r, np.uint64)[None, :], words) for r in (x, y))
+                most = most_shared(n, other, int(np.bitwise_count(one ^ two).sum()))
+                keep.append(bool(100 * most >= percent * (n + other - most)))
+            yield batch.filter(pa.array(keep, pa.bool_())).select([0, 1])
+
+    left = sets.select(F.col("node").alias("a"), F.col("bits").alias("x"), F.col("n").alias("n"))
+    right = sets.select(F.col("node").alias("b"), F.col("bits").alias("y"), F.col("n").alias("m"))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y", "n", "m").mapInArrow(check, "a long, b long")
+
+
+def _compare(percent: int, n: np.ndarray, node: np.ndarray, part: np.ndarray, side: np.ndarray, raw: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Pairs among the holders of one token, given in the order of their sizes."""
     widths = np.array([len(x) // 8 for x in raw])
     folded: dict[int, np.ndarray] = {}
     for words in np.unique(widths):  # at each width, all that are at least as wide
@@ -173,30 +204,43 @@ def compare_tile(percent: int, table: pa.Table) -> pa.Table:
             rows = np.flatnonzero(widths == own)
             matrix[rows] = _fold(np.frombuffer(b"".join(raw[i] for i in rows), np.uint64).reshape(len(rows), own), words)
         folded[int(words)] = matrix
-    crossed = len(np.unique(side)) > 1
-    found_a, found_b = [], []
+    crossed = side.min() != side.max()
+    ends = np.searchsorted(n, (100 * n) // percent, side="right")
+    found = []
     for i in range(len(n)):
-        last = np.searchsorted(n, (100 * n[i]) // percent, side="right")
-        rows = np.arange(i + 1, last)
+        rows = np.arange(i + 1, ends[i])
         rows = rows[(part[rows] != part[i]) & ((side[rows] != side[i]) | (not crossed))]
         if not len(rows):
             continue
         matrix = folded[int(widths[i])]
         differ = np.bitwise_count(matrix[rows] ^ matrix[i]).sum(axis=1, dtype=np.int64)
-        most = (n[i] + n[rows] - differ) // 2  # overlap, bounded from above
-        most = np.minimum(most, n[i])
+        most = most_shared(n[i], n[rows], differ)
         rows = rows[100 * most >= percent * (n[i] + n[rows] - most)]
-        found_a.append(np.full(len(rows), node[i]))
-        found_b.append(node[rows])
-    a = np.concatenate(found_a) if found_a else np.zeros(0, np.int64)
-    b = np.concatenate(found_b) if found_b else np.zeros(0, np.int64)
-    return pa.table({"a": pa.array(np.minimum(a, b), pa.int64()), "b": pa.array(np.maximum(a, b), pa.int64())})
+        if len(rows):
+            found.append((np.full(len(rows), node[i]), node[rows]))
+    return found
 
 
-def tiles(rows: DataFrame, stats: DataFrame, tile: int) -> DataFrame:
-    """Rows of each token in tiles: one for a small group, else one per pair of blocks of equal or neighbouring bands."""
+def compare_tile(percent: int, table: pa.Table) -> pa.Table:
+    """Pairs from different components, under each token of a tile, whose sizes and signatures allow the similarity."""
+    table = table.sort_by([("token", "ascending"), ("n", "ascending"), ("node", "ascending")])
+    token, n, node, part, side = (table.column(c).to_numpy() for c in ("token", "n", "node", "component", "side"))
+    raw = table.column("bits").to_pylist()
+    edges = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1], [True]]))
+    found: list[tuple[np.ndarray, np.ndarray]] = []
+    for a, b in zip(edges[:-1], edges[1:]):
+        found += _compare(percent, n[a:b], node[a:b], part[a:b], side[a:b], raw[a:b])
+    a = np.concatenate([x for x, _ in found]) if found else np.zeros(0, np.int64)
+    b = np.concatenate([x for _, x in found]) if found else np.zeros(0, np.int64)
+    pairs = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1)  # a pair once per tile
+    return pa.table({"a": pa.array(pairs[0], pa.int64()), "b": pa.array(pairs[1], pa.int64())})
+
+
+def tile_pairs(rows: DataFrame, stats: DataFrame, tile: int, percent: int, buckets: int) -> DataFrame:
+    """Pairs to intersect: small groups many to a tile, large ones one tile per pair of blocks of equal or neighbouring bands."""
     rows = rows.join(stats.select("token", "holders"), "token")
-    whole = rows.where(F.col("holders") <= tile).selectExpr("token", "0 AS i", "0 AS j", "0 AS band", "0 AS side", "0 AS up", "node", "n", "component", "bits")
+    whole = rows.where(F.col("holders") <= tile).select(F.pmod("token", F.lit(buckets)).alias("bucket"), "token", F.lit(0).alias("side"), "node", "n", "component", "bits")
+    small = whole.groupBy("bucket").applyInArrow(lambda table: compare_tile(percent, table), "a long, b long")
     large = rows.where(F.col("holders") > tile).withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
     blocks = large.groupBy("token", "band").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
     large = large.join(blocks, ["token", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -208,10 +252,21 @@ def tiles(rows: DataFrame, stats: DataFrame, tile: int) -> DataFrame:
     low = large.join(above, ["token", "band"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select("token", F.col("own").alias("i"), F.col("other").alias("j"), "band", F.lit(0).alias("side"), F.lit(1).alias("up"), *columns)
     below = blocks.select("token", (F.col("band") + 1).alias("band"), F.col("blocks").alias("others"))
     high = large.join(below, ["token", "band"]).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("others") - 1))).select("token", F.col("other").alias("i"), F.col("own").alias("j"), (F.col("band") - 1).alias("band"), F.lit(1).alias("side"), F.lit(1).alias("up"), *columns)
-    return whole.union(same).union(low).union(high)
+    blocks = same.union(low).union(high).groupBy("token", "band", "up", "i", "j")
+    return small.union(blocks.applyInArrow(lambda table: compare_tile(percent, table), "a long, b long")).distinct()
+
 
+def star_pairs(listed: DataFrame, percent: int, seed: int, by_token: bool) -> DataFrame:
+    """One holder of each token with all its others, of compatible sizes and in different components."""
+    rank = F.xxhash64("node", F.lit(seed), *(["token"] if by_token else []))
+    centre = listed.groupBy("token").agg(F.min(F.struct(rank.alias("h"), "node", "n", "component")).alias("centre"), F.count("*").alias("holders"))
+    centre = centre.where("holders > 1").select("token", "centre.*").toDF("token", "h", "c_node", "c_n", "c_component")
+    near = (F.col("n") * 100 >= F.col("c_n") * percent) & (F.col("c_n") * 100 >= F.col("n") * percent)
+    pairs = listed.join(centre, "token").where(near & (F.col("component") != F.col("c_component")))
+    return pairs.select(F.least("node", "c_node").alias("a"), F.greatest("node", "c_node").alias("b")).distinct()
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, stars: int = STARS, tile: int = TILE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, tile: int = TILE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Per document: doc_id, n_shingles and component_id, the smallest id reachable over links, itself included."""
     buckets = bucket_count(docs.sparkSession)
     packed = chunked(docs.select(id_column, text_column), id_column, text_column)
@@ -220,32 +275,38 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         for chunk in chunks_of(batches):
             yield _Sets(chunk, words, percent, buckets).question().rows(chunk.number, False)
 
+    def ask_again(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in chunks_of(batches):
+            yield _Sets(chunk, words, percent, buckets).second_question().rows(chunk.number, False)
+
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks_of(batches):
             yield _Sets(chunk, words, percent, buckets).rows()
 
     shared = exchange(packed.mapInArrow(ask, ASK_SCHEMA), shared_keys, 1)
-    nodes = written(packed.join(shared, "chunk", "left").mapInArrow(collect, NODE_SCHEMA), "nodes")
+    heard = packed.join(shared, "chunk", "left")
+    classes = exchange(heard.mapInArrow(ask_again, ASK_SCHEMA), holder_classes, 2)
+    nodes = written(heard.join(classes, "chunk", "left").mapInArrow(collect, NODE_SCHEMA), "nodes")
 
     suspects = nodes.where("members IS NOT NULL")
-    sets = written(suspects.groupBy("node").agg(F.first("n").alias("n"), F.first("members").alias("members"), F.first("bits").alias("bits"), F.first("tokens").alias("tokens")), "sets")
-    postings = sets.select(F.explode("tokens").alias("token"), "node", "n")
-    chosen = [F.min(F.struct(F.xxhash64("node", F.lit(i)).alias("h"), "node", "n")).alias(f"star{i}") for i in range(stars)]
-    centres = postings.groupBy("token").agg(*chosen, F.count("*").alias("holders")).where("holders > 1")
-    centres = centres.select("token", F.explode(F.array_distinct(F.array(*[F.struct(f"star{i}.node", f"star{i}.n") for i in range(stars)]))).alias("centre"))
-    near = (F.col("n") * 100 >= F.col("centre.n") * percent) & (F.col("centre.n") * 100 >= F.col("n") * percent)
-    pairs = postings.join(centres, "token").where(near & (F.col("node") != F.col("centre.node")))
-    pairs = pairs.select(F.least("node", "centre.node").alias("a"), F.greatest("node", "centre.node").alias("b")).distinct()
-    links = written(linked(pairs, sets.select("node", "members"), percent), "links")
-
-    parts = written(components(links), "parts")
-    placed = sets.join(parts, "node", "left").select("node", "n", "bits", "tokens", F.coalesce("component", "node").alias("component"))
-    listed = placed.select(F.explode("tokens").alias("token"), "node", "n", "component")
-    stats = listed.groupBy("token").agg(F.count("*").alias("holders"), F.min("component").alias("c0"), F.max("component").alias("c1"), F.min("n").alias("n0"))
+    sets = written(suspects.dropDuplicates(["node"]).select("node", "n", "members", "bits", "tokens"), "sets")
+
+    def listed(parts: DataFrame | None) -> DataFrame:
+        rows = sets.select("node", "n", "tokens", F.col("node").alias("component"))
+        if parts is not None:
+            rows = rows.drop("component").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        return rows.select(F.explode("tokens").alias("token"), "node", "n", "component")
+
+    parts, links = None, None
+    for seed, by_token in ((1, False), (2, True)):
+        found = linked(plausible(star_pairs(listed(parts), percent, seed, by_token), sets, percent), sets, percent)
+        links = written(found if links is None else links.union(found), "links")
+        parts = written(components(links), "parts")
+
+    stats = listed(parts).groupBy("token").agg(F.count("*").alias("holders"), F.min("component").alias("c0"), F.max("component").alias("c1"))
     mixed = written(stats.where("c0 <> c1"), "mixed")
-    rows = placed.select("node", "n", "bits", "component", F.explode("tokens").alias("token"))
-    found = tiles(rows, mixed, tile).groupBy("token", "band", "up", "i", "j").applyInArrow(lambda table: compare_tile(percent, table), "a long, b long")
-    more = linked(found.distinct(), sets.select("node", "members"), percent)
+    rows = listed(parts).join(sets.select("node", "bits"), "node")
+    more = linked(tile_pairs(rows, mixed, tile, percent, buckets), sets, percent)
 
     final = components(links.union(more))
     known = nodes.select("node", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "n").where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
