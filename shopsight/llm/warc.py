@@ -8,7 +8,7 @@ is a protocol response; its body is the payload.
 For WARC the converter makes up what ARC has not: a record id from the record's content, an ISO timestamp, the type (response, or
 revisit of the response with the smallest id that has an equal payload of at least 100 bytes), and SHA-256 digests.
 
-Files are written by Spark's text writer, a bounded number of records each, and read whole, a file per row.
+Files are written by Spark's text writer, gzipped, a bounded number of records each, and read whole, a file per row.
 
 Defined results: a null payload is empty; a null URL is written as "-", white space in it percent-encoded; records with
 null ids revisit others but are never the first while one with an id exists.
@@ -16,6 +16,7 @@ null ids revisit others but are never the first while one with an id exists.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -62,7 +63,7 @@ def write_arc(pages: DataFrame, path: str, version: int) -> None:
             yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
 
     lines = pages.select("page_id", "url", "html").mapInArrow(run, "value string")
-    lines.write.option("lineSep", "\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    lines.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def parse_arc(content: bytes) -> Iterator[dict]:
@@ -101,7 +102,7 @@ def read_arc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 out = []
-                for record in parse_arc(content.as_py()):
+                for record in parse_arc(gzip.decompress(content.as_py())):
                     headers, body = _response(record["block"])
                     number = headers.get("x-page-id")
                     out.append(
@@ -160,7 +161,7 @@ def write_warc(records: DataFrame, path: str) -> None:
             yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
 
     lines = joined.select(*records.columns, "first").mapInArrow(run, "value string")
-    lines.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    lines.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -187,7 +188,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for content in batch.column(0):
                 out = []
-                for headers, block in parse_warc(content.as_py()):
+                for headers, block in parse_warc(gzip.decompress(content.as_py())):
                     inner, body = _response(block)
                     kind, digest = headers["warc-type"], headers["warc-payload-digest"].partition(":")[2]
                     if kind == "response" and hashlib.sha256(body).hexdigest() != digest:
