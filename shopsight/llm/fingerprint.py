@@ -144,7 +144,8 @@ def with_next(docs: DataFrame, words: int = WORDS, size: int = SIZE, id_column:
     spark = docs.sparkSession
     typed = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(int(FIRST_ID))).alias("id"), F.col(id_column).isNull().alias("no_id"), F.coalesce(F.col(text_column).cast("string"), F.lit("")).alias("text"))
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    bounds = np.array(sorted(set(typed.where("not no_id").approxQuantile("id", [i / ranges for i in range(1, ranges)], 0.001))), dtype=np.float64)
+    pieces = 4 * ranges  # several ranges to a task even out the tasks
+    bounds = np.array(sorted(set(typed.where("not no_id").approxQuantile("id", [i / pieces for i in range(1, pieces)], 0.25 / pieces))), dtype=np.float64)
 
     def place(ids: np.ndarray) -> np.ndarray:
         return np.searchsorted(bounds, ids.astype(np.float64), side="right")
