@@ -152,7 +152,7 @@ def bronze_statements() -> dict[str, str]:
         "month_union": with_shared(
             "buys",
             select="""SELECT CAST(year(event_time) AS VARCHAR) AS period, COUNT(*) AS events,
-                      COUNT(DISTINCT user_id) AS users FROM buys WHERE year(event_time) IN (2000, 2001) GROUP BY 1""",
+                      COUNT(DISTINCT user_id) AS users FROM buys GROUP BY 1""",
         ),
         "dq_metrics": with_shared(
             "dirty",

@@ -25,7 +25,6 @@ DEDUP_KEYS = ("user_id", "user_session", "event_time", "event_type", "product_id
 @dataclass(frozen=True)
 class SilverConfig:
     bot_limit: int = 500
-    lookback_days: int = 1
 
 
 @dataclass(frozen=True)

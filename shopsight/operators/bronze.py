@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -10,6 +12,7 @@ from shopsight.functions.events import blank_to_null, parse_time, with_category_
 from shopsight.sources.tables import write_partitioned
 
 PARTITIONS = ("event_month", "event_date")
+BATCH = "_batch"
 
 
 def clean_events(raw: DataFrame, month: str | None = None) -> DataFrame:
@@ -30,6 +33,7 @@ def clean_events(raw: DataFrame, month: str | None = None) -> DataFrame:
         F.when(usable, price).otherwise(F.lit(0.0)).alias("price"),
         F.col("user_id").try_cast("long").alias("user_id"),
         blank_to_null(F.col("user_session")).alias("user_session"),
+        *[c for c in ("_source",) if c in raw.columns],
     )
     valid = typed.filter(
         F.col("event_type").isin(*EVENT_TYPES) & F.col("user_id").isNotNull() & F.col("event_time").isNotNull()
@@ -50,14 +54,21 @@ def dedup_events(events: DataFrame, keys: tuple[str, ...] = DEDUP_KEYS) -> DataF
 
 
 def with_ingestion_columns(events: DataFrame, run_date: str, source: str) -> DataFrame:
+    """When, from which file (the pattern where rows don't say) and in which batch the rows arrived."""
     return events.withColumns(
         {
             "_ingested_at": F.current_timestamp(),
-            "_source": F.lit(source),
+            "_source": F.col("_source") if "_source" in events.columns else F.lit(source),
             "_run_date": F.lit(run_date).cast("date"),
+            BATCH: F.lit(batch_name(source, run_date)),
         }
     )
 
 
+def batch_name(source: str, run_date: str) -> str:
+    return hashlib.md5(f"{source} {run_date}".encode()).hexdigest()[:12]
+
+
 def write_bronze(events: DataFrame, path: str) -> None:
-    write_partitioned(events, path, PARTITIONS)
+    """Each batch has folders of its own within the days: a batch that runs again replaces itself, no other batch."""
+    write_partitioned(events, path, (*PARTITIONS, BATCH))

@@ -1,26 +1,16 @@
-"""Joins against a key list whose size is only known at run time."""
+"""Joins against a key list of unknown size."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from shopsight.sources.tables import materialise
 
-BROADCAST_ROWS = 500_000
-SALTS = 32
 
-
-def exclude_keys(rows: DataFrame, keys: DataFrame, key: str, broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
+def exclude_keys(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key is not in `keys`; null keys stay.
 
-    The key list is written and counted first. A short one is broadcast, so the rows are not
-    shuffled. A long one is joined on (key, salt): the rows of one hot key spread over SALTS
-    tasks and the key list is repeated SALTS times.
+    The list is written first: Spark then knows its size, and splits a hot key of the rows, which it does not
+    where the other side of the join is itself an aggregate.
     """
-    keys = materialise(keys.select(key), "keys")
-    if keys.count() <= broadcast_rows:
-        return rows.join(F.broadcast(keys), key, "left_anti")
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int")
-    salted_keys = keys.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    return rows.withColumn("_salt", salt).join(salted_keys, [key, "_salt"], "left_anti").drop("_salt")
+    return rows.join(materialise(keys.select(key), "keys"), key, "left_anti")

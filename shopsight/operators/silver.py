@@ -16,18 +16,21 @@ def bot_sessions(events: DataFrame, limit: int) -> DataFrame:
     return sizes.filter(F.col("n") > limit)
 
 
-def drop_bot_sessions(events: DataFrame, limit: int) -> DataFrame:
-    """Events of sessions up to `limit` events; events without a session are kept."""
-    return exclude_keys(events, bot_sessions(events, limit), "user_session")
+def drop_bot_sessions(events: DataFrame, limit: int, every: DataFrame | None = None) -> DataFrame:
+    """Events of sessions up to `limit` events, counted over `every`; events without a session are kept."""
+    return exclude_keys(events, bot_sessions(events if every is None else every, limit), "user_session")
 
 
-def build_silver(bronze: DataFrame, config: SilverConfig = SilverConfig()) -> DataFrame:
-    """Bronze to `events_cleaned`: bot filter, surrogate key, default brand, time parts."""
+def build_silver(bronze: DataFrame, config: SilverConfig = SilverConfig(), every: DataFrame | None = None) -> DataFrame:
+    """Bronze to `events_cleaned`: bot filter, surrogate key, default brand, time parts.
+
+    Where `bronze` is only a part of the events, `every` holds all of them, for the sizes of the sessions.
+    """
     priced = F.col("price_raw").isNotNull() | ~is_type("purchase")
-    kept = drop_bot_sessions(bronze, config.bot_limit).filter(priced)
+    kept = drop_bot_sessions(bronze, config.bot_limit, every).filter(priced)
     return (
         with_category_parts(with_time_parts(kept))
         .withColumn("event_id", event_key())
         .withColumn("brand", F.coalesce("brand", F.lit(UNKNOWN)))
-        .drop("price_raw")
+        .drop("price_raw", "_batch")
     )

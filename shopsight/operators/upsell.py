@@ -7,7 +7,6 @@ row per user and category, the form to write once when several steps share it.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
@@ -16,7 +15,6 @@ from shopsight.config import UpsellConfig
 from shopsight.functions.events import UNKNOWN, is_type
 from shopsight.functions.numbers import ratio
 from shopsight.operators.features import category_stats
-from shopsight.operators.ranking import running_totals
 from shopsight.sources.tables import materialise
 
 MASK_BITS = 62
@@ -96,36 +94,17 @@ def _position(names: list[str]) -> Column:
     return F.array_position(F.lit(names), F.col("category")) - 1 if names else F.lit(-1).cast("long")
 
 
-def co_buyers(pairs: DataFrame, n: int) -> DataFrame:
-    """(x, y, buyers) for category positions below n, from (user_id, idx) rows.
+def co_buyers(owned: DataFrame) -> DataFrame:
+    """(cat_x, cat_y, buyers) of all categories that some user holds both of, from (user_id, category) rows.
 
-    No pairs are emitted per user. Users collapse to bit sets (bit_or combines before the
-    shuffle and ignores repeats), bit sets to distinct baskets with a count; a basket then
-    yields one row per category it holds, and the other side is a conditional sum per category.
+    No pairs are emitted per user: users collapse to distinct baskets with a count, and a basket, which is no larger than
+    the catalogue, yields its pairs once, added up before the shuffle.
     """
-    firsts = range(0, n, MASK_BITS)
-    blocks = {f"m{first // MASK_BITS}": first for first in firsts}
-    masks = [
-        F.expr(
-            f"coalesce(bit_or(if(idx div {MASK_BITS} = {first // MASK_BITS}, "
-            f"shiftleft(1L, cast(idx % {MASK_BITS} as int)), 0L)), 0L)"
-        ).alias(m)
-        for m, first in blocks.items()
-    ]
-    baskets = pairs.groupBy("user_id").agg(*masks).groupBy(*blocks).agg(F.count("*").alias("users"))
-    if len(blocks) > 1:
-        baskets = materialise(baskets, "baskets")
-    held = [
-        f"transform(filter(sequence(0, {min(MASK_BITS, n - first) - 1}), i -> (shiftright({m}, i) & 1L) = 1L), i -> i + {first})"
-        for m, first in blocks.items()
-    ]
-    items = baskets.withColumn("x", F.expr(f"explode(concat({', '.join(held)}))"))
-    parts = []
-    for m, first in blocks.items():
-        sums = [f"sum(if((shiftright({m}, {i}) & 1L) = 1L, users, 0L))" for i in range(min(MASK_BITS, n - first))]
-        wide = items.groupBy("x").agg(F.expr(f"array({', '.join(sums)})").alias("b"))
-        parts.append(wide.selectExpr("x", "posexplode(b) as (i, buyers)").selectExpr("x", f"i + {first} as y", "buyers"))
-    return reduce(DataFrame.unionByName, parts)
+    baskets = owned.groupBy("user_id").agg(F.sort_array(F.collect_set("category")).alias("basket"))
+    counted = baskets.groupBy("basket").agg(F.count("*").alias("users"))
+    first = counted.select("users", "basket", F.explode("basket").alias("cat_x"))
+    pairs = first.select("users", "cat_x", F.explode("basket").alias("cat_y"))
+    return pairs.groupBy("cat_x", "cat_y").agg(F.sum("users").alias("buyers"))
 
 
 def affinity_counts(demand: DataFrame, n: int = 10) -> DataFrame:
@@ -134,10 +113,10 @@ def affinity_counts(demand: DataFrame, n: int = 10) -> DataFrame:
 
 
 def _counts_among(demand: DataFrame, names: list[str]) -> DataFrame:
-    marked = _bought(demand).select("user_id", _position(names).alias("idx")).filter("idx >= 0")
-    counts = co_buyers(marked, max(len(names), 1))
-    listed = F.lit(names) if names else F.array().cast("array<string>")
-    return counts.select(F.get(listed, "x").alias("cat_x"), F.get(listed, "y").alias("cat_y"), "buyers")
+    """Counts for all pairs of a short list of names, zeros included."""
+    grid = demand.sparkSession.createDataFrame([(x, y) for x in names for y in names], "cat_x string, cat_y string")
+    counts = co_buyers(_bought(demand).select("user_id", "category").filter(F.col("category").isin(names)))
+    return grid.join(counts, ["cat_x", "cat_y"], "left").fillna(0, ["buyers"])
 
 
 def _bought(demand: DataFrame) -> DataFrame:
@@ -164,19 +143,7 @@ def _as_shares(counts: DataFrame, digits: int) -> DataFrame:
 
 def copurchase_pairs(demand: DataFrame) -> DataFrame:
     """Buyers shared by every two different categories, whole catalogue."""
-    owned = materialise(_owned(demand), "owned")
-    catalogue = running_totals(
-        owned.select("category").distinct().withColumn("n", F.lit(1).cast("long")), ["category"], ["n"]
-    ).select(F.col("n_before").alias("idx"), "category")
-    catalogue = materialise(catalogue, "catalogue")
-    n = catalogue.count()
-    if n == 0:
-        return owned.sparkSession.createDataFrame([], "cat_x string, cat_y string, buyers long")
-    counts = co_buyers(owned.join(catalogue, "category").select("user_id", "idx"), n)
-    left = catalogue.select(F.col("idx").alias("x"), F.col("category").alias("cat_x"))
-    right = catalogue.select(F.col("idx").alias("y"), F.col("category").alias("cat_y"))
-    shared = counts.filter("x <> y and buyers > 0")
-    return shared.join(left, "x").join(right, "y").select("cat_x", "cat_y", "buyers")
+    return co_buyers(_owned(demand)).filter("cat_x <> cat_y")
 
 
 def _owned(demand: DataFrame) -> DataFrame:

@@ -12,9 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsight.config import ChurnConfig, ModelConfig, RfmConfig, SilverConfig, UpsellConfig
-from shopsight.functions.events import as_facts, event_key, is_type, with_category, with_category_parts, with_time_parts
-from shopsight.functions.labels import risk_tier
-from shopsight.functions.numbers import hash_bucket
+from shopsight.functions.events import as_facts, event_key, with_category, with_category_parts, with_time_parts
 from shopsight.operators import bronze, churn, features, metrics, modeling, quality, rfm, scoring, silver, upsell
 from shopsight.operators.panels import behaviour, overview, products, tiers
 from shopsight.plans import dashboard, ingest, training
@@ -27,7 +25,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 EVENTS_CHURN = ChurnConfig("2024-01-01", "2024-01-28", "2024-01-31")
 ORDER_COHORT = ChurnConfig("2000-01-01", "2001-01-01", "2002-01-01")
 EVENTS_RFM = RfmConfig(ref_date="2024-01-31")
-SILVER = SilverConfig(bot_limit=5, lookback_days=1)
+SILVER = SilverConfig(bot_limit=5)
 SILVER_CUT = "2024-01-20"
 UPSELL = UpsellConfig(alpha=1.0)
 
@@ -127,29 +125,31 @@ def csv_roundtrip(spark, d):
 
 
 def month_union(spark, d):
-    """Two yearly inputs, tagged and concatenated."""
+    """Yearly inputs, tagged and concatenated."""
     purchases = shop.shop_purchases(spark, d)
-    frames = {
-        year: purchases.filter(churn.in_period(f"{year}-01-01", f"{int(year) + 1}-01-01")) for year in ("2000", "2001")
-    }
+    frames = {str(y): purchases.filter(churn.in_period(f"{y}-01-01", f"{y + 1}-01-01")) for y in range(1995, 2002)}
     tagged = raw.union_periods(frames, "period")
     return tagged.groupBy("period").agg(F.count("*").alias("events"), F.countDistinct("user_id").alias("users"))
 
 
 def bronze_partition_counts(spark, d):
+    """Two batches that share days and rows, late rows in the second, which arrives twice."""
     path = tables.scratch_path(prepare(spark), "bronze")
-    events = bronze.dedup_events(_bronze(spark, d))
-    bronze.write_bronze(bronze.with_ingestion_columns(events, "2024-01-31", "shop"), path)
-    table = spark.read.parquet(path)
+    events = tables.materialise(bronze.dedup_events(_bronze(spark, d)), "batches")
+    early = events.filter((F.col("event_date") < F.lit(SILVER_CUT).cast("date")) & (F.col("product_id") % 3 > 0))
+    for source, batch in (("early", early), ("late", events), ("late", events)):
+        bronze.write_bronze(bronze.with_ingestion_columns(batch, "2024-01-31", source), path)
+    table = bronze.dedup_events(spark.read.parquet(path).drop("_ingested_at", "_source", "_run_date", bronze.BATCH))
     return table.groupBy("event_month", "event_date").agg(F.count("*").alias("events"))
 
 
 def silver_incremental_merge(spark, d):
-    """First load up to the cut, then the rest with a day of look-back."""
+    """Three loads: rows missing all over the first period, the rest of it, then everything."""
     path = tables.scratch_path(prepare(spark), "silver")
     events = tables.materialise(_as_bronze(spark, d), "bronze")
-    ingest.refresh_silver(events.filter(F.col("event_date") < F.lit(SILVER_CUT).cast("date")), path, SILVER)
-    ingest.refresh_silver(events, path, SILVER)
+    first = events.filter(F.col("event_date") < F.lit(SILVER_CUT).cast("date"))
+    for known in (first.filter("product_id % 2 = 0"), first, events):
+        ingest.refresh_silver(known, path, SILVER)
     return spark.read.parquet(path).select("event_id", "event_date", "event_type", "user_session", "price", "brand")
 
 
@@ -267,7 +267,7 @@ def panel_contract(spark, d):
 
 # Models ---------------------------------------------------------------------------------
 
-MODELS = ModelConfig(rf_trees=100, gbt_iterations=100)
+MODELS = ModelConfig()
 
 
 def _fit_one(name: str) -> Query:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.config import RfmConfig, SilverConfig
+from shopsight.config import DEDUP_KEYS, RfmConfig, SilverConfig
 from shopsight.functions.events import with_category
 from shopsight.operators import bronze, features, quality, rfm, upsell
 from shopsight.operators.silver import build_silver
@@ -24,32 +24,51 @@ class IngestReport:
 def ingest(
     spark: SparkSession, source: str, target: str, run_date: str, month: str | None = None
 ) -> IngestReport:
-    """CSV files matching `source` into the bronze table. Running it again changes nothing."""
+    """CSV files matching `source` into the bronze table, as one batch. Running it again changes nothing."""
     raw = read_checked_csv(spark, source)
     metrics = tables.materialise(quality.dq_metrics(raw), "dq")
-    events = bronze.dedup_events(bronze.clean_events(raw, month))
+    named = raw.withColumn("_source", F.col("_metadata.file_path"))
+    events = bronze.dedup_events(bronze.clean_events(named, month))
     bronze.write_bronze(bronze.with_ingestion_columns(events, run_date, source), target)
-    written = spark.read.parquet(target)
+    written = spark.read.parquet(target).filter(F.col(bronze.BATCH) == bronze.batch_name(source, run_date))
     if month is not None:
         written = written.filter(F.col("event_month") == month)
     return IngestReport(metrics, written.count())
 
 
 def refresh_silver(bronze_events: DataFrame, path: str, config: SilverConfig = SilverConfig()) -> None:
-    """Load the days from `lookback_days` before the newest loaded day on, replacing rows by key.
+    """Bring silver to what a full rebuild from bronze would give, rewriting only the days that can differ.
 
-    The first run loads everything. Session sizes are counted over the reprocessed days.
+    These are the days whose events have changed since the last run, however old, and all days on which the sessions
+    of such a day have events, as those may have become bots. Sessions are sized over all events. Batches may
+    overlap: events are de-duplicated across them. One row per day passes through the driver.
     """
     spark = bronze_events.sparkSession
-    newest = tables.latest_partition(spark, path, *bronze.PARTITIONS)
-    since = None
-    if newest is not None:
-        since = spark.range(1).select(
-            F.date_sub(F.lit(newest).cast("date"), config.lookback_days).cast("string")
-        ).first()[0]
-        bronze_events = bronze_events.filter(F.col("event_date") >= F.lit(since).cast("date"))
-    silver = build_silver(bronze_events, config)
-    tables.upsert_partitions(silver, path, "event_id", bronze.PARTITIONS, since)
+    state_path = f"{path.rstrip('/')}_days"
+    events = bronze.dedup_events(bronze_events)
+    content = F.sum(F.xxhash64(*DEDUP_KEYS, "price_raw").cast("decimal(38,0)")).cast("string")
+    days = tables.materialise(events.groupBy("event_date").agg(F.count("*").alias("n"), content.alias("content")), "days")
+    if tables.path_exists(spark, state_path):
+        known = spark.read.parquet(state_path).toDF("day", "n0", "content0")
+        both = days.join(known, days["event_date"] == known["day"], "full")
+        differs = ~(F.col("n").eqNullSafe(F.col("n0")) & F.col("content").eqNullSafe(F.col("content0")))
+        changed = [r[0] for r in both.filter(differs).select(F.coalesce("event_date", "day")).collect()]
+        if not changed:
+            return
+        sessions = events.filter(F.col("event_date").isin(changed) & F.col("user_session").isNotNull())
+        sessions = tables.materialise(sessions.select("user_session").distinct(), "sessions")
+        more = events.join(sessions, "user_session", "left_semi").select("event_date").distinct()
+        affected = sorted({*changed, *(r[0] for r in more.collect())})
+        silver = build_silver(events.filter(F.col("event_date").isin(affected)), config, events)
+    else:
+        affected, silver = [], build_silver(events, config)
+    silver = tables.materialise(silver, "silver")
+    tables.write_partitioned(silver, path, bronze.PARTITIONS)
+    filled = {r[0] for r in silver.select("event_date").distinct().collect()}
+    for day in affected:
+        if day not in filled:
+            tables.drop_partition(spark, path, event_month=day.strftime("%Y-%m"), event_date=day.isoformat())
+    days.write.mode("overwrite").parquet(state_path)
 
 
 def build_gold(silver: DataFrame, folder: str, rfm_config: RfmConfig = RfmConfig()) -> None:

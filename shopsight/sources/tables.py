@@ -1,32 +1,28 @@
-"""Tables: scratch copies that cut lineage, partitioned writes and incremental upserts."""
+"""Tables: scratch copies that cut lineage, partitioned writes."""
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_fallback_root: dict[str, str] = {}
 _written: dict[str, list[str]] = {}
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder of the cluster (spark.checkpoint.dir); a temporary one only in local mode."""
+    """Shared folder of the cluster (spark.checkpoint.dir), else one below the warehouse."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/") + "/shopsight"
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _fallback_root:
-        _fallback_root[app] = tempfile.mkdtemp(prefix="shopsight-")
-    return _fallback_root[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shopsight"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    """A new path, removed by `release`."""
+    path = f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -34,7 +30,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    _written.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -91,37 +86,7 @@ def publish(df: DataFrame, path: str) -> None:
     write_table(df.withColumn("scored_at", F.current_timestamp()), path)
 
 
-def latest_partition(spark: SparkSession, path: str, *columns: str) -> str | None:
-    """Greatest value of the last partition column, from directory names alone."""
-    fs, current = _file_system(spark, path)
-    if not fs.exists(current):
-        return None
-    value = None
-    for column in columns:
-        prefix = f"{column}="
-        names = [s.getPath().getName() for s in fs.listStatus(current) if s.isDirectory()]
-        values = sorted(n[len(prefix):] for n in names if n.startswith(prefix))
-        if not values:
-            return None
-        value = values[-1]
-        current = spark._jvm.org.apache.hadoop.fs.Path(current, prefix + value)
-    return value
-
-
-def upsert_partitions(
-    new: DataFrame, path: str, key: str, partitions: tuple[str, ...], since: str | None
-) -> None:
-    """Merge `new` into a partitioned table: same key replaced, other rows of the period kept.
-
-    Only partitions from `since` on are read back. The merged rows are written to scratch
-    first, because the table being overwritten is also the one being read.
-    """
-    spark = new.sparkSession
-    if since is not None and path_exists(spark, path):
-        kept = (
-            spark.read.parquet(path)
-            .filter(F.col(partitions[-1]) >= F.lit(since).cast("date"))
-            .join(new.select(key), key, "left_anti")
-        )
-        new = materialise(new.unionByName(kept), "upsert")
-    write_partitioned(new, path, partitions)
+def drop_partition(spark: SparkSession, path: str, **values: str) -> None:
+    """Remove one partition folder, if there is one."""
+    fs, folder = _file_system(spark, "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in values.items())]))
+    fs.delete(folder, True)

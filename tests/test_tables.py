@@ -49,16 +49,14 @@ def test_write_replaces_only_its_partitions(spark, folder):
     tables.write_partitioned(rows, path, bronze.PARTITIONS)
     tables.write_partitioned(rows.filter("v = 2").withColumn("v", F.lit(9)), path, bronze.PARTITIONS)
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 9]
-    assert tables.latest_partition(spark, path, *bronze.PARTITIONS) == "2024-01-02"
-    assert tables.latest_partition(spark, f"{folder}/none", "event_date") is None
 
 
 def silver_events(spark):
     return tables.materialise(catalog._as_bronze(spark, SMALL), "test-bronze")
 
 
-def test_late_rows_within_the_look_back_arrive(spark, folder):
-    path, config = f"{folder}/silver", SilverConfig(bot_limit=500, lookback_days=1)
+def test_late_rows_arrive(spark, folder):
+    path, config = f"{folder}/silver", SilverConfig(bot_limit=500)
     events = silver_events(spark)
     known = events.filter("event_date <= date'2024-01-20'")
     late = (F.col("event_date") == F.lit("2024-01-20").cast("date")) & (F.col("product_id") % 2 == 0)
@@ -70,7 +68,7 @@ def test_late_rows_within_the_look_back_arrive(spark, folder):
 
 
 def test_refresh_twice_and_in_steps_equals_once(spark, folder):
-    config = SilverConfig(bot_limit=5, lookback_days=1)
+    config = SilverConfig(bot_limit=5)
     events = silver_events(spark)
     ingest.refresh_silver(events, f"{folder}/once", config)
     for cut in ("2024-01-10", "2024-01-20", "2024-01-20", "2024-02-01"):
@@ -78,6 +76,37 @@ def test_refresh_twice_and_in_steps_equals_once(spark, folder):
     assert snapshot(spark, f"{folder}/once") == snapshot(spark, f"{folder}/steps")
 
 
+def event_rows(spark, day, session, products):
+    rows = [(f"{day} 10:00:{p % 60:02d}", "view", p, None, "a.b", "x", 1.0, 1.0, 1, session) for p in products]
+    schema = "event_time string, event_type string, product_id long, category_id long, category_code string, brand string, price_raw double, price double, user_id long, user_session string"
+    df = spark.createDataFrame(rows, schema)
+    return bronze.with_category_parts(bronze.with_time_parts(df.withColumn("event_time", df.event_time.cast("timestamp"))))
+
+
+def test_a_later_batch_with_late_rows_keeps_the_day(spark, folder):
+    path = f"{folder}/bronze"
+    first = event_rows(spark, "2019-11-01", "s", range(50))
+    second = event_rows(spark, "2019-11-02", "s", range(30)).union(event_rows(spark, "2019-11-01", "late", [99]))
+    for name, batch in (("a", first), ("b", second), ("b", second)):
+        bronze.write_bronze(bronze.with_ingestion_columns(batch, "2019-11-03", name), path)
+    counts = {str(r.event_date): r["count"] for r in spark.read.parquet(path).groupBy("event_date").count().collect()}
+    assert counts == {"2019-11-01": 51, "2019-11-02": 30}
+
+
+def test_silver_in_steps_equals_a_rebuild(spark, folder):
+    """A session that grows past the limit, one across a day border, rows long late, a day that empties."""
+    config, path = SilverConfig(bot_limit=5), f"{folder}/silver"
+    steps = [event_rows(spark, "2019-11-05", "grows", range(5))]
+    steps.append(steps[-1].union(event_rows(spark, "2019-11-09", "border", range(4))).union(event_rows(spark, "2019-11-10", "fine", range(3))))
+    steps.append(steps[-1].union(event_rows(spark, "2019-11-05", "grows", range(5, 8))).union(event_rows(spark, "2019-11-10", "border", range(4))))
+    steps.append(steps[-1].union(event_rows(spark, "2019-11-01", "old", range(2))).union(event_rows(spark, "2019-11-10", "fine", range(3))))
+    for i, events in enumerate(steps):
+        ingest.refresh_silver(events, path, config)
+        ingest.refresh_silver(events, f"{folder}/once{i}", config)
+        assert snapshot(spark, path) == snapshot(spark, f"{folder}/once{i}")
+    assert {r.user_session for r in spark.read.parquet(path).collect()} == {"fine", "old"}
+
+
 def test_gold_and_panels_are_written(spark, folder):
     events = catalog._events(spark, SMALL)
     ingest.build_gold(events, f"{folder}/gold")
