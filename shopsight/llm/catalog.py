@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, fingerprint, html, jaccard, mixing, packing, quality, substring, suffixdedup, warc, workers
+from . import chat, fingerprint, html, jaccard, mixing, packing, quality, statements, substring, suffixdedup, warc, workers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -78,4 +78,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return statements.oracle_sql()
