@@ -387,6 +387,11 @@ def churn_statements() -> dict[str, str]:
     fn, tn = n("churn_score <= 0.5 AND churned = 1"), n("churn_score <= 0.5 AND churned = 0")
     return {
         "churn_features": with_shared("ev", extra=CHURN, select="SELECT * FROM feat"),
+        "churn_features_gold": with_shared(
+            "ev",
+            extra={**CHURN, **rfm_ctes("observed", "2024-01-28")},
+            select="SELECT feat.*, r_score, f_score, m_score, rfm_score, segment FROM feat LEFT JOIN rfm USING (user_id)",
+        ),
         "churn_labels": with_shared("ev", extra=CHURN, select="SELECT user_id, churned FROM feat"),
         "churned_buyers": with_shared("buys", select=f"{y2000} EXCEPT {y2001}"),
         "retained_buyers": with_shared("buys", select=f"{y2000} INTERSECT {y2001}"),
@@ -572,6 +577,13 @@ def upsell_statements() -> dict[str, str]:
             UNION ALL SELECT 'avg_churn_score', NULL, {half_up('avg(churn_score)', 6)} FROM rule
             UNION ALL SELECT 'segment', segment, COUNT(*) FROM rfm GROUP BY segment""",
         ),
+        "upsell_lookup_batch": with_shared(
+            "ev",
+            extra=ctes,
+            select="""
+            SELECT c_custkey AS user_id, user_id IS NOT NULL AS found, rank, category, upsell_score, opportunity, affinity
+            FROM customer LEFT JOIN (SELECT * FROM ranked WHERE rank <= 5) ON user_id = c_custkey""",
+        ),
         "score_lookup_batch": with_shared(
             "ev",
             extra={
@@ -582,6 +594,7 @@ def upsell_statements() -> dict[str, str]:
             select="""
             SELECT c.c_custkey AS user_id, s.user_id IS NOT NULL AS churn_found, s.churn_score, s.churn_risk,
                    r.user_id IS NOT NULL AS segment_found, r.segment, r.rfm_score, r.r_score, r.f_score, r.m_score,
+                   r.recency, r.frequency, r.monetary,
                    b.user_id IS NOT NULL AS upsell_found, coalesce(b.names, '') AS recommendations
             FROM customer c LEFT JOIN rule s ON s.user_id = c.c_custkey LEFT JOIN rfm r ON r.user_id = c.c_custkey
             LEFT JOIN best b ON b.user_id = c.c_custkey""",

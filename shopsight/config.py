@@ -22,6 +22,7 @@ CHURN_FEATURES = (
 DEDUP_KEYS = ("user_id", "user_session", "event_time", "event_type", "product_id")
 
 
+# The defaults below.
 @dataclass(frozen=True)
 class SilverConfig:
     bot_limit: int = 500

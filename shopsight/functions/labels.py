@@ -20,6 +20,7 @@ SEGMENT_ACTIONS = (
 
 def segment(r: Column, f: Column) -> Column:
     """Customer segment from recency and frequency scores, first matching rule wins."""
+    # Bounds and names.
     return (
         F.when((r >= 4) & (f >= 4), "Champions")
         .when((r >= 3) & (f >= 3), "Loyal")

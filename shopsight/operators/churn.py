@@ -5,10 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shopsight.config import ChurnConfig
+from shopsight.config import ChurnConfig, RfmConfig
 from shopsight.functions.events import category_part, is_type
 from shopsight.functions.numbers import cents, from_cents, panel_number, ratio
-from shopsight.operators.rfm import recency_days
+from shopsight.operators.rfm import customer_rfm, recency_days
 
 
 def in_period(start: str, end: str) -> Column:
@@ -108,3 +108,11 @@ def churn_features(events: DataFrame, config: ChurnConfig) -> DataFrame:
         ratio(F.col("n_carts"), F.col("frequency")).alias("cart_to_pur_ratio"),
         (F.col("_later") == 0).cast("int").alias("churned"),
     )
+
+
+def churn_features_gold(events: DataFrame, config: ChurnConfig) -> DataFrame:
+    """Churn features beside the RFM scores and segment of the same observation period."""
+    observed = events.filter(in_period(config.start, config.cut))
+    scored = customer_rfm(observed, RfmConfig(ref_date=config.reference), breadth=False)
+    segments = scored.select("user_id", "r_score", "f_score", "m_score", "rfm_score", "segment")
+    return churn_features(events, config).join(segments, "user_id", "left")

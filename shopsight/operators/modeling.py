@@ -20,6 +20,7 @@ from shopsight.operators.metrics import binary_metrics
 from shopsight.operators.quality import require_columns
 from shopsight.sources.tables import materialise
 
+# Model names of the panels.
 LOGISTIC, FOREST, BOOSTING = "Logistic Regression", "Random Forest", "Gradient Boosting"
 MODELS = (LOGISTIC, FOREST, BOOSTING)
 
@@ -117,16 +118,22 @@ def test_scores(model: PipelineModel, data: Training) -> DataFrame:
 
 def evaluate(models: dict[str, PipelineModel], data: Training) -> DataFrame:
     """One metric row per model, all models evaluated in one pass over their stacked test scores."""
+    return binary_metrics(stacked_scores(models, data), group=("model",))
+
+
+def stacked_scores(models: dict[str, PipelineModel], data: Training) -> DataFrame:
+    """(model, user_id, label, score) of the test rows, written once."""
     stacked = None
     for name, model in models.items():
         part = test_scores(model, data).withColumn("model", F.lit(name))
         stacked = part if stacked is None else stacked.unionByName(part)
-    return binary_metrics(materialise(stacked, "test-scores"), group=("model",))
+    return materialise(stacked, "test-scores")
 
 
 def cross_validate(name: str, data: Training, config: ModelConfig = ModelConfig(), parallelism: int = 5) -> tuple[float, float]:
-    """Mean and standard deviation of the AUC over hash folds of the training rows."""
-    folded = data.train.withColumn("fold", hash_bucket(F.col("user_id"), config.seed + 1, config.folds))
+    """Mean and standard deviation of the AUC over hash folds of the training rows; user and label are hashed, as in the split."""
+    key = F.concat_ws("-", F.col("churned").cast("string"), F.col("user_id").cast("string"))
+    folded = data.train.withColumn("fold", hash_bucket(key, config.seed + 1, config.folds))
     pipeline = build_pipeline(name, data.train_rows, config)
     validator = CrossValidator(
         estimator=pipeline,

@@ -9,6 +9,9 @@ from shopsight.functions.labels import risk_tier
 from shopsight.operators.ranking import top_per_group
 
 
+SEGMENT_COLUMNS = ("segment", "rfm_score", "r_score", "f_score", "m_score", "recency", "frequency", "monetary")
+
+
 def with_risk(scores: DataFrame) -> DataFrame:
     return scores.withColumn("churn_risk", risk_tier(F.col("churn_score")))
 
@@ -61,7 +64,7 @@ def lookup_scores(requested: DataFrame, churn: DataFrame, rfm: DataFrame, upsell
     return (
         requested.select("user_id")
         .join(churn.select("user_id", "churn_score", "churn_risk"), "user_id", "left")
-        .join(rfm.select("user_id", "segment", "rfm_score", "r_score", "f_score", "m_score"), "user_id", "left")
+        .join(rfm.select("user_id", *SEGMENT_COLUMNS), "user_id", "left")
         .join(best, "user_id", "left")
         .select(
             "user_id",
@@ -69,12 +72,22 @@ def lookup_scores(requested: DataFrame, churn: DataFrame, rfm: DataFrame, upsell
             "churn_score",
             "churn_risk",
             F.col("segment").isNotNull().alias("segment_found"),
-            "segment",
-            "rfm_score",
-            "r_score",
-            "f_score",
-            "m_score",
+            *SEGMENT_COLUMNS,
             F.col("_top").isNotNull().alias("upsell_found"),
             F.concat_ws(",", F.transform("_top", lambda t: t["category"])).alias("recommendations"),
         )
     )
+
+
+def lookup_upsell(requested: DataFrame, upsell: DataFrame, top_k: int = 5) -> DataFrame:
+    """One row per requested user and recommendation with its scores; users without any have one row, not found."""
+    best = top_per_group(upsell, ["user_id"], [F.col("upsell_score").desc(), F.col("rank")], top_k, rank="_k")
+    return requested.select("user_id").join(best, "user_id", "left").select(
+        "user_id",
+        F.col("_k").isNotNull().alias("found"),
+        F.col("_k").alias("rank"),
+        "category",
+        "upsell_score",
+        "opportunity",
+        "affinity",
+    )

@@ -219,6 +219,11 @@ def score_lookup_batch(spark, d):
     return scoring.lookup_scores(requested, _rule_scores(spark, d), scores, recommended)
 
 
+def upsell_lookup_batch(spark, d):
+    """Every customer asks for recommendations with their scores."""
+    return scoring.lookup_upsell(shop.customers(spark, d), _recommend(spark, d, upsell.upsell_top_k))
+
+
 def stratified_split(spark, d):
     return modeling.with_split(_churn_features(spark, d)).select("user_id", "churned", "is_test")
 
@@ -294,6 +299,20 @@ def champion_gate(spark, d):
     return training.promote(trained, tables.scratch_path(spark, "champion"), MODELS)
 
 
+def model_roc_curves(spark, d):
+    """Hold-out curves of all three models."""
+    data = modeling.prepare(_churn_features(spark, d), MODELS)
+    models = {name: modeling.fit(name, data, MODELS) for name in modeling.MODELS}
+    return metrics.roc_curve(modeling.stacked_scores(models, data), group=("model",))
+
+
+def model_score_histogram(spark, d):
+    """Scores that boosting gives to all users."""
+    users = tables.materialise(_churn_features(spark, d), "features")
+    model = modeling.fit(modeling.BOOSTING, modeling.prepare(users, MODELS), MODELS)
+    return metrics.score_histogram(model.transform(users).select(modeling.churn_probability().alias("score")))
+
+
 def model_summary(spark, d):
     trained = training.train(_churn_features(spark, d), MODELS, (modeling.LOGISTIC, modeling.FOREST))
     return training.model_summary(trained, MODELS)
@@ -306,7 +325,9 @@ def churn_scores(spark, d):
     trained = training.train(users, config)
     path = tables.scratch_path(spark, "champion")
     training.promote(trained, path, config)
-    return modeling.score_users(users, path)
+    published = tables.scratch_path(spark, "churn-scores")
+    tables.publish(modeling.score_users(users, path), published)
+    return spark.read.parquet(published)
 
 
 # Streams --------------------------------------------------------------------------------
@@ -364,6 +385,7 @@ def queries() -> dict[str, Query]:
         "category_stats": lambda s, d: features.category_stats(_events(s, d, "full")),
         "distinct_counts": lambda s, d: features.distinct_counts(_events(s, d)),
         "churn_features": _churn_features,
+        "churn_features_gold": lambda s, d: churn.churn_features_gold(_events(s, d), EVENTS_CHURN),
         "customer_rfm": customer_rfm,
         "rfm_percent_rank": lambda s, d: _scores_only(_order_rfm(s, d)),
         "rfm_qcut": lambda s, d: _scores_only(_order_rfm(s, d, "qcut")),
@@ -416,6 +438,7 @@ def queries() -> dict[str, Query]:
         "score_histogram": lambda s, d: metrics.score_histogram(_labelled_rule_scores(s, d)),
         "score_overview": score_overview,
         "score_lookup_batch": score_lookup_batch,
+        "upsell_lookup_batch": upsell_lookup_batch,
         "binary_metrics": lambda s, d: metrics.binary_metrics(_labelled_rule_scores(s, d)),
         "roc_curve": lambda s, d: metrics.roc_curve(_labelled_rule_scores(s, d)),
         "class_weights": lambda s, d: modeling.class_weights(_churn_features(s, d)),
@@ -429,6 +452,8 @@ def queries() -> dict[str, Query]:
         "feature_importance": feature_importance,
         "champion_gate": champion_gate,
         "model_summary": model_summary,
+        "model_roc_curves": model_roc_curves,
+        "model_score_histogram": model_score_histogram,
         "churn_scores": churn_scores,
         "stream_bronze": stream_bronze,
         "stream_daily_events": stream_daily_events,

@@ -7,9 +7,9 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.config import DEDUP_KEYS, RfmConfig, SilverConfig
+from shopsight.config import DEDUP_KEYS, ChurnConfig, RfmConfig, SilverConfig
 from shopsight.functions.events import with_category
-from shopsight.operators import bronze, features, quality, rfm, upsell
+from shopsight.operators import bronze, churn, features, quality, rfm, upsell
 from shopsight.operators.silver import build_silver
 from shopsight.sources import tables
 from shopsight.sources.raw import read_checked_csv
@@ -71,7 +71,9 @@ def refresh_silver(bronze_events: DataFrame, path: str, config: SilverConfig = S
     days.write.mode("overwrite").parquet(state_path)
 
 
-def build_gold(silver: DataFrame, folder: str, rfm_config: RfmConfig = RfmConfig()) -> None:
+def build_gold(
+    silver: DataFrame, folder: str, rfm_config: RfmConfig = RfmConfig(), churn_config: ChurnConfig = ChurnConfig()
+) -> None:
     """Full refresh of the gold and feature tables, one folder per table."""
     by_root = with_category(silver, "root")
     outputs = {
@@ -80,6 +82,7 @@ def build_gold(silver: DataFrame, folder: str, rfm_config: RfmConfig = RfmConfig
         "user_features": features.user_features(silver, rfm_config.ref_date),
         "product_features": features.product_features(silver),
         "session_features": features.session_features(silver),
+        "churn_features": churn.churn_features_gold(silver, churn_config),
     }
     for name, df in outputs.items():
         tables.write_table(df.withColumn("computed_at", F.current_timestamp()), f"{folder}/{name}")

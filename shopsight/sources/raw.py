@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from shopsight.functions.numbers import hash_bucket
 from shopsight.sources.tables import require_sources
 
+# Columns and types of the event files.
 RAW_SCHEMA = T.StructType(
     [
         T.StructField("event_time", T.StringType()),

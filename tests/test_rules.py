@@ -394,8 +394,12 @@ def test_metrics_with_one_class(spark):
 
 def test_lookup_reports_unknown_users(spark):
     churned = scoring.with_risk(spark.createDataFrame([(1, 0.7)], "user_id long, churn_score double"))
-    segments = spark.createDataFrame([(1, "Lost", 3, 1, 1, 1)], "user_id long, segment string, rfm_score int, r_score int, f_score int, m_score int")
-    recs = spark.createDataFrame([(1, r, f"c{r}", 1.0 / r) for r in range(1, 8)], "user_id long, rank int, category string, upsell_score double")
+    segments = spark.createDataFrame([(1, "Lost", 3, 1, 1, 1, 40, 2, 9.5)], "user_id long, segment string, rfm_score int, r_score int, f_score int, m_score int, recency int, frequency long, monetary double")
+    recs = spark.createDataFrame([(1, r, f"c{r}", 1.0 / r, 0.5, 0.1) for r in range(1, 8)], "user_id long, rank int, category string, upsell_score double, opportunity double, affinity double")
     got = scoring.lookup_scores(spark.createDataFrame([(1,), (2,)], "user_id long"), churned, segments, recs, 3)
     assert values(got, "user_id", "churn_found", "churn_risk", "recommendations") == [
         (1, True, "High", "c1,c2,c3"), (2, False, None, "")]
+    assert values(got, "user_id", "recency", "monetary") == [(1, 40, 9.5), (2, None, None)]
+    items = scoring.lookup_upsell(spark.createDataFrame([(1,), (2,)], "user_id long"), recs, 2)
+    assert values(items.fillna(0, ["rank"]), "user_id", "rank", "found", "category", "opportunity") == [
+        (1, 1, True, "c1", 0.5), (1, 2, True, "c2", 0.5), (2, 0, False, None, None)]

@@ -109,9 +109,10 @@ def test_silver_in_steps_equals_a_rebuild(spark, folder):
 
 def test_gold_and_panels_are_written(spark, folder):
     events = catalog._events(spark, SMALL)
-    ingest.build_gold(events, f"{folder}/gold")
+    ingest.build_gold(events, f"{folder}/gold", churn_config=catalog.EVENTS_CHURN)
     dashboard.write_panels(events, f"{folder}/panels")
     assert spark.read.parquet(f"{folder}/gold/customer_rfm").count() == 15
+    assert {"churned", "segment"} <= set(spark.read.parquet(f"{folder}/gold/churn_features").columns)
     assert spark.read.parquet(f"{folder}/panels/weekday_hour_heatmap").count() == 336
 
 
