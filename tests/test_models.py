@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopsight.config import CHURN_FEATURES, ModelConfig
-from shopsight.operators import modeling
+from shopsight.operators import metrics, modeling
 from shopsight.plans import training
 
 CONFIG = ModelConfig(rf_trees=10, rf_depth=3, gbt_iterations=5, gbt_depth=2, folds=3)
@@ -78,3 +78,9 @@ def test_summary_has_cross_validation(spark, trained):
     only = training.Trained({modeling.LOGISTIC: trained.models[modeling.LOGISTIC]}, trained.metrics, trained.data)
     row = training.model_summary(only, CONFIG).first()
     assert 0.5 < row.cv_auc_mean <= 1 and row.cv_auc_std >= 0
+
+
+def test_every_model_has_a_curve(trained):
+    curves = metrics.roc_curve(modeling.stacked_scores(trained.models, trained.data), group=("model",))
+    ends = curves.groupBy("model").agg(F.max("fpr").alias("fpr"), F.max("tpr").alias("tpr")).collect()
+    assert {r.model for r in ends} == set(modeling.MODELS) and all(r.fpr == r.tpr == 1.0 for r in ends)
