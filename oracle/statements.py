@@ -776,19 +776,18 @@ def panel_statements() -> dict[str, str]:
 def stream_statements() -> dict[str, str]:
     views, carts, bought = n("event_type = 'view'"), n("event_type = 'cart'"), n("event_type = 'purchase'")
     cents = "CAST(coalesce(SUM(CAST(price AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase'), 0) * 100 AS BIGINT)"
-    watermark = "(SELECT MAX(event_time) - INTERVAL 1 DAY FROM ev_all)"
     return {
         "stream_bronze": with_shared(
             "ev",
-            select="""SELECT DISTINCT epoch_us(event_time) AS event_us, event_type, product_id, price, user_id, user_session,
-                      CAST(event_time AS DATE) AS event_date FROM ev""",
+            select="""SELECT DISTINCT epoch_us(event_time) AS event_us, event_type, product_id, category_code, brand, price,
+                      user_id, user_session, CAST(event_time AS DATE) AS event_date FROM ev""",
         ),
         "stream_daily_events": with_shared(
             "ev_all",
             select=f"""
             SELECT CAST(event_time AS DATE) AS event_date, {views} AS views, {carts} AS carts, {bought} AS purchases,
                    {cents} AS revenue_cents
-            FROM ev_all GROUP BY 1 HAVING CAST(event_time AS DATE) + INTERVAL 1 DAY <= {watermark}""",
+            FROM ev_all GROUP BY 1""",
         ),
         "stream_sessions": with_shared(
             "ev_all",
@@ -801,8 +800,7 @@ def stream_statements() -> dict[str, str]:
             select=f"""
             SELECT user_id, epoch_us(MIN(event_time)) AS session_start_us, epoch_us(MAX(event_time)) AS session_end_us,
                    COUNT(*) AS session_events, {bought} AS session_purchases, {cents} AS revenue_cents
-            FROM numbered GROUP BY user_id, session
-            HAVING MAX(event_time) + INTERVAL 30 MINUTE <= {watermark}""",
+            FROM numbered GROUP BY user_id, session""",
         ),
     }
 

@@ -148,15 +148,10 @@ def user_categories(events: DataFrame, include_unknown: bool = False) -> DataFra
 def distinct_counts(events: DataFrame) -> DataFrame:
     """Exact numbers of users, products, categories, brands and sessions.
 
-    Each column is reduced to its distinct values on its own, which keeps the shuffle at one
-    narrow row per value and task instead of one wide expansion.
+    One scan: every event gives one narrow (entity, value) row per column, and tasks collapse repeats before the shuffle.
     """
     columns = ["user_id", "product_id", "category_code", "brand", "user_session"]
-    parts = [
-        events.select(c).distinct().agg(F.count(c).alias("distinct_values")).select(F.lit(c).alias("entity"), "distinct_values")
-        for c in columns
-    ]
-    report = parts[0]
-    for part in parts[1:]:
-        report = report.unionByName(part)
-    return report
+    pairs = [F.struct(F.lit(c).alias("entity"), F.col(c).cast("string").alias("value")) for c in columns]
+    values = events.select(F.inline(F.array(*pairs))).distinct()
+    counts = values.agg(*[F.count(F.when(F.col("entity") == c, F.col("value"))).alias(c) for c in columns])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(c).alias("entity"), F.col(c).alias("distinct_values")) for c in columns])))

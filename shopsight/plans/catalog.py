@@ -335,7 +335,7 @@ def churn_scores(spark, d):
 
 def _stream(spark, d):
     """The event table as a stream; the pattern lets the table be one file or a folder of files."""
-    return jobs.event_stream(prepare(spark), f"{d}/events.parque[t]", shop.TABLE_SCHEMAS["events"])
+    return shop.from_event_rows(jobs.event_stream(prepare(spark), f"{d}/events.parque[t]", shop.TABLE_SCHEMAS["events"]))
 
 
 def _finished(spark, stream, label, partitions=()):
@@ -345,22 +345,24 @@ def _finished(spark, stream, label, partitions=()):
 
 
 def stream_bronze(spark, d):
-    incoming = _stream(spark, d)
-    blank = F.lit(None).cast("string")
-    rows = incoming.withColumns({"category_id": blank, "category_code": blank, "brand": blank})
+    rows = shop.with_products(_stream(spark, d), spark, d)
     table = _finished(spark, jobs.stream_bronze(rows), "stream-bronze", bronze.PARTITIONS)
     return table.select(
-        F.unix_micros("event_time").alias("event_us"), "event_type", "product_id", "price", "user_id", "user_session",
-        F.col("event_date").cast("date").alias("event_date"),
+        F.unix_micros("event_time").alias("event_us"), "event_type", "product_id", "category_code", "brand", "price",
+        "user_id", "user_session", F.col("event_date").cast("date").alias("event_date"),
     )
 
 
 def stream_daily_events(spark, d):
-    return _finished(spark, jobs.stream_daily(_stream(spark, d)), "stream-daily")
+    """Days that the stream has closed, and those still open."""
+    closed = _finished(spark, jobs.stream_daily(_stream(spark, d)), "stream-daily")
+    return closed.unionByName(jobs.open_days(shop.all_shop_events(spark, d), closed))
 
 
 def stream_sessions(spark, d):
-    return _finished(spark, jobs.stream_sessions(_stream(spark, d)), "stream-sessions")
+    """Sessions that the stream has closed, and those still open."""
+    closed = _finished(spark, jobs.stream_sessions(_stream(spark, d)), "stream-sessions")
+    return closed.unionByName(jobs.open_sessions(shop.all_shop_events(spark, d), closed))
 
 
 def queries() -> dict[str, Query]:

@@ -35,7 +35,11 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per product. The grouping tells Spark so: where no product column is used, it drops the join."""
+    """One row per product. The grouping tells Spark so: where no product column is used, it drops the join.
+
+    Dealing the products out once more, by a hash, leaves the join an exchange of its own on both sides; adaptive execution
+    splits a hot product only then. Events are not shuffled for it.
+    """
     last_word = F.element_at(F.split("p_name", " "), -1)
     products = _table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"),
@@ -43,7 +47,13 @@ def _products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lower("p_brand").alias("brand"),
     )
     one = products.groupBy("product_id").agg(F.min(F.struct("category_code", "brand")).alias("p"))
-    return one.select("product_id", "p.category_code", "p.brand")
+    return one.select("product_id", "p.category_code", "p.brand").repartition(F.xxhash64("product_id"))
+
+
+def with_products(events: DataFrame, spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Category and brand of each event's product; works on streams too."""
+    joined = events.join(_products(spark, sf_dir), "product_id", "left")
+    return joined.withColumn("category_id", F.lit(None).cast("long"))
 
 
 def from_event_rows(events: DataFrame) -> DataFrame:
@@ -62,10 +72,7 @@ def from_event_rows(events: DataFrame) -> DataFrame:
 
 def all_shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event row, including the types a shop does not know."""
-    events = from_event_rows(_table(spark, sf_dir, "events"))
-    return events.join(_products(spark, sf_dir), "product_id", "left").withColumn(
-        "category_id", F.lit(None).cast("long")
-    )
+    return with_products(from_event_rows(_table(spark, sf_dir, "events")), spark, sf_dir)
 
 
 def shop_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,15 +14,15 @@ from shopsight.config import DEDUP_KEYS
 from shopsight.functions.events import is_type
 from shopsight.functions.numbers import cents
 from shopsight.operators.bronze import clean_events
-from shopsight.sources.shop import from_event_rows
+from shopsight.sources.tables import materialise
 
 
 def event_stream(spark: SparkSession, path: str, schema, files_per_trigger: int | None = None) -> DataFrame:
-    """Event rows from files as they arrive."""
+    """Rows of files as they arrive."""
     reader = spark.readStream.schema(schema)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
-    return from_event_rows(reader.parquet(path))
+    return reader.parquet(path)
 
 
 def stream_bronze(raw: DataFrame, delay: str = "1 day") -> DataFrame:
@@ -46,6 +46,16 @@ def stream_daily(events: DataFrame, delay: str = "1 day") -> DataFrame:
     )
 
 
+def open_days(events: DataFrame, closed: DataFrame) -> DataFrame:
+    """The days after the last one in `closed`, from the stored events: a batch pass over the end of the table.
+
+    With `closed` empty, all days. Rows that came too late for a closed day are in neither.
+    """
+    last = closed.agg(F.max("event_date").alias("day")).first()["day"]  # a literal, so that it reaches the scan
+    rest = events if last is None else events.filter(F.col("event_time") >= F.date_add(F.lit(last), 1).cast("timestamp"))
+    return stream_daily(rest)
+
+
 def stream_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 day") -> DataFrame:
     """Sessions of a user, closed after a gap without events.
 
@@ -74,6 +84,17 @@ def stream_sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1
     )
 
 
+def open_sessions(events: DataFrame, closed: DataFrame, gap: str = "30 minutes") -> DataFrame:
+    """Sessions that are not in `closed` yet: a batch pass over what each user did after the last closed one.
+
+    The last ends are written first: Spark then knows their size, and splits a hot user of the events.
+    """
+    ends = closed.groupBy(F.col("user_id").alias("_user")).agg(F.max("session_end_us").alias("_closed_us"))
+    joined = events.join(materialise(ends, "session-ends"), F.col("user_id").eqNullSafe(F.col("_user")), "left")
+    rest = joined.filter(F.col("_closed_us").isNull() | (F.unix_micros("event_time") > F.col("_closed_us")))
+    return stream_sessions(rest.drop("_user", "_closed_us"), gap)
+
+
 def run_to_table(stream: DataFrame, path: str, checkpoint: str, partitions: tuple[str, ...] = ()) -> StreamingQuery:
     """Process what has arrived, append to a Parquet table exactly once, and stop."""
     writer = (

@@ -4,8 +4,10 @@ import re
 
 import pytest
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 from shopsight.plans import catalog
+from shopsight.sources import shop
 
 LAZY = [
     "bronze_clean", "event_dedup", "dq_metrics", "user_features", "product_features", "session_features", "churn_features",
@@ -48,3 +50,33 @@ def test_top_k_per_group_filters_before_the_shuffle(spark):
 def test_global_scores_use_no_window_over_all_rows(spark):
     plan = plan_of(catalog.queries()["rfm_percent_rank"](spark, SMALL))
     assert "Window" not in plan and "SinglePartition" not in plan
+
+
+def test_hot_product_is_split(spark, folder):
+    rows = spark.range(40_000, numPartitions=8)
+    product = F.when(F.col("id") % 5 > 0, 5).otherwise(F.col("id") % 100)
+    events = rows.select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01 10:00:00").cast("timestamp_ntz").alias("ts"), F.col("id").alias("user_id"),
+        F.lit("view").alias("event_type"), F.rand(1).alias("value"), F.format_string('{"k": %d}', product).alias("props"))
+    events.write.parquet(f"{folder}/events.parquet")
+    spark.read.parquet(f"{SMALL}/part.parquet").write.parquet(f"{folder}/part.parquet")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        df = shop.shop_events(spark, folder)
+        assert len(df.collect()) == 40_000
+        assert "SortMergeJoin(skew=true)" in plan_of(df)
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_distinct_counts_scan_events_once(spark):
+    plan = plan_of(catalog.queries()["distinct_counts"](spark, SMALL))
+    assert len(re.findall(r"ReadSchema: struct<[^>]*props", plan)) == 1
