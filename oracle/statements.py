@@ -276,6 +276,12 @@ def feature_statements() -> dict[str, str]:
             select="""SELECT user_id, recency, frequency, monetary, rfm_score, segment FROM rfm
                       ORDER BY md5(user_id || '|42'), user_id LIMIT 5000""",
         ),
+        "rfm_panel_sample": with_shared(
+            "buys",
+            extra=order_rfm,
+            select="""SELECT user_id, recency, frequency, monetary, rfm_score, segment FROM rfm
+                      ORDER BY md5(user_id || '|7'), user_id LIMIT 3000""",
+        ),
         "feature_contract": with_shared(
             "buys",
             extra=order_rfm,
@@ -757,20 +763,26 @@ def panel_statements() -> dict[str, str]:
         **selects,
         "affinity_matrix": "SELECT 1 FROM (FROM cats ORDER BY purchases DESC LIMIT 8) a, (FROM cats ORDER BY purchases DESC LIMIT 8) b",
         "segments": "SELECT DISTINCT segment FROM rfm",
+        "rfm_sample": "SELECT 1 FROM rfm LIMIT 5000",
+        "rfm_panel_sample": "SELECT 1 FROM rfm LIMIT 3000",
     }
+    whole = {"category_list", "run_metadata", "affinity_matrix", "segments", "rfm_sample", "rfm_panel_sample"}
     out["panel_contract"] = with_shared(
         "ev",
         "buys",
         extra={**facts_cte("ev", "full"), "cats": UPSELL["cats"], **rfm_ctes("buys", "2001-08-02")},
         select=" UNION ALL ".join(
-            f"SELECT '{name}' AS panel, COUNT(*) AS rows, COUNT(*) >= {minimum.get(name, 1)} AS ok FROM ({select})"
+            f"SELECT '{name}' AS panel, 'all' AS slice, COUNT(*) AS rows, COUNT(*) >= {minimum.get(name, 1)} AS ok FROM ({select})"
+            if name in whole
+            else f"""SELECT '{name}' AS panel, wanted.slice, COUNT(q.slice) AS rows, COUNT(q.slice) >= {minimum.get(name, 1)} AS ok
+                     FROM (SELECT DISTINCT slice FROM f) wanted LEFT JOIN ({select}) q ON q.slice = wanted.slice GROUP BY wanted.slice"""
             for name, select in counted.items()
         ),
     )
     return out
 
 
-# Streams: the closed part of the batch result ------------------------------------------
+# Streams: closed and open parts, as the batch has them ------------------------------------------
 
 
 def stream_statements() -> dict[str, str]:

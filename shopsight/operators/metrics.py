@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopsight.functions.numbers import ratio
@@ -17,21 +17,16 @@ def _by_score(scored: DataFrame, group: tuple[str, ...] = ()) -> DataFrame:
     return running_totals(counts, ["score"], ["pos", "neg"], group=group, descending=True)
 
 
-def confusion(scored: DataFrame, threshold: float = 0.5, group: tuple[str, ...] = ()) -> DataFrame:
-    said, true = F.col("score") > threshold, F.col("label") == 1
-    return scored.groupBy(*group).agg(
-        F.count_if(said & true).alias("tp"),
-        F.count_if(said & ~true).alias("fp"),
-        F.count_if(~said & true).alias("fn"),
-        F.count_if(~said & ~true).alias("tn"),
-    )
+def _sum_where(condition: Column, column: str) -> Column:
+    return F.coalesce(F.sum(F.when(condition, F.col(column))), F.lit(0))
 
 
 def binary_metrics(scored: DataFrame, threshold: float = 0.5, group: tuple[str, ...] = ()) -> DataFrame:
     """AUC-ROC (ties count half), average precision, and threshold metrics; 0 where undefined.
 
     Area is summed in exact decimals: for each score, negatives there meet the positives
-    above, plus half of those beside them.
+    above, plus half of those beside them. The cells at the threshold are sums over the same scores, so that the
+    scored rows are read once.
     """
     wide = "decimal(38,0)"
     pos, neg, above = (F.col(c).cast("decimal(18,0)") for c in ("pos", "neg", "pos_before"))
@@ -46,8 +41,11 @@ def binary_metrics(scored: DataFrame, threshold: float = 0.5, group: tuple[str,
         F.sum(F.col("pos") * (tp / seen)).alias("_precision_sum"),
         F.max("pos_total").alias("_pos"),
         F.max("neg_total").alias("_neg"),
+        _sum_where(F.col("score") > threshold, "pos").alias("tp"),
+        _sum_where(F.col("score") > threshold, "neg").alias("fp"),
+        _sum_where(F.col("score") <= threshold, "pos").alias("fn"),
+        _sum_where(F.col("score") <= threshold, "neg").alias("tn"),
     )
-    cells = confusion(scored, threshold, group)
     precision = ratio(F.col("tp"), F.col("tp") + F.col("fp"))
     recall = ratio(F.col("tp"), F.col("tp") + F.col("fn"))
     total = F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")
@@ -59,7 +57,7 @@ def binary_metrics(scored: DataFrame, threshold: float = 0.5, group: tuple[str,
         "recall": recall,
         "accuracy": ratio(F.col("tp") + F.col("tn"), total),
     }
-    return curves.join(cells, list(group)).select(*group, *[F.round(v, 6).alias(k) for k, v in metrics.items()])
+    return curves.select(*group, *[F.round(v, 6).alias(k) for k, v in metrics.items()])
 
 
 def roc_curve(scored: DataFrame, group: tuple[str, ...] = ()) -> DataFrame:

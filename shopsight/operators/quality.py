@@ -114,15 +114,24 @@ def require_columns(features: DataFrame, columns: tuple[str, ...], fill_missing:
     return features.withColumns({c: F.lit(0.0) for c in missing})
 
 
-def panel_contract(panels: dict[str, DataFrame], minimum: dict[str, int]) -> DataFrame:
-    """Rows (panel, rows, ok): every panel has at least its minimum number of rows."""
-    counts = [
-        df.agg(F.count("*").alias("rows")).select(
-            F.lit(name).alias("panel"), "rows", (F.col("rows") >= minimum.get(name, 1)).alias("ok")
-        )
-        for name, df in panels.items()
-    ]
-    report = counts[0]
-    for part in counts[1:]:
-        report = report.unionByName(part)
-    return report
+def panel_contract(panels: dict[str, DataFrame], minimum: dict[str, int], slices: DataFrame) -> DataFrame:
+    """Rows (panel, slice, rows, ok): every panel has its minimum of rows in every one of `slices`.
+
+    A slice that a panel lacks has 0 rows; panels without slices count as a whole, under `all`.
+    """
+    counts = None
+    for name, df in panels.items():
+        key = F.col("slice") if "slice" in df.columns else F.lit("all")
+        part = df.groupBy(F.lit(name).alias("panel"), key.alias("slice")).agg(F.count("*").alias("rows"))
+        counts = part if counts is None else counts.unionByName(part)
+
+    def wanted(names: list[str]) -> Column:
+        return F.inline(F.array(*[F.struct(F.lit(n).alias("panel"), F.lit(minimum.get(n, 1)).alias("least")) for n in names]))
+
+    by_slice = [n for n, df in panels.items() if "slice" in df.columns]
+    whole = [n for n in panels if n not in by_slice]
+    one = slices.sparkSession.range(1).select(F.lit("all").alias("slice"))
+    parts = [rows.select("slice", wanted(names)) for rows, names in ((slices, by_slice), (one, whole)) if names]
+    expected = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    rows = F.coalesce("rows", F.lit(0))
+    return expected.join(counts, ["panel", "slice"], "left").select("panel", "slice", rows.alias("rows"), (rows >= F.col("least")).alias("ok"))

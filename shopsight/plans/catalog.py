@@ -28,6 +28,7 @@ EVENTS_RFM = RfmConfig(ref_date="2024-01-31")
 SILVER = SilverConfig(bot_limit=5)
 SILVER_CUT = "2024-01-20"
 UPSELL = UpsellConfig(alpha=1.0)
+PANEL_SAMPLE = (3000, 7)  # size and seed of the second scatter plot
 
 
 def order_rfm_config(method: str = "percent_rank") -> RfmConfig:
@@ -265,9 +266,10 @@ def panel_tiers(spark, d):
 def panel_contract(spark, d):
     panels = dashboard.build_panels(_events(spark, d), "full")
     panels["affinity_matrix"] = upsell.affinity_matrix(_demand(spark, d), 8, 1)
-    panels["segments"] = segment_counts(spark, d)
+    scored = tables.materialise(_order_rfm(spark, d), "rfm")
+    panels |= {"segments": rfm.segment_counts(scored), "rfm_sample": rfm.rfm_sample(scored), "rfm_panel_sample": rfm.rfm_sample(scored, *PANEL_SAMPLE)}
     minimum = {"weekday_hour_heatmap": 168, "affinity_matrix": 64, "segments": 4}
-    return quality.panel_contract(panels, minimum)
+    return quality.panel_contract(panels, minimum, panels["overview_kpis"].select("slice"))
 
 
 # Models ---------------------------------------------------------------------------------
@@ -395,6 +397,7 @@ def queries() -> dict[str, Query]:
         "segment_counts": segment_counts,
         "segment_actions": lambda s, d: rfm.segment_actions(_order_rfm(s, d)),
         "rfm_sample": lambda s, d: rfm.rfm_sample(_order_rfm(s, d)),
+        "rfm_panel_sample": lambda s, d: rfm.rfm_sample(_order_rfm(s, d), *PANEL_SAMPLE),
         "churned_buyers": churned_buyers,
         "retained_buyers": retained_buyers,
         "new_buyers": new_buyers,

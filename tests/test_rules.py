@@ -204,6 +204,19 @@ def test_sample_is_capped_and_repeatable(events_from):
     assert values(first, "user_id") == values(again, "user_id") and first.count() == 10
 
 
+def test_contract_sees_an_empty_month(spark):
+    from shopsight.operators import quality
+
+    slices = spark.createDataFrame([("all",), ("2019-11",)], "slice string")
+    panels = {
+        "daily": spark.createDataFrame([("all", 1), ("all", 2)], "slice string, n int"),
+        "list": spark.createDataFrame([(1,)], "n int"),
+        "none": spark.createDataFrame([], "n int"),
+    }
+    got = {(r.panel, r.slice): (r["rows"], r.ok) for r in quality.panel_contract(panels, {"daily": 2}, slices).collect()}
+    assert got == {("daily", "all"): (2, True), ("daily", "2019-11"): (0, False), ("list", "all"): (1, True), ("none", "all"): (0, False)}
+
+
 # Features
 
 
