@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -238,6 +239,76 @@ def test_quality_rules(table, empty):
     assert quality.judge(empty).count() == 0
 
 
+def _log_perplexities(texts: list[bytes]) -> list[float]:
+    """Nats per byte under a modified Kneser-Ney model of these texts, from dictionaries."""
+    rows = [[int(quality.FOLD[b]) for b in t] for t in texts]
+    levels = [Counter(tuple(([0, 0, 0] + r)[k : k + 4]) for r in rows for k in range(len(r)))]
+    for _ in range(3):
+        levels.insert(0, Counter(g[1:] for g in levels[0]))
+    about = []
+    for grams in levels:
+        c = [sum(n == i for n in grams.values()) for i in range(1, 5)]
+        cut = [0.0, 0.5, 0.75, 0.9]
+        if min(c):
+            y = c[0] / (c[0] + 2 * c[1])
+            cut = [0.0, *[min(max(i - (i + 1) * y * c[i] / c[i - 1], 0.05), i - 0.05) for i in (1, 2, 3)]]
+        total, spare = Counter(), Counter()
+        for g, n in grams.items():
+            total[g[:-1]] += n
+            spare[g[:-1]] += cut[min(n, 3)]
+        about.append((grams, cut, total, spare))
+
+    def chance(g):
+        if not g:
+            return 1 / 64
+        grams, cut, total, spare = about[len(g) - 1]
+        n, own = grams[g], total[g[:-1]]
+        return (n - cut[min(n, 3)] + spare[g[:-1]] * chance(g[1:])) / own if own else chance(g[1:])
+
+    return [-sum(math.log(chance(tuple(([0, 0, 0] + r)[k : k + 4]))) for k in range(len(r))) / max(len(r), 1) for r in rows]
+
+
+def _judged_texts() -> list[tuple]:
+    """Prose by language; some texts easier and some harder than all others, and some that fail the base rules."""
+    rng = random.Random(11)
+    rows = []
+    for lang, syllables in (("en", ["th", "er", "on", "an", "re", "he"]), ("de", ["sch", "ei", "en", "ung", "ü"])):
+        words = ["".join(rng.choice(syllables) for _ in range(rng.randrange(1, 4))) for _ in range(300)]
+        rows += [(lang, " ".join(rng.choice(words) for _ in range(rng.randrange(60, 140)))) for _ in range(60)]
+        rows += [(lang, " ".join("a" * rng.randrange(5, 60) for _ in range(60))) for _ in range(2)]
+        rows += [(lang, " ".join("".join(chr(rng.randrange(33, 127)) for _ in range(6)) for _ in range(60))) for _ in range(2)]
+        for n in range(2, 26, 2):  # prose with more and more words that are none
+            rows.append((lang, " ".join("".join(chr(rng.randrange(33, 127)) for _ in range(6)) if k < n else rng.choice(words) for k in range(100))))
+        rows.append((lang, "too short"))
+    return [(i, text, lang) for i, (lang, text) in enumerate(rows)]
+
+
+def _expected_kept(rows: list[tuple], reach: int = 3) -> tuple[dict, Counter]:
+    """Verdict by id, and how many of those that pass the base rules lie below, in and above the band of each language."""
+    kept, sides = {}, Counter()
+    for lang in {r[2] for r in rows}:
+        own = [r for r in rows if r[2] == lang]
+        scores = dict(zip([r[0] for r in own], _log_perplexities([r[1].encode() for r in own])))
+        passed = [r[0] for r in own if len(r[1].split()) >= 50]
+        bins = sorted(math.floor(scores[i] * 500) for i in passed)
+        low, high = (bins[math.ceil(q * len(bins)) - 1] / 500 for q in (0.25, 0.75))
+        wide = reach * max(high - low, 2 / 500)
+        for r in own:
+            side = (scores[r[0]] > high + wide) - (scores[r[0]] < low - wide)
+            kept[r[0]] = r[0] in passed and not side
+            sides[(lang, side)] += r[0] in passed
+    return kept, sides
+
+
+def test_quality_verdict(spark):
+    rows = _judged_texts()
+    want, sides = _expected_kept(rows)
+    assert all(sides[(lang, side)] for lang in ("en", "de") for side in (-1, 0, 1))
+    assert want != _expected_kept(rows, 6)[0]  # some lie between the bounds and those of twice the reach
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).select("row.doc_id", "kept").collect()
+    assert {r.doc_id: r.kept for r in got} == want
+
+
 def test_perplexity_model():
     """Probabilities sum to one after any context, and a text unlike the corpus has the higher perplexity."""
     rng = random.Random(4)
