@@ -309,6 +309,26 @@ def test_quality_verdict(spark):
     assert {r.doc_id: r.kept for r in got} == want
 
 
+def test_quality_languages(spark):
+    """Languages that no list names, and null, have bands of their own, also if there are more than a byte can tell."""
+    scripts = {"ru": "абвгдежз", "zh": "的一是不了人我在", "pl": "ąćęłńóśż", None: "etaoinsh"}
+    rng = random.Random(12)
+    rows = []
+    for lang, letters in scripts.items():
+        words = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 5))) for _ in range(200)]
+        many = 80 if lang == "ru" else 40
+        rows += [(lang, " ".join(rng.choice(words) for _ in range(80))) for _ in range(many)]
+        rows.append((lang, " ".join("".join(chr(rng.randrange(33, 127)) for _ in range(6)) for _ in range(60))))
+    rows += [(f"x{k}", None if k % 2 else "short") for k in range(300)]
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(rows)]
+    own = [r for r in rows if r[2] is None or r[2] in scripts]
+    want = _expected_kept(own)[0]
+    assert want != _expected_kept([(i, text, "all") for i, text, _ in own])[0]  # one band for all judges otherwise
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)).select("row.doc_id", "row.lang", "kept").collect()
+    assert len(got) == len(rows) and {r.doc_id: r.kept for r in got if r.lang is None or r.lang in scripts} == want
+    assert not any(r.kept for r in got if r.lang and r.lang[0] == "x")
+
+
 def test_perplexity_model():
     """Probabilities sum to one after any context, and a text unlike the corpus has the higher perplexity."""
     rng = random.Random(4)
