@@ -1,7 +1,7 @@
 """HTML extraction by layout-aware rendering: all visible text, with block spacing, lists and aligned tables.
 
 A tree builder keeps the stack of open elements, closes what a new element implies (a paragraph before a block, a list item before
-the next, cells and rows) and ignores stray end tags. What browsers do not show (scripts, styles, the head, templates, hidden
+the next, cells and rows; an open head before what cannot stand in it) and ignores stray end tags. What browsers do not show (scripts, styles, the head, templates, hidden
 attributes and styles) gives no text. Blocks begin on lines of their own, paragraphs and headings are set apart by a blank line,
 list items have a marker and are indented by depth, cells of a table are padded to the width of their column.
 
@@ -25,6 +25,8 @@ HIDDEN = set("head script style template noscript title meta link iframe object
 APART = set("p h1 h2 h3 h4 h5 h6 ul ol dl table pre blockquote figure".split())
 BLOCK = APART | set("address article aside body center dd details div dt fieldset figcaption footer form header hr html legend li main nav section summary tr caption thead tbody tfoot".split())
 ENDS_P = BLOCK - {"tr", "caption", "thead", "tbody", "tfoot", "legend", "summary", "html", "body"}
+# what may stand in a head; anything else ends it
+IN_HEAD = set("html head title meta link script style base template noscript noframes basefont bgsound".split())
 # what an opening element closes first, up to the nearest of the elements that hold it
 IMPLIED = {
     "li": ({"li"}, {"ul", "ol"}),
@@ -88,6 +90,8 @@ class Renderer(HTMLParser):
         self.heads: dict[str, int] = {}
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in IN_HEAD:
+            self._end_head()
         if tag in IMPLIED:
             closed, holders = IMPLIED[tag]
             self._close_until(closed, holders)
@@ -192,7 +196,14 @@ class Renderer(HTMLParser):
                 out.add(text, "", True)
                 out.break_line(1)
 
+    def _end_head(self) -> None:
+        """An open head ends at what cannot stand in it, unless that lies in one of its own elements."""
+        while self.heads.get("head") and self.open[-1][0] == "head":
+            self._pop()
+
     def handle_data(self, data: str) -> None:
+        if data.strip(" \t\n\r\f"):
+            self._end_head()
         if self.hidden:
             return
         out, indent = self.outs[-1], "  " * max(0, len(self.lists) - 1)

@@ -25,6 +25,15 @@ def test_render():
     assert html.render("</p><b>unclosed <i>x") == "unclosed x"
 
 
+def test_open_head():
+    """A head that nothing ends is over at the first element or text that cannot stand in it."""
+    assert html.render("<html><head><title>T</title><p>Hello") == "Hello"
+    assert html.render("<head><title>T</title>\n Hello <b>x") == "Hello x"
+    assert html.render("<head><script>1<2</script><noscript><p>no</p></noscript><meta charset=x><style>a{}</style>\n<p>yes") == "yes"
+    assert html.render("<head><head><div>x") == "x"
+    assert html.render("<head><title>no</title><noscript>no<body>x") == "x"
+
+
 def test_extract(spark):
     rows = [(1, "u", "<p>a</p>", "r", "v"), (1, "u", None, None, None), (None, None, "", "r", "v")]
     got = html.extract(spark.createDataFrame(rows, PAGES)).select("row.page_id", "visible_text", "row.visible_text").collect()
