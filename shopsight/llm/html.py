@@ -87,7 +87,7 @@ class Renderer(HTMLParser):
         self.lists: list[list] = []  # kind and number of the last item
         self.tables: list[list[list[str]]] = []
         self.pre = 0
-        self.heads: dict[str, int] = {}
+        self.heads: dict[str, list[int]] = {}  # places in `open`, by element
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag not in IN_HEAD:
@@ -106,8 +106,8 @@ class Renderer(HTMLParser):
                 elif tag == "hr":
                     self.outs[-1].break_line(1)
             return
+        self.heads.setdefault(tag, []).append(len(self.open))
         self.open.append((tag, hides))
-        self.heads[tag] = self.heads.get(tag, 0) + 1
         self.hidden += hides
         if self.hidden:
             return
@@ -155,18 +155,14 @@ class Renderer(HTMLParser):
                 return
 
     def _close_until(self, closed: set, holders: set) -> None:
-        for depth in range(len(self.open) - 1, max(-1, len(self.open) - 200), -1):
-            name = self.open[depth][0]
-            if name in closed:
-                while len(self.open) > depth:
-                    self._pop()
-                return
-            if name in holders:
-                return
+        depth, held = (max((self.heads[x][-1] for x in names if self.heads.get(x)), default=-1) for names in (closed, holders))
+        if depth > held:
+            while len(self.open) > depth:
+                self._pop()
 
     def _pop(self) -> None:
         tag, hides = self.open.pop()
-        self.heads[tag] -= 1
+        self.heads[tag].pop()
         shown = not self.hidden
         self.hidden -= hides
         if not shown:

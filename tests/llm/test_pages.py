@@ -34,6 +34,13 @@ def test_open_head():
     assert html.render("<head><title>no</title><noscript>no<body>x") == "x"
 
 
+def test_implied_ends_at_any_depth():
+    deep = "<font><b>" * 300
+    assert html.render(f"<table><tr><td>a{deep}b<td>c<tr><td>d{deep}<td>e</table>") == "ab  c\nd   e"
+    assert html.render(f"<ul><li>a{deep}<li>b</ul>") == "- a\n- b"
+    assert html.render(f"<p>a{deep}<p>b") == "a\n\nb"
+
+
 def test_extract(spark):
     rows = [(1, "u", "<p>a</p>", "r", "v"), (1, "u", None, None, None), (None, None, "", "r", "v")]
     got = html.extract(spark.createDataFrame(rows, PAGES)).select("row.page_id", "visible_text", "row.visible_text").collect()
