@@ -176,6 +176,18 @@ def shared_keys(table: pa.Table) -> pa.Table:
     return _answered(chunks, buckets, sizes, shared[which])
 
 
+def shared_and_hot_keys(hot: int, table: pa.Table) -> pa.Table:
+    """Answer as shared_keys does, and behind it in as many bytes whether `hot` chunks or more ask for the key."""
+    chunks, buckets, raw, many = _asked(table)
+    shared = shared_keys(table).column("mask").to_pylist()
+    sizes = [len(x) // 6 for x in raw]
+    wide = np.zeros((sum(sizes), 8), np.uint8)
+    wide[:, :6] = np.frombuffer(b"".join(raw), np.uint8).reshape(-1, 6)
+    _, which, counts = np.unique(wide.view(np.uint64).ravel(), return_inverse=True, return_counts=True)
+    hots = _answered(chunks, buckets, sizes, (counts >= hot)[which]).column("mask").to_pylist()
+    return pa.table({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array(buckets, pa.int32()), "mask": pa.array([a + b for a, b in zip(shared, hots)], pa.binary())})
+
+
 def holder_classes(table: pa.Table) -> pa.Table:
     """Answer how many hold the key, as 0 for one and otherwise 1 + log2, rounded down."""
     chunks, buckets, raw, many = _asked(table)

@@ -6,6 +6,9 @@ Contexts of equal anchors meet in one shard; its distinct contexts form a text t
 sorting (`suffix`). Neighbours in that order whose permuted common prefix has 50 bytes are one string; the smallest id that
 holds it decides which of a chunk's windows are later copies.
 
+An anchor that 64 chunks or more hold is hot: its windows travel one by one, dealt out by a hash of their own 50 bytes, so that
+different text around a common phrase doesn't meet in one shard. Equal windows have the same anchor, hence the same rule and shard.
+
 Strings are compared as bytes, never by hash; hashes only choose shards and candidates. Inside a shard equal contexts are
 one text with the smallest id, so a passage that a third of all documents hold is sorted once.
 
@@ -24,11 +27,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from . import spans
-from .chunks import ASK_SCHEMA, LAST_ID, Chunk, Question, bucket_count, chunked, chunks_of, exchange, key48, rest_schema, shared_keys
+from .chunks import ASK_SCHEMA, LAST_ID, Chunk, Question, bucket_count, chunked, chunks_of, exchange, key48, rest_schema, shared_and_hot_keys
 from .suffix import permuted_prefixes, suffix_array
 
 LENGTH = 50
 ANCHOR = 24
+HOT = 64  # chunks of about a megabyte, or of one longer text: that much bounds the contexts of an anchor that is not hot
 
 
 def _runs(counts: np.ndarray) -> np.ndarray:
@@ -60,20 +64,27 @@ class _Contexts:
         self.count = np.diff(np.concatenate([heads, [len(chosen)]]))
         self.keys = key48(hashes[chosen[heads]])
         self.texts = np.searchsorted(chunk.offsets, self.first, side="right") - 1
+        self.hot = np.zeros(len(self.first), bool)
 
     def anchors(self) -> Question:
         return Question(self.keys, self.chunk.ids[self.texts], self.buckets)
 
     def candidates(self) -> _Contexts:
         asked = self.anchors()
-        go = asked.heard(self.chunk.answers(1))[asked.of_window]
-        self.first, self.count, self.keys, self.texts = self.first[go], self.count[go], self.keys[go], self.texts[go]
+        answers = self.chunk.answers(1)
+        go = asked.heard(answers)[asked.of_window]
+        hot = asked.heard([(place, mask[len(mask) // 2 :]) for place, mask in answers])[asked.of_window][go]
+        n = np.where(hot, self.count[go], 1)  # a hot anchor's windows go one by one
+        self.hot = np.repeat(hot, n)
+        self.first = np.repeat(self.first[go], n) + np.where(self.hot, _runs(n), 0)
+        self.count = np.where(self.hot, 1, np.repeat(self.count[go], n))
+        self.keys, self.texts = np.repeat(self.keys[go], n), np.repeat(self.texts[go], n)
         return self
 
     def contexts(self) -> Question:
         stops = self.first + self.count - 1 + self.length
         whole = spans.span_hash(self.sums, self.first, stops) ^ (self.keys * np.uint64(0x9E3779B97F4A7C15))
-        return Question(whole, self.chunk.ids[self.texts], self.buckets, self.keys)
+        return Question(whole, self.chunk.ids[self.texts], self.buckets, np.where(self.hot, whole, self.keys))
 
     def context_rows(self) -> pa.RecordBatch:
         asked = self.contexts()
@@ -153,7 +164,7 @@ def _sorted_shard(length: int, table: pa.Table) -> pa.Table:
     )
 
 
-def remove_copied_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def remove_copied_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANCHOR, id_column: str = "doc_id", text_column: str = "text", hot: int = HOT) -> DataFrame:
     """Per document: n_bytes, n_removed, n_spans, kept (remaining bytes), and `row`, its other columns."""
     if not 0 < anchor <= length or length - anchor >= 32:
         raise ValueError("a context holds at most 32 windows: length - anchor must be 0 to 31")
@@ -168,7 +179,7 @@ def remove_copied_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANC
         for chunk in chunks_of(batches):
             yield _Contexts(chunk, length, anchor, buckets).candidates().context_rows()
 
-    known = exchange(packed.mapInArrow(ask_anchors, ASK_SCHEMA), shared_keys, 1)
+    known = exchange(packed.mapInArrow(ask_anchors, ASK_SCHEMA), lambda table: shared_and_hot_keys(hot, table), 1)
     asked = packed.join(known, "chunk", "left").mapInArrow(ask_contexts, ASK_SCHEMA)
     sorted_out = exchange(asked, lambda table: _sorted_shard(length, table), 2)
     rest = rest_schema(docs.withColumn(id_column, docs[id_column].cast("long")), text_column)

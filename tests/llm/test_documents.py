@@ -13,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from shopsight.llm import fingerprint, jaccard, mixing, packing, quality, substring, suffix, suffixdedup
+from shopsight.llm import fingerprint, jaccard, mixing, packing, quality, spans, substring, suffix, suffixdedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -98,6 +98,36 @@ def test_suffix_dedup(table, empty):
     assert {r[0] for r in out.select("row.n_words").collect()} == {7}
 
 
+@pytest.mark.parametrize("hot", [1, 3])
+def test_suffix_dedup_of_hot_anchors(table, hot):
+    out = suffixdedup.remove_copied_bytes(table, hot=hot)
+    rows = out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256)).collect()
+    assert Counter(map(tuple, rows)) == _expected(50, lambda b: b)
+
+
+def test_suffix_dedup_spreads_a_hot_phrase(spark, monkeypatch):
+    """Different text around one common phrase doesn't go to one shard."""
+    rng = random.Random(6)
+
+    def least(phrase):
+        raw = np.frombuffer(phrase.encode(), np.uint8)
+        starts = np.arange(len(raw) - 23)
+        return spans.span_hash(spans.prefix_sums(raw), starts, starts + 24).min()
+
+    def letters(n):
+        return "".join(rng.choice("abcdefghij ") for _ in range(n))
+
+    phrase = min((letters(30) for _ in range(3000)), key=least)  # its anchor is that of all windows around it
+    rows = [(i, letters(60) + phrase + letters(60)) for i in range(600)]
+    asked = []
+    whole = suffixdedup.exchange
+    monkeypatch.setattr(suffixdedup, "exchange", lambda rows, reply, level: (asked.append(rows), whole(rows, reply, level))[1])
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(100)
+    assert suffixdedup.remove_copied_bytes(docs).agg(F.sum("n_removed")).first()[0] == 0
+    sizes = [r.n for r in asked[1].groupBy("bucket").agg(F.sum(F.length("keys")).alias("n")).collect()]
+    assert sum(sizes) > 600 * 50 and max(sizes) < sum(sizes) / 4
+
+
 def test_substring_dedup(table, empty):
     out = substring.remove_repeats(table)
     rows = out.select("row.doc_id", "n_words", "n_removed", F.lit(0), F.sha2("kept", 256)).collect()
