@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 
-from . import chat, fingerprint, html, jaccard, mixing, packing, quality, statements, substring, suffixdedup, warc, workers
+from . import chat, decontaminate, fingerprint, hardneg, html, jaccard, merkle, mixing, packing, quality, statements, substring, suffixdedup, warc, workers
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,6 +61,30 @@ def op10_warc_conversion(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.convert(_table(spark, sf_dir, "pages"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Manifest of all documents; where 7 divides the checksum of the id, the proof is tried with one more character claimed."""
+    docs = _table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    claimed = [F.try_add(F.col(f), F.lit(1)) if f == "n_chars" else F.col(f) for f in fields]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    shown = F.when(tampered, merkle.leaf_digest(*claimed)).alias("shown")
+    found = merkle.verified(merkle.manifest(docs, fields, [F.col("doc_id"), shown]), F.coalesce("row.shown", "leaf"))
+    return found.select("row.doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), "folded_root", "verified")
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = decontaminate.find(docs, _table(spark, sf_dir, "benchmark"))
+    items = F.sha2(F.array_join("items", ","), 256).alias("items_sha256")
+    return found.select("row.doc_id", "n_words", "n_hit", "n_items", items, (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_suffix_dedup": op1_suffix_dedup,
@@ -73,6 +97,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality_rules": op9_quality_rules,
         "op10_warc_conversion": op10_warc_conversion,
+        "op11_merkle_manifest": op11_merkle_manifest,
+        "op12_decontamination": op12_decontamination,
+        "op13_hard_negatives": op13_hard_negatives,
         "pipeline": corpus_pipeline.run,
     }
 
