@@ -31,7 +31,7 @@ from . import scratch
 
 SHARED = 10
 GRAM = 4  # a power of two
-MOST_BITS = 1 << 23
+LEAST_BITS, MOST_BITS = 1 << 12, 1 << 23
 # What is no word, once A-Z are in lower case.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -112,7 +112,7 @@ def windows_of(items: DataFrame, shared: int, gram: int, id_column: str, text_co
 
 def _filter(known: DataFrame) -> tuple[Column, int]:
     """A bit for each fingerprint, as one array of 64-bit numbers; and the number of bits."""
-    bits = 1 << 12
+    bits = LEAST_BITS
     while bits < min(16 * known.count(), MOST_BITS):
         bits *= 2
     slot = F.col("mark").bitwiseAND(F.lit(bits - 1))
