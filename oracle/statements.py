@@ -69,8 +69,8 @@ def n(condition: str) -> str:
     return f"COUNT(*) FILTER (WHERE {condition})"
 
 
-def with_shared(*names: str, extra: dict[str, str] | None = None, select: str) -> str:
-    """WITH clause of the named shared tables and what they need, then `extra`, then the select."""
+def with_shared(*names: str, extra: dict[str, str] | None = None, select: str, stored: bool = False) -> str:
+    """WITH clause of the named shared tables and what they need, then `extra`, then the select; `stored` tables are made once."""
     needs = {
         "ev_all": ["products"],
         "ev": ["products", "ev_all"],
@@ -81,7 +81,7 @@ def with_shared(*names: str, extra: dict[str, str] | None = None, select: str) -
     wanted = {d for name in names for d in [*needs.get(name, []), name]}
     ctes = {name: sql for name, sql in SHARED.items() if name in wanted}
     ctes.update(extra or {})
-    body = ",\n".join(f"{name} AS ({sql})" for name, sql in ctes.items())
+    body = ",\n".join(f"{name} AS {'MATERIALIZED ' * stored}({sql})" for name, sql in ctes.items())
     return f"WITH {body}\n{select}"
 
 
@@ -116,7 +116,36 @@ def bronze_statements() -> dict[str, str]:
     silver_columns = """md5(concat_ws('|', CAST(user_id AS VARCHAR), user_session, CAST(epoch_us(event_time) AS VARCHAR),
                         event_type, CAST(product_id AS VARCHAR)))"""
     small = "user_session IN (SELECT user_session FROM ev GROUP BY user_session HAVING COUNT(*) <= 5)"
+    metrics = with_shared(
+        "dirty",
+        select=f"""
+            SELECT COUNT(*) AS total_rows, {n('user_id IS NULL')} AS null_user_id,
+                   {n(f'{price} IS NULL')} AS null_price, {n(f'{price} < 0')} AS negative_price,
+                   {n(f'NOT ({known})')} AS invalid_event_type,
+                   COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT user_id, event_time, user_session FROM dirty))
+                     AS duplicate_session_events,
+                   COUNT(*) - (SELECT COUNT(*) FROM (
+                     SELECT DISTINCT user_id, event_time, user_session, event_type, product_id FROM dirty))
+                     AS duplicate_events,
+                   {n(f'{known} AND user_id IS NOT NULL AND {good_time}')} AS valid_rows,
+                   {half_up(f"100.0 * {n('user_id IS NULL')} / greatest(COUNT(*), 1)", 2)} AS null_user_pct
+            FROM dirty""",
+    )
     return {
+        "ingest_report": metrics,
+        "ingestion_columns": with_shared(
+            "bronze",
+            extra=deduped,
+            select="""SELECT epoch_us(event_time) AS event_us, event_type, product_id, user_id, user_session, DATE '2024-01-31' AS run_date,
+                      CASE WHEN event_time < TIMESTAMP '2024-01-20' THEN 'early' ELSE 'late' END AS landing, true AS batch_named FROM deduped""",
+        ),
+        "source_presence": """SELECT source, source <> 'returns' AS present
+            FROM (VALUES ('events'), ('orders'), ('lineitem'), ('part'), ('customer'), ('returns')) s(source)""",
+        "sorted_revenue": with_shared(
+            "buys",
+            select="""SELECT row_number() OVER (ORDER BY revenue_cents DESC, product_id) AS position, * FROM (
+                      SELECT product_id, CAST(SUM(CAST(price AS DECIMAL(18,2))) * 100 AS BIGINT) AS revenue_cents FROM buys GROUP BY 1)""",
+        ),
         "bronze_clean": with_shared("bronze", select=f"SELECT {columns} FROM bronze"),
         "event_dedup": with_shared("bronze", extra=deduped, select=f"SELECT {columns} FROM deduped"),
         "bronze_partition_counts": with_shared(
@@ -154,21 +183,7 @@ def bronze_statements() -> dict[str, str]:
             select="""SELECT CAST(year(event_time) AS VARCHAR) AS period, COUNT(*) AS events,
                       COUNT(DISTINCT user_id) AS users FROM buys GROUP BY 1""",
         ),
-        "dq_metrics": with_shared(
-            "dirty",
-            select=f"""
-            SELECT COUNT(*) AS total_rows, {n('user_id IS NULL')} AS null_user_id,
-                   {n(f'{price} IS NULL')} AS null_price, {n(f'{price} < 0')} AS negative_price,
-                   {n(f'NOT ({known})')} AS invalid_event_type,
-                   COUNT(*) - (SELECT COUNT(*) FROM (SELECT DISTINCT user_id, event_time, user_session FROM dirty))
-                     AS duplicate_session_events,
-                   COUNT(*) - (SELECT COUNT(*) FROM (
-                     SELECT DISTINCT user_id, event_time, user_session, event_type, product_id FROM dirty))
-                     AS duplicate_events,
-                   {n(f'{known} AND user_id IS NOT NULL AND {good_time}')} AS valid_rows,
-                   {half_up(f"100.0 * {n('user_id IS NULL')} / greatest(COUNT(*), 1)", 2)} AS null_user_pct
-            FROM dirty""",
-        ),
+        "dq_metrics": metrics,
         "dq_rule_report": with_shared("dirty", select=rules),
     }
 
@@ -362,6 +377,7 @@ CHURN = {
         LEFT JOIN (SELECT user_id, {n("event_type = 'view'")} AS n_views, {n("event_type = 'cart'")} AS n_carts
                    FROM observed GROUP BY user_id) a USING (user_id)""",
 }
+TREE_MODELS = "('Random Forest'), ('Gradient Boosting')"
 RULE = {
     **CHURN,
     "rule": """
@@ -398,6 +414,25 @@ def churn_statements() -> dict[str, str]:
             extra={**CHURN, **rfm_ctes("observed", "2024-01-28")},
             select="SELECT feat.*, r_score, f_score, m_score, rfm_score, segment FROM feat LEFT JOIN rfm USING (user_id)",
         ),
+        "gold_tables": with_shared(
+            "ev",
+            extra=CHURN,
+            select=f"""
+            SELECT 'customer_rfm' AS "table", COUNT(*) AS rows, COUNT(*) AS stamped FROM (
+                SELECT user_id FROM ev WHERE event_type = 'purchase' GROUP BY user_id HAVING SUM(price) > 0)
+            UNION ALL SELECT 'upsell_features', COUNT(*), COUNT(*) FROM (
+                SELECT {ROOT} AS c FROM ev WHERE {ROOT} <> '' GROUP BY 1 HAVING {n("event_type = 'view'")} >= 10)
+            UNION ALL SELECT 'user_features', COUNT(*), COUNT(*) FROM (SELECT DISTINCT user_id FROM ev WHERE event_type = 'purchase')
+            UNION ALL SELECT 'product_features', COUNT(*), COUNT(*) FROM (SELECT DISTINCT product_id FROM ev WHERE event_type = 'purchase')
+            UNION ALL SELECT 'session_features', COUNT(*), COUNT(*) FROM (SELECT DISTINCT user_session FROM ev)
+            UNION ALL SELECT 'churn_features', COUNT(*), COUNT(*) FROM feat""",
+        ),
+        "repaired_features": with_shared(
+            "ev",
+            extra=CHURN,
+            select="""SELECT user_id, frequency, monetary, avg_price, recency, unique_cats, 0.0::DOUBLE AS unique_brands, unique_prods,
+                      n_views, 0.0::DOUBLE AS n_carts, cart_to_pur_ratio FROM feat""",
+        ),
         "churn_labels": with_shared("ev", extra=CHURN, select="SELECT user_id, churned FROM feat"),
         "churned_buyers": with_shared("buys", select=f"{y2000} EXCEPT {y2001}"),
         "retained_buyers": with_shared("buys", select=f"{y2000} INTERSECT {y2001}"),
@@ -425,6 +460,23 @@ def churn_statements() -> dict[str, str]:
                        CAST('0x' || substr({split_hash}, 1, 8) AS BIGINT) % 100 < 20 AS is_test FROM feat""",
         ),
         "feature_standardised": with_shared("ev", extra=CHURN, select=scaled),
+        "churn_lr_optimum": with_shared(
+            "ev",
+            extra={**CHURN, "training": f"SELECT * FROM feat WHERE CAST('0x' || substr({split_hash}, 1, 8) AS BIGINT) % 100 >= 20"},
+            select=" UNION ALL ".join(
+                f"""SELECT '{c}' AS coordinate, 0.0::DOUBLE AS gradient, {half_up(f'avg({c})', 6)} AS mean,
+                    {half_up(f'stddev_samp({c})', 6)} AS std FROM training"""
+                for c in features
+            )
+            + " UNION ALL SELECT 'intercept', 0.0, NULL, NULL",
+        ),
+        # What must hold of any fitted models: no difference, no failed check.
+        "tree_scores": with_shared(
+            "ev", extra=CHURN, select=f"SELECT model, user_id, 0.0::DOUBLE AS difference FROM feat, (VALUES {TREE_MODELS}) m(model)"
+        ),
+        "tree_importances": " UNION ALL ".join(f"SELECT model, '{c}' AS feature, 0.0::DOUBLE AS difference FROM (VALUES {TREE_MODELS}) m(model)" for c in features),
+        "model_checks": f"""SELECT model, "check", true AS ok FROM (VALUES ('Logistic Regression'), {TREE_MODELS}) m(model),
+            (VALUES ('auc'), ('curve'), ('every_user_once'), ('histogram')) c("check")""",
         "churn_risk_tiers": with_shared("ev", extra=RULE, select="SELECT user_id, churn_score, churn_risk FROM rule"),
         "top_churn": with_shared(
             "ev",
@@ -590,6 +642,13 @@ def upsell_statements() -> dict[str, str]:
             SELECT c_custkey AS user_id, user_id IS NOT NULL AS found, rank, category, upsell_score, opportunity, affinity
             FROM customer LEFT JOIN (SELECT * FROM ranked WHERE rank <= 5) ON user_id = c_custkey""",
         ),
+        "score_lookup_point": with_shared(
+            "ev",
+            extra=ctes,
+            select="""
+            SELECT asked, r.user_id IS NOT NULL AS found, segment, rfm_score, r_score, f_score, m_score, recency, frequency, monetary
+            FROM (VALUES (1::BIGINT), (7), (12), (10000000)) q(asked) LEFT JOIN rfm r ON r.user_id = asked""",
+        ),
         "score_lookup_batch": with_shared(
             "ev",
             extra={
@@ -597,6 +656,7 @@ def upsell_statements() -> dict[str, str]:
                 **ctes,
                 "best": "SELECT user_id, string_agg(category, ',' ORDER BY rank) AS names FROM ranked WHERE rank <= 5 GROUP BY user_id",
             },
+            stored=True,
             select="""
             SELECT c.c_custkey AS user_id, s.user_id IS NOT NULL AS churn_found, s.churn_score, s.churn_risk,
                    r.user_id IS NOT NULL AS segment_found, r.segment, r.rfm_score, r.r_score, r.f_score, r.m_score,
@@ -779,6 +839,8 @@ def panel_statements() -> dict[str, str]:
             for name, select in counted.items()
         ),
     )
+    models = (("roc_curves", 3), ("model_metrics", 3), ("feature_importance", 10), ("score_histogram", 20))
+    out["run_contract"] = out["panel_contract"] + "".join(f" UNION ALL SELECT '{name}', 'all', {rows}, true" for name, rows in models)
     return out
 
 
@@ -788,7 +850,40 @@ def panel_statements() -> dict[str, str]:
 def stream_statements() -> dict[str, str]:
     views, carts, bought = n("event_type = 'view'"), n("event_type = 'cart'"), n("event_type = 'purchase'")
     cents = "CAST(coalesce(SUM(CAST(price AS DECIMAL(18,2))) FILTER (WHERE event_type = 'purchase'), 0) * 100 AS BIGINT)"
+    # Two arrivals; what comes a day or more behind the first one's latest event is late.
+    arrivals = {
+        "late": """
+            SELECT * FROM ev_all WHERE event_time < TIMESTAMP '2024-01-20' AND event_id % 10 = 0 AND event_time < (
+                SELECT MAX(event_time) FROM ev_all WHERE event_time < TIMESTAMP '2024-01-20' AND event_id % 10 <> 0) - INTERVAL 1 DAY""",
+        "on_time": "SELECT * FROM ev_all ANTI JOIN late USING (event_id)",
+    }
+
+    def sessions(source: str) -> dict[str, str]:
+        return {
+            "marked": f"""
+                SELECT *, CASE WHEN event_time - lag(event_time) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS starts
+                FROM {source} WINDOW w AS (PARTITION BY user_id ORDER BY event_time)""",
+            "numbered": "SELECT *, SUM(starts) OVER (PARTITION BY user_id ORDER BY event_time) AS session FROM marked",
+        }
+
     return {
+        "stream_late_rows": with_shared("ev_all", extra=arrivals, select="SELECT event_id, epoch_us(event_time) AS event_us, event_type, 1::BIGINT AS batch FROM late"),
+        "stream_daily_resumed": with_shared(
+            "ev_all",
+            extra=arrivals,
+            select=f"""
+            SELECT CAST(event_time AS DATE) AS event_date, {views} AS views, {carts} AS carts, {bought} AS purchases,
+                   {cents} AS revenue_cents
+            FROM on_time GROUP BY 1""",
+        ),
+        "stream_sessions_resumed": with_shared(
+            "ev_all",
+            extra={**arrivals, **sessions("on_time")},
+            select=f"""
+            SELECT user_id, epoch_us(MIN(event_time)) AS session_start_us, epoch_us(MAX(event_time)) AS session_end_us,
+                   COUNT(*) AS session_events, {bought} AS session_purchases, {cents} AS revenue_cents
+            FROM numbered GROUP BY user_id, session""",
+        ),
         "stream_bronze": with_shared(
             "ev",
             select="""SELECT DISTINCT epoch_us(event_time) AS event_us, event_type, product_id, category_code, brand, price,

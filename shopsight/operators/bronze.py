@@ -46,11 +46,13 @@ def dedup_events(events: DataFrame, keys: tuple[str, ...] = DEDUP_KEYS) -> DataF
     """One row per key; among rows that differ elsewhere, the least by the other columns.
 
     An aggregate, not a window: copies collapse before the shuffle, so a row repeated
-    without end never gathers in one task.
+    without end never gathers in one task. Day and month follow from the time; as grouping keys they let a
+    filter on days reach the scan.
     """
-    rest = [c for c in events.columns if c not in keys]
-    least = events.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
-    return least.select(*keys, "_row.*").select(*events.columns)
+    group = [*keys, *(c for c in PARTITIONS if c in events.columns and "event_time" in keys)]
+    rest = [c for c in events.columns if c not in group]
+    least = events.groupBy(*group).agg(F.min(F.struct(*rest)).alias("_row"))
+    return least.select(*group, "_row.*").select(*events.columns)
 
 
 def with_ingestion_columns(events: DataFrame, run_date: str, source: str) -> DataFrame:

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -94,6 +98,7 @@ class Training:
     train: DataFrame
     test: DataFrame
     train_rows: int
+    users: DataFrame
 
 
 def prepare(features: DataFrame, config: ModelConfig = ModelConfig()) -> Training:
@@ -101,17 +106,75 @@ def prepare(features: DataFrame, config: ModelConfig = ModelConfig()) -> Trainin
     ordered = with_split(features, config).repartition("user_id").sortWithinPartitions("user_id")
     split = materialise(ordered, "split")
     train = with_weights(split.filter(~F.col("is_test")))
-    return Training(train, split.filter("is_test"), split.filter(~F.col("is_test")).count())
+    return Training(train, split.filter("is_test"), split.filter(~F.col("is_test")).count(), split)
 
 
 def fit(name: str, data: Training, config: ModelConfig = ModelConfig()) -> PipelineModel:
+    return fit_all((name,), data, config)[name]
+
+
+def _at_once(spark: SparkSession, tasks: dict[str, Callable[[], object]]) -> dict:
+    """Results of tasks that run beside each other, each in a scheduler pool of its own.
+
+    The rounds of one fit wait for each other and leave a cluster idle; another fit fills the gaps. Pools share out the
+    executors where spark.scheduler.mode is FAIR.
+    """
+
+    def run(name: str):
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", name.replace(" ", "-").lower())
+        return tasks[name]()
+
+    with ThreadPoolExecutor(len(tasks)) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(run), name) for name in tasks}
+        return {name: x.result() for name, x in started.items()}
+
+
+def fit_all(names: tuple[str, ...], data: Training, config: ModelConfig = ModelConfig()) -> dict[str, PipelineModel]:
+    """Fitted models by name, from training rows that are read once."""
     train = data.train.persist()
     try:
-        return build_pipeline(name, data.train_rows, config).fit(train)
+        return _at_once(train.sparkSession, {n: partial(build_pipeline(n, data.train_rows, config).fit, train) for n in names})
     finally:
         train.unpersist()
 
 
+def standard_features(model: PipelineModel) -> list[Column]:
+    """The features as the learner sees them, in order."""
+    scaler = model.stages[1]
+    return [
+        (F.col(c) - F.lit(float(m))) / F.lit(float(s)) if s > 0 else F.lit(0.0)
+        for c, m, s in zip(CHURN_FEATURES, scaler.mean.toArray(), scaler.std.toArray())
+    ]
+
+
+def logistic_gradient(model: PipelineModel, data: Training) -> DataFrame:
+    """(coordinate, gradient) of the weighted mean loss with its L2 term at the fitted coefficients: 0 at the optimum.
+
+    One pass over the training rows, one sum per coordinate.
+    """
+    learner = model.stages[-1]
+    values = standard_features(model)
+    margin = F.lit(float(learner.intercept))
+    for value, c in zip(values, learner.coefficients.toArray()):
+        margin = margin + value * F.lit(float(c))
+    error = F.col("weight") * (F.lit(1.0) / (F.lit(1.0) + F.exp(-margin)) - F.col("churned"))
+    strength = learner.getOrDefault("regParam")
+    total = F.sum("weight")
+    entries = [
+        F.struct(F.lit(name).alias("coordinate"), (F.sum(error * value) / total + F.lit(strength * float(c))).alias("gradient"))
+        for name, value, c in zip(CHURN_FEATURES, values, learner.coefficients.toArray())
+    ]
+    entries.append(F.struct(F.lit("intercept").alias("coordinate"), (F.sum(error) / total).alias("gradient")))
+    return data.train.agg(F.array(*entries).alias("g")).select(F.inline("g"))
+
+
+def scaling(model: PipelineModel, spark: SparkSession) -> DataFrame:
+    """(coordinate, mean, std) of the training rows: one row per feature."""
+    scaler = model.stages[1]
+    rows = [(c, float(m), float(s)) for c, m, s in zip(CHURN_FEATURES, scaler.mean.toArray(), scaler.std.toArray())]
+    return spark.createDataFrame(rows, "coordinate string, mean double, std double")
+
+
 def test_scores(model: PipelineModel, data: Training) -> DataFrame:
     return model.transform(data.test).select("user_id", F.col("churned").alias("label"), churn_probability().alias("score"))
 
@@ -123,32 +186,49 @@ def evaluate(models: dict[str, PipelineModel], data: Training) -> DataFrame:
 
 def stacked_scores(models: dict[str, PipelineModel], data: Training) -> DataFrame:
     """(model, user_id, label, score) of the test rows, written once."""
+    return score_table(models, data).where("is_test").drop("is_test")
+
+
+def score_table(models: dict[str, PipelineModel], data: Training) -> DataFrame:
+    """(model, user_id, label, is_test, score) of all users, written once: what metrics, gate, curves and tiers are read from."""
     stacked = None
     for name, model in models.items():
-        part = test_scores(model, data).withColumn("model", F.lit(name))
+        part = model.transform(data.users).select(
+            F.lit(name).alias("model"), "user_id", F.col("churned").alias("label"), "is_test", churn_probability().alias("score")
+        )
         stacked = part if stacked is None else stacked.unionByName(part)
-    return materialise(stacked, "test-scores")
+    return materialise(stacked, "scores")
+
+
+def cross_validate(name: str, data: Training, config: ModelConfig = ModelConfig()) -> tuple[float, float]:
+    """Mean and standard deviation of the AUC over the folds."""
+    return cross_validate_all((name,), data, config)[name]
+
 
+def cross_validate_all(names: tuple[str, ...], data: Training, config: ModelConfig = ModelConfig()) -> dict[str, tuple[float, float]]:
+    """Mean and standard deviation of each model's AUC over hash folds of the training rows; user and label are hashed, as in the split.
 
-def cross_validate(name: str, data: Training, config: ModelConfig = ModelConfig(), parallelism: int = 5) -> tuple[float, float]:
-    """Mean and standard deviation of the AUC over hash folds of the training rows; user and label are hashed, as in the split."""
+    All folds of all models are fitted beside each other over one stored table of folds.
+    """
     key = F.concat_ws("-", F.col("churned").cast("string"), F.col("user_id").cast("string"))
-    folded = data.train.withColumn("fold", hash_bucket(key, config.seed + 1, config.folds))
-    pipeline = build_pipeline(name, data.train_rows, config)
-    validator = CrossValidator(
-        estimator=pipeline,
-        estimatorParamMaps=ParamGridBuilder().build(),
-        evaluator=BinaryClassificationEvaluator(labelCol="churned", metricName="areaUnderROC"),
-        numFolds=config.folds,
-        foldCol="fold",
-        parallelism=parallelism,
-    )
-    folded = folded.persist()
-    try:
+    folded = materialise(data.train.withColumn("fold", hash_bucket(key, config.seed + 1, config.folds)), "folds").persist()
+
+    def validate(name: str) -> tuple[float, float]:
+        validator = CrossValidator(
+            estimator=build_pipeline(name, data.train_rows, config),
+            estimatorParamMaps=ParamGridBuilder().build(),
+            evaluator=BinaryClassificationEvaluator(labelCol="churned", metricName="areaUnderROC"),
+            numFolds=config.folds,
+            foldCol="fold",
+            parallelism=config.folds,
+        )
         model = validator.fit(folded)
+        return float(model.avgMetrics[0]), float(model.stdMetrics[0])
+
+    try:
+        return _at_once(folded.sparkSession, {name: partial(validate, name) for name in names})
     finally:
         folded.unpersist()
-    return float(model.avgMetrics[0]), float(model.stdMetrics[0])
 
 
 def feature_importance(model: PipelineModel, spark: SparkSession) -> DataFrame:

@@ -9,20 +9,35 @@ from shopsight.config import DEDUP_KEYS, EVENT_TYPES
 from shopsight.functions.events import parse_time
 
 
-def _counted(raw: DataFrame, session_keys: tuple[str, ...], event_keys: tuple[str, ...]) -> DataFrame:
-    """Distinct full keys with their number of rows and the counters of each rule."""
+SESSION_KEYS = ("user_id", "event_time", "user_session")
+
+
+def row_counters() -> dict[str, Column]:
+    """Counters of each rule that a row decides by itself; they can be observed while the rows are written."""
     price = F.col("price").try_cast("double")
     known = F.coalesce(F.lower(F.trim("event_type")).isin(*EVENT_TYPES), F.lit(False))
     user = F.col("user_id").try_cast("long")
     valid = known & user.isNotNull() & parse_time(F.col("event_time").cast("string")).isNotNull()
-    return raw.groupBy(*dict.fromkeys(event_keys + session_keys)).agg(
-        F.count("*").alias("n"),
-        F.count_if(user.isNull()).alias("null_user_id"),
-        F.count_if(price.isNull()).alias("null_price"),
-        F.count_if(price < 0).alias("negative_price"),
-        F.count_if(~known).alias("invalid_event_type"),
-        F.count_if(valid).alias("valid_rows"),
-    )
+    return {
+        "n": F.count(F.lit(1)),
+        "null_user_id": F.count_if(user.isNull()),
+        "null_price": F.count_if(price.isNull()),
+        "negative_price": F.count_if(price < 0),
+        "invalid_event_type": F.count_if(~known),
+        "valid_rows": F.count_if(valid),
+    }
+
+
+def _counted(raw: DataFrame, session_keys: tuple[str, ...], event_keys: tuple[str, ...]) -> DataFrame:
+    """Distinct full keys with their number of rows and the counters of each rule."""
+    return raw.groupBy(*dict.fromkeys(event_keys + session_keys)).agg(*[c.alias(name) for name, c in row_counters().items()])
+
+
+def observed_metrics(landed: DataFrame, observed: dict[str, int]) -> DataFrame:
+    """The same row as dq_metrics: counters observed while `landed` was written, distinct keys from its key columns."""
+    by_session = landed.groupBy(*DEDUP_KEYS).agg(F.count(F.lit(1)).alias("_n")).groupBy(*SESSION_KEYS).agg(F.count("*").alias("event_keys"))
+    totals = by_session.agg(F.count("*").alias("session_keys"), F.coalesce(F.sum("event_keys"), F.lit(0)).alias("event_keys"))
+    return _report(totals.select("*", *[F.lit(int(observed[name])).cast("long").alias(name) for name in row_counters()]))
 
 
 def dq_metrics(raw: DataFrame) -> DataFrame:
@@ -31,11 +46,10 @@ def dq_metrics(raw: DataFrame) -> DataFrame:
     The rows are first reduced to distinct event keys with their counters, then to distinct
     session keys; both steps combine before they shuffle, so repeated rows cost nothing.
     """
-    session_keys = ("user_id", "event_time", "user_session")
-    counters = ("n", "null_user_id", "null_price", "negative_price", "invalid_event_type", "valid_rows")
+    counters = tuple(row_counters())
     by_session = (
-        _counted(raw, session_keys, DEDUP_KEYS)
-        .groupBy(*session_keys)
+        _counted(raw, SESSION_KEYS, DEDUP_KEYS)
+        .groupBy(*SESSION_KEYS)
         .agg(F.count("*").alias("event_keys"), *[F.sum(c).alias(c) for c in counters])
     )
     totals = by_session.agg(
@@ -43,6 +57,10 @@ def dq_metrics(raw: DataFrame) -> DataFrame:
         F.coalesce(F.sum("event_keys"), F.lit(0)).alias("event_keys"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counters],
     )
+    return _report(totals)
+
+
+def _report(totals: DataFrame) -> DataFrame:
     return totals.select(
         F.col("n").alias("total_rows"),
         "null_user_id",

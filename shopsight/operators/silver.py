@@ -26,10 +26,18 @@ def build_silver(bronze: DataFrame, config: SilverConfig = SilverConfig(), every
 
     Where `bronze` is only a part of the events, `every` holds all of them, for the sizes of the sessions.
     """
+    return _shaped(drop_bot_sessions(bronze, config.bot_limit, every))
+
+
+def silver_without(bronze: DataFrame, bots: DataFrame) -> DataFrame:
+    """Bronze to `events_cleaned`, where the sessions of bots are known (a stored table)."""
+    return _shaped(bronze.join(bots, "user_session", "left_anti"))
+
+
+def _shaped(kept: DataFrame) -> DataFrame:
     priced = F.col("price_raw").isNotNull() | ~is_type("purchase")
-    kept = drop_bot_sessions(bronze, config.bot_limit, every).filter(priced)
     return (
-        with_category_parts(with_time_parts(kept))
+        with_category_parts(with_time_parts(kept.filter(priced)))
         .withColumn("event_id", event_key())
         .withColumn("brand", F.coalesce("brand", F.lit(UNKNOWN)))
         .drop("price_raw", "_batch")

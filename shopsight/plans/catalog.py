@@ -15,9 +15,9 @@ from shopsight.config import ChurnConfig, ModelConfig, RfmConfig, SilverConfig,
 from shopsight.functions.events import as_facts, event_key, with_category, with_category_parts, with_time_parts
 from shopsight.operators import bronze, churn, features, metrics, modeling, quality, rfm, scoring, silver, upsell
 from shopsight.operators.panels import behaviour, overview, products, tiers
-from shopsight.plans import dashboard, ingest, training
+from shopsight.plans import dashboard, ledger, training
 from shopsight.session import prepare
-from shopsight.sources import raw, shop, tables
+from shopsight.sources import raw, shop, tables, versions
 from shopsight.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -145,12 +145,15 @@ def bronze_partition_counts(spark, d):
 
 
 def silver_incremental_merge(spark, d):
-    """Three loads: rows missing all over the first period, the rest of it, then everything."""
-    path = tables.scratch_path(prepare(spark), "silver")
-    events = tables.materialise(_as_bronze(spark, d), "bronze")
-    first = events.filter(F.col("event_date") < F.lit(SILVER_CUT).cast("date"))
-    for known in (first.filter("product_id % 2 = 0"), first, events):
-        ingest.refresh_silver(known, path, SILVER)
+    """Two batches, silver refreshed after each: a first period with rows missing, then those rows, the rest, and a known day once more."""
+    landed, path = tables.scratch_path(prepare(spark), "bronze"), tables.scratch_path(spark, "silver")
+    events = tables.materialise(_as_bronze(spark, d), "events")
+    cut = F.lit(SILVER_CUT).cast("date")
+    early = (F.col("event_date") < cut) & F.coalesce(F.col("product_id") % 2 == 0, F.lit(False))
+    again = F.col("event_date") == F.date_sub(cut, 1)
+    for source, batch in (("early", events.filter(early)), ("late", events.filter(~early | again))):
+        bronze.write_bronze(bronze.with_ingestion_columns(batch, "2024-01-31", source), landed)
+        ledger.refresh_silver(spark, landed, path, SILVER)
     return spark.read.parquet(path).select("event_id", "event_date", "event_type", "user_session", "price", "brand")
 
 
@@ -247,8 +250,8 @@ def _recommend(spark, d, build):
 
 def upsell_scores_published(spark, d):
     path = tables.scratch_path(prepare(spark), "upsell-scores")
-    tables.publish(_recommend(spark, d, upsell.upsell_top_k), path)
-    return spark.read.parquet(path).drop("scored_at")
+    versions.publish_scores(_recommend(spark, d, upsell.upsell_top_k), path)
+    return versions.read(spark, path).drop("scored_at")
 
 
 # Panels ---------------------------------------------------------------------------------
@@ -263,13 +266,27 @@ def panel_tiers(spark, d):
     )
 
 
-def panel_contract(spark, d):
+PANEL_MINIMUM = {"weekday_hour_heatmap": 168, "affinity_matrix": 64, "segments": 4}
+
+
+def _panels(spark, d):
     panels = dashboard.build_panels(_events(spark, d), "full")
     panels["affinity_matrix"] = upsell.affinity_matrix(_demand(spark, d), 8, 1)
     scored = tables.materialise(_order_rfm(spark, d), "rfm")
-    panels |= {"segments": rfm.segment_counts(scored), "rfm_sample": rfm.rfm_sample(scored), "rfm_panel_sample": rfm.rfm_sample(scored, *PANEL_SAMPLE)}
-    minimum = {"weekday_hour_heatmap": 168, "affinity_matrix": 64, "segments": 4}
-    return quality.panel_contract(panels, minimum, panels["overview_kpis"].select("slice"))
+    return panels | {"segments": rfm.segment_counts(scored), "rfm_sample": rfm.rfm_sample(scored), "rfm_panel_sample": rfm.rfm_sample(scored, *PANEL_SAMPLE)}
+
+
+def panel_contract(spark, d):
+    panels = _panels(spark, d)
+    return quality.panel_contract(panels, PANEL_MINIMUM, panels["overview_kpis"].select("slice"))
+
+
+def run_contract(spark, d):
+    """The contract over all tables of a run: panels of events, and those of a training run at full parameters."""
+    panels = _panels(spark, d)
+    slices = panels["overview_kpis"].select("slice")
+    models = dashboard.model_panels(_trained(spark, d))
+    return quality.panel_contract(panels | models, PANEL_MINIMUM | dashboard.MODEL_MINIMUM, slices)
 
 
 # Models ---------------------------------------------------------------------------------
@@ -284,10 +301,22 @@ def _fit_one(name: str) -> Query:
     return run
 
 
+def _trained(spark, d, names=modeling.MODELS):
+    return training.train(_churn_features(spark, d), MODELS, names)
+
+
+def churn_lr_optimum(spark, d):
+    """Gradient at the fitted coefficients, to three decimals, beside the scaling of each feature."""
+    data = modeling.prepare(_churn_features(spark, d), MODELS)
+    model = modeling.fit(modeling.LOGISTIC, data, MODELS)
+    scaling = modeling.scaling(model, spark).withColumns({c: F.round(c, 6) for c in ("mean", "std")})
+    gradient = modeling.logistic_gradient(model, data).withColumn("gradient", F.round("gradient", 3) + 0.0)
+    return gradient.join(scaling, "coordinate", "left")
+
+
 def churn_cv(spark, d):
     data = modeling.prepare(_churn_features(spark, d), MODELS)
-    names = (modeling.LOGISTIC, modeling.FOREST)
-    rows = [(name, *modeling.cross_validate(name, data, MODELS)) for name in names]
+    rows = [(name, *found) for name, found in modeling.cross_validate_all(modeling.MODELS, data, MODELS).items()]
     return spark.createDataFrame(rows, "model string, cv_auc_mean double, cv_auc_std double")
 
 
@@ -296,28 +325,34 @@ def feature_importance(spark, d):
     return modeling.feature_importance(modeling.fit(modeling.FOREST, data, MODELS), spark)
 
 
+def tree_scores(spark, d):
+    return training.tree_differences(_trained(spark, d, (modeling.FOREST, modeling.BOOSTING)))
+
+
+def tree_importances(spark, d):
+    return training.importance_differences(_trained(spark, d, (modeling.FOREST, modeling.BOOSTING)))
+
+
+def model_checks(spark, d):
+    return training.checks(_trained(spark, d))
+
+
 def champion_gate(spark, d):
-    trained = training.train(_churn_features(spark, d), MODELS)
-    return training.promote(trained, tables.scratch_path(spark, "champion"), MODELS)
+    return training.promote(_trained(spark, d), tables.scratch_path(spark, "champion"), MODELS)
 
 
 def model_roc_curves(spark, d):
     """Hold-out curves of all three models."""
-    data = modeling.prepare(_churn_features(spark, d), MODELS)
-    models = {name: modeling.fit(name, data, MODELS) for name in modeling.MODELS}
-    return metrics.roc_curve(modeling.stacked_scores(models, data), group=("model",))
+    return metrics.roc_curve(_trained(spark, d).held_out(), group=("model",))
 
 
 def model_score_histogram(spark, d):
     """Scores that boosting gives to all users."""
-    users = tables.materialise(_churn_features(spark, d), "features")
-    model = modeling.fit(modeling.BOOSTING, modeling.prepare(users, MODELS), MODELS)
-    return metrics.score_histogram(model.transform(users).select(modeling.churn_probability().alias("score")))
+    return metrics.score_histogram(_trained(spark, d, (modeling.BOOSTING,)).scores)
 
 
 def model_summary(spark, d):
-    trained = training.train(_churn_features(spark, d), MODELS, (modeling.LOGISTIC, modeling.FOREST))
-    return training.model_summary(trained, MODELS)
+    return training.model_summary(_trained(spark, d), MODELS)
 
 
 def churn_scores(spark, d):
@@ -328,8 +363,8 @@ def churn_scores(spark, d):
     path = tables.scratch_path(spark, "champion")
     training.promote(trained, path, config)
     published = tables.scratch_path(spark, "churn-scores")
-    tables.publish(modeling.score_users(users, path), published)
-    return spark.read.parquet(published)
+    versions.publish_scores(modeling.score_users(users, path), published)
+    return versions.read(spark, published)
 
 
 # Streams --------------------------------------------------------------------------------
@@ -438,6 +473,7 @@ def queries() -> dict[str, Query]:
         "run_metadata": lambda s, d: overview.run_metadata(_events(s, d)),
         "panel_tiers": panel_tiers,
         "panel_contract": panel_contract,
+        "run_contract": run_contract,
         "churn_risk_tiers": churn_risk_tiers,
         "top_churn": lambda s, d: scoring.top_churn(_rule_scores(s, d)),
         "score_histogram": lambda s, d: metrics.score_histogram(_labelled_rule_scores(s, d)),
@@ -453,6 +489,10 @@ def queries() -> dict[str, Query]:
         "churn_lr": _fit_one(modeling.LOGISTIC),
         "churn_rf": _fit_one(modeling.FOREST),
         "churn_gbt": _fit_one(modeling.BOOSTING),
+        "churn_lr_optimum": churn_lr_optimum,
+        "tree_scores": tree_scores,
+        "tree_importances": tree_importances,
+        "model_checks": model_checks,
         "churn_cv": churn_cv,
         "feature_importance": feature_importance,
         "champion_gate": champion_gate,

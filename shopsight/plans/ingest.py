@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from shopsight.config import DEDUP_KEYS, ChurnConfig, RfmConfig, SilverConfig
+from shopsight.config import DEDUP_KEYS, ChurnConfig, RfmConfig, SilverConfig, UpsellConfig
 from shopsight.functions.events import with_category
 from shopsight.operators import bronze, churn, features, quality, rfm, upsell
 from shopsight.operators.silver import build_silver
@@ -24,11 +24,16 @@ class IngestReport:
 def ingest(
     spark: SparkSession, source: str, target: str, run_date: str, month: str | None = None
 ) -> IngestReport:
-    """CSV files matching `source` into the bronze table, as one batch. Running it again changes nothing."""
-    raw = read_checked_csv(spark, source)
-    metrics = tables.materialise(quality.dq_metrics(raw), "dq")
-    named = raw.withColumn("_source", F.col("_metadata.file_path"))
-    events = bronze.dedup_events(bronze.clean_events(named, month))
+    """CSV files matching `source` into the bronze table, as one batch. Running it again changes nothing.
+
+    The text is parsed once: typed rows are stored as columns, and the counters of the metrics are taken as they pass. Distinct
+    keys and de-duplication read the stored columns.
+    """
+    raw = read_checked_csv(spark, source).withColumn("_source", F.col("_metadata.file_path"))
+    seen = Observation("landed")
+    landed = tables.materialise(raw.observe(seen, *[c.alias(n) for n, c in quality.row_counters().items()]), "landed")
+    metrics = tables.materialise(quality.observed_metrics(landed, seen.get), "dq")
+    events = bronze.dedup_events(bronze.clean_events(landed, month))
     bronze.write_bronze(bronze.with_ingestion_columns(events, run_date, source), target)
     written = spark.read.parquet(target).filter(F.col(bronze.BATCH) == bronze.batch_name(source, run_date))
     if month is not None:
@@ -71,14 +76,18 @@ def refresh_silver(bronze_events: DataFrame, path: str, config: SilverConfig = S
     days.write.mode("overwrite").parquet(state_path)
 
 
+GOLD = ("customer_rfm", "upsell_features", "user_features", "product_features", "session_features", "churn_features")
+
+
 def build_gold(
-    silver: DataFrame, folder: str, rfm_config: RfmConfig = RfmConfig(), churn_config: ChurnConfig = ChurnConfig()
+    silver: DataFrame, folder: str, rfm_config: RfmConfig = RfmConfig(), churn_config: ChurnConfig = ChurnConfig(),
+    upsell_config: UpsellConfig = UpsellConfig(min_views=100),
 ) -> None:
     """Full refresh of the gold and feature tables, one folder per table."""
     by_root = with_category(silver, "root")
     outputs = {
         "customer_rfm": rfm.customer_rfm(silver, rfm_config),
-        "upsell_features": upsell.upsell_features(by_root),
+        "upsell_features": upsell.upsell_features(by_root, upsell_config.alpha, upsell_config.min_views),
         "user_features": features.user_features(silver, rfm_config.ref_date),
         "product_features": features.product_features(silver),
         "session_features": features.session_features(silver),

@@ -7,25 +7,36 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from shopsight.config import ModelConfig, UpsellConfig
-from shopsight.operators import modeling
+from shopsight.operators import metrics as measures
+from shopsight.operators import modeling, trees
+from shopsight.operators.metrics import binary_metrics
 from shopsight.operators.upsell import as_demand, upsell_top_k
-from shopsight.sources import tables
+from shopsight.sources import tables, versions
 
 
 @dataclass
 class Trained:
+    """`scores` (model, user_id, label, is_test, score) is the one source of metrics, gate, curves and tiers."""
+
     models: dict[str, PipelineModel]
     metrics: DataFrame
     data: modeling.Training
+    scores: DataFrame | None = None
+
+    def held_out(self) -> DataFrame:
+        return self.scores.where("is_test")
 
 
 def train(features: DataFrame, config: ModelConfig = ModelConfig(), names: tuple[str, ...] = modeling.MODELS) -> Trained:
+    """All models fitted beside each other, their scores of all users stored, and the metrics of the test rows."""
     data = modeling.prepare(features, config)
-    models = {name: modeling.fit(name, data, config) for name in names}
-    metrics = tables.materialise(modeling.evaluate(models, data), "metrics")
-    return Trained(models, metrics, data)
+    models = modeling.fit_all(names, data, config)
+    scores = modeling.score_table(models, data)
+    metrics = tables.materialise(binary_metrics(scores.where("is_test"), group=("model",)), "metrics")
+    return Trained(models, metrics, data, scores)
 
 
 def promote(trained: Trained, path: str, config: ModelConfig = ModelConfig()) -> DataFrame:
@@ -40,16 +51,62 @@ def promote(trained: Trained, path: str, config: ModelConfig = ModelConfig()) ->
 def model_summary(trained: Trained, config: ModelConfig = ModelConfig()) -> DataFrame:
     """Hold-out and cross-validated metrics per model, four decimals."""
     spark = trained.metrics.sparkSession
-    rows = [(name, *modeling.cross_validate(name, trained.data, config)) for name in trained.models]
+    rows = [(name, *found) for name, found in modeling.cross_validate_all(tuple(trained.models), trained.data, config).items()]
     cv = spark.createDataFrame(rows, "model string, cv_auc_mean double, cv_auc_std double")
     columns = ["auc_roc", "auc_pr", "f1", "cv_auc_mean", "cv_auc_std"]
     return trained.metrics.join(F.broadcast(cv), "model").select("model", *[F.round(c, 4).alias(c) for c in columns])
 
 
+def checks(trained: Trained) -> DataFrame:
+    """Rows (model, check, ok): what is derived from the stored scores, derived once more by other means.
+
+    auc: the area from ranks instead of the curve. curve: starts and ends where a curve must, never falls. histogram: holds
+    every user once. tiers: are those of the scores. train_test: every user has one score. One pass over scores per check.
+    """
+    scores, held = trained.scores, trained.held_out()
+    ranks = held.withColumn("r", F.rank().over(Window.partitionBy("model").orderBy("score")) + (F.count("*").over(Window.partitionBy("model", "score")) - 1) / 2)
+    pos, neg = F.sum("label"), F.sum(1 - F.col("label"))
+    by_rank = ranks.groupBy("model").agg(F.round(F.try_divide(F.sum(F.col("r") * F.col("label")) - pos * (pos + 1) / 2, pos * neg), 6).alias("auc"))
+    auc = by_rank.join(trained.metrics, "model").select("model", F.lit("auc").alias("check"), (F.abs(F.coalesce("auc", F.lit(0.0)) - F.col("auc_roc")) < 2e-6).alias("ok"))
+    curve = measures.roc_curve(held, group=("model",)).groupBy("model").agg((F.abs(F.max("fpr") - 1) < 1e-9) & (F.abs(F.max("tpr") - 1) < 1e-9) & (F.min("fpr") >= 0))
+    curve = curve.toDF("model", "ok").select("model", F.lit("curve").alias("check"), "ok")
+    users = trained.data.users.select(F.count("*")).scalar()
+    once = scores.groupBy("model").agg(((F.countDistinct("user_id") == users) & (F.count("*") == users)).alias("ok")).select("model", F.lit("every_user_once").alias("check"), "ok")
+    found = auc.unionByName(curve).unionByName(once)
+    for name in trained.models:
+        counted = measures.score_histogram(scores.where(F.col("model") == name)).agg((F.sum("count") == users).alias("ok"))
+        found = found.unionByName(counted.select(F.lit(name).alias("model"), F.lit("histogram").alias("check"), "ok"))
+    return found
+
+
+def tree_differences(trained: Trained) -> DataFrame:
+    """(model, user_id, difference): scores of the tree models from their node tables, less the stored ones."""
+    found = None
+    for name in (n for n in trained.models if n != modeling.LOGISTIC):
+        walked = trees.walked_scores(trained.models[name], trained.data.users).withColumnRenamed("score", "walked")
+        both = trained.scores.where(F.col("model") == name).join(walked, "user_id", "left")
+        part = both.select("model", "user_id", (F.round(F.abs(F.col("walked") - F.col("score")), 9) + 0.0).alias("difference"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def importance_differences(trained: Trained) -> DataFrame:
+    """(model, feature, difference): importances from the node tables, less those of the fitted models."""
+    found = None
+    for name, model in trained.models.items():
+        if name == modeling.LOGISTIC:
+            continue
+        own = trees.importances(trees.node_table(model), name == modeling.BOOSTING)
+        told = modeling.feature_importance(model, trained.scores.sparkSession).withColumnRenamed("importance", "told")
+        part = own.join(told, "feature").select(F.lit(name).alias("model"), "feature", (F.round(F.abs(F.col("importance") - F.col("told")), 9) + 0.0).alias("difference"))
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
 def score_and_publish(
     features: DataFrame, champion_path: str, events: DataFrame, rfm: DataFrame, folder: str,
     config: UpsellConfig = UpsellConfig(),
 ) -> None:
     """Daily scoring: churn scores of all users and their recommendations."""
-    tables.publish(modeling.score_users(features, champion_path), f"{folder}/churn_scores")
-    tables.publish(upsell_top_k(as_demand(events), rfm, config), f"{folder}/upsell_scores")
+    versions.publish_scores(modeling.score_users(features, champion_path), f"{folder}/churn_scores")
+    versions.publish_scores(upsell_top_k(as_demand(events), rfm, config), f"{folder}/upsell_scores")

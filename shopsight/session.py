@@ -24,6 +24,7 @@ def prepare(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str, **conf: str) -> SparkSession:
     """Session for a job; deployment settings (master, memory) come from spark-submit."""
     builder = SparkSession.builder.appName(app_name).config("spark.sql.parquet.compression.codec", "snappy")
+    builder = builder.config("spark.scheduler.mode", "FAIR")  # fits run beside each other
     for key, value in conf.items():
         builder = builder.config(key, value)
     return prepare(builder.getOrCreate())

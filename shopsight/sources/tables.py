@@ -61,6 +61,15 @@ def require_sources(spark: SparkSession, *patterns: str) -> None:
         raise FileNotFoundError(f"no input for: {', '.join(missing)}")
 
 
+def source_report(spark: SparkSession, sources: dict[str, str]) -> DataFrame:
+    """(source, present) for named path patterns."""
+    found = []
+    for name, pattern in sources.items():
+        fs, hadoop_path = _file_system(spark, pattern)
+        found.append((name, bool(fs.globStatus(hadoop_path))))
+    return spark.createDataFrame(found, "source string, present boolean")
+
+
 def write_partitioned(df: DataFrame, path: str, partitions: tuple[str, ...]) -> None:
     """Replace exactly the partitions present in `df`, so a re-run leaves the table unchanged.
 
@@ -81,11 +90,6 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def publish(df: DataFrame, path: str) -> None:
-    """Full refresh with the time of scoring."""
-    write_table(df.withColumn("scored_at", F.current_timestamp()), path)
-
-
 def drop_partition(spark: SparkSession, path: str, **values: str) -> None:
     """Remove one partition folder, if there is one."""
     fs, folder = _file_system(spark, "/".join([path.rstrip("/"), *(f"{k}={v}" for k, v in values.items())]))
