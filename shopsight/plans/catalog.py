@@ -301,8 +301,24 @@ def _fit_one(name: str) -> Query:
     return run
 
 
-def _trained(spark, d, names=modeling.MODELS):
-    return training.train(_churn_features(spark, d), MODELS, names)
+_runs: dict[tuple, object] = {}
+
+
+def _once(spark, d, what, make):
+    """A training run is made once per application and folder; what it has stored serves all queries that read it."""
+    key = (spark.sparkContext.applicationId, d, what)
+    if key not in _runs:
+        _runs[key] = make()
+    return _runs[key]
+
+
+def _trained(spark, d):
+    return _once(spark, d, "models", lambda: training.train(_churn_features(spark, d), MODELS))
+
+
+def _validated(spark, d):
+    """All folds of all three models at full parameters."""
+    return _once(spark, d, "folds", lambda: modeling.cross_validate_all(modeling.MODELS, modeling.prepare(_churn_features(spark, d), MODELS), MODELS))
 
 
 def churn_lr_optimum(spark, d):
@@ -315,22 +331,20 @@ def churn_lr_optimum(spark, d):
 
 
 def churn_cv(spark, d):
-    data = modeling.prepare(_churn_features(spark, d), MODELS)
-    rows = [(name, *found) for name, found in modeling.cross_validate_all(modeling.MODELS, data, MODELS).items()]
+    rows = [(name, *found) for name, found in _validated(spark, d).items()]
     return spark.createDataFrame(rows, "model string, cv_auc_mean double, cv_auc_std double")
 
 
 def feature_importance(spark, d):
-    data = modeling.prepare(_churn_features(spark, d), MODELS)
-    return modeling.feature_importance(modeling.fit(modeling.FOREST, data, MODELS), spark)
+    return modeling.feature_importance(_trained(spark, d).models[modeling.FOREST], spark)
 
 
 def tree_scores(spark, d):
-    return training.tree_differences(_trained(spark, d, (modeling.FOREST, modeling.BOOSTING)))
+    return training.tree_differences(_trained(spark, d))
 
 
 def tree_importances(spark, d):
-    return training.importance_differences(_trained(spark, d, (modeling.FOREST, modeling.BOOSTING)))
+    return training.importance_differences(_trained(spark, d))
 
 
 def model_checks(spark, d):
@@ -348,22 +362,18 @@ def model_roc_curves(spark, d):
 
 def model_score_histogram(spark, d):
     """Scores that boosting gives to all users."""
-    return metrics.score_histogram(_trained(spark, d, (modeling.BOOSTING,)).scores)
+    return metrics.score_histogram(_trained(spark, d).scores.where(F.col("model") == modeling.BOOSTING))
 
 
 def model_summary(spark, d):
-    return training.model_summary(_trained(spark, d), MODELS)
+    return training.model_summary(_trained(spark, d), MODELS, _validated(spark, d))
 
 
 def churn_scores(spark, d):
     """All users scored by a stored champion; the gate is open, as the data carry no signal."""
-    config = ModelConfig(min_auc=0.0)
-    users = tables.materialise(_churn_features(spark, d), "features")
-    trained = training.train(users, config)
-    path = tables.scratch_path(spark, "champion")
-    training.promote(trained, path, config)
-    published = tables.scratch_path(spark, "churn-scores")
-    versions.publish_scores(modeling.score_users(users, path), published)
+    path, published = tables.scratch_path(spark, "champion"), tables.scratch_path(spark, "churn-scores")
+    training.promote(_trained(spark, d), path, ModelConfig(min_auc=0.0))
+    versions.publish_scores(modeling.score_users(_churn_features(spark, d), path), published)
     return versions.read(spark, published)
 
 

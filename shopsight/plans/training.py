@@ -48,10 +48,11 @@ def promote(trained: Trained, path: str, config: ModelConfig = ModelConfig()) ->
     return table
 
 
-def model_summary(trained: Trained, config: ModelConfig = ModelConfig()) -> DataFrame:
-    """Hold-out and cross-validated metrics per model, four decimals."""
+def model_summary(trained: Trained, config: ModelConfig = ModelConfig(), validated: dict[str, tuple[float, float]] | None = None) -> DataFrame:
+    """Hold-out and cross-validated metrics per model, four decimals; cross-validates unless that has been done."""
     spark = trained.metrics.sparkSession
-    rows = [(name, *found) for name, found in modeling.cross_validate_all(tuple(trained.models), trained.data, config).items()]
+    validated = validated or modeling.cross_validate_all(tuple(trained.models), trained.data, config)
+    rows = [(name, *found) for name, found in validated.items()]
     cv = spark.createDataFrame(rows, "model string, cv_auc_mean double, cv_auc_std double")
     columns = ["auc_roc", "auc_pr", "f1", "cv_auc_mean", "cv_auc_std"]
     return trained.metrics.join(F.broadcast(cv), "model").select("model", *[F.round(c, 4).alias(c) for c in columns])
@@ -60,16 +61,19 @@ def model_summary(trained: Trained, config: ModelConfig = ModelConfig()) -> Data
 def checks(trained: Trained) -> DataFrame:
     """Rows (model, check, ok): what is derived from the stored scores, derived once more by other means.
 
-    auc: the area from ranks instead of the curve. curve: starts and ends where a curve must, never falls. histogram: holds
-    every user once. tiers: are those of the scores. train_test: every user has one score. One pass over scores per check.
+    auc: the area from ranks instead of the curve. curve: ends at 1 for every class that the test rows have. histogram: counts
+    every user. every_user_once: one score per user and model. Ranks are windows over the test rows of a model: a check for
+    tests and small runs, not for production.
     """
     scores, held = trained.scores, trained.held_out()
     ranks = held.withColumn("r", F.rank().over(Window.partitionBy("model").orderBy("score")) + (F.count("*").over(Window.partitionBy("model", "score")) - 1) / 2)
     pos, neg = F.sum("label"), F.sum(1 - F.col("label"))
     by_rank = ranks.groupBy("model").agg(F.round(F.try_divide(F.sum(F.col("r") * F.col("label")) - pos * (pos + 1) / 2, pos * neg), 6).alias("auc"))
     auc = by_rank.join(trained.metrics, "model").select("model", F.lit("auc").alias("check"), (F.abs(F.coalesce("auc", F.lit(0.0)) - F.col("auc_roc")) < 2e-6).alias("ok"))
-    curve = measures.roc_curve(held, group=("model",)).groupBy("model").agg((F.abs(F.max("fpr") - 1) < 1e-9) & (F.abs(F.max("tpr") - 1) < 1e-9) & (F.min("fpr") >= 0))
-    curve = curve.toDF("model", "ok").select("model", F.lit("curve").alias("check"), "ok")
+    ends = measures.roc_curve(held, group=("model",)).groupBy("model").agg(*[F.coalesce(F.max(c), F.lit(0.0)).alias(c) for c in ("fpr", "tpr")])
+    classes = held.groupBy("model").agg(F.max("label").alias("any_pos"), F.max(1 - F.col("label")).alias("any_neg"))
+    at_end = (F.abs(F.col("tpr") - F.col("any_pos")) < 1e-9) & (F.abs(F.col("fpr") - F.col("any_neg")) < 1e-9)
+    curve = ends.join(classes, "model").select("model", F.lit("curve").alias("check"), at_end.alias("ok"))
     users = trained.data.users.select(F.count("*")).scalar()
     once = scores.groupBy("model").agg(((F.countDistinct("user_id") == users) & (F.count("*") == users)).alias("ok")).select("model", F.lit("every_user_once").alias("check"), "ok")
     found = auc.unionByName(curve).unionByName(once)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopsight.config import CHURN_FEATURES, ModelConfig
-from shopsight.operators import metrics, modeling
+from shopsight.operators import metrics, modeling, trees
 from shopsight.plans import training
 
 CONFIG = ModelConfig(rf_trees=10, rf_depth=3, gbt_iterations=5, gbt_depth=2, folds=3)
@@ -84,3 +84,72 @@ def test_every_model_has_a_curve(trained):
     curves = metrics.roc_curve(modeling.stacked_scores(trained.models, trained.data), group=("model",))
     ends = curves.groupBy("model").agg(F.max("fpr").alias("fpr"), F.max("tpr").alias("tpr")).collect()
     assert {r.model for r in ends} == set(modeling.MODELS) and all(r.fpr == r.tpr == 1.0 for r in ends)
+
+
+def test_gradient_vanishes_at_the_optimum_only(spark, users):
+    data = modeling.prepare(users, CONFIG)
+    model = modeling.fit(modeling.LOGISTIC, data, CONFIG)
+    found = {r.coordinate: r.gradient for r in modeling.logistic_gradient(model, data).collect()}
+    assert set(found) == {*CHURN_FEATURES, "intercept"} and max(map(abs, found.values())) < 5e-4
+    early = modeling.fit(modeling.LOGISTIC, data, ModelConfig(lr_iterations=1))
+    assert max(abs(r.gradient) for r in modeling.logistic_gradient(early, data).collect()) > 5e-3
+
+
+@pytest.mark.parametrize("name", [modeling.FOREST, modeling.BOOSTING])
+def test_node_tables_score_like_the_models(spark, trained, folder, name):
+    """Also walked by a recursive SQL statement over the stored tables."""
+    import math
+
+    import duckdb
+
+    model = trained.models[name]
+    nodes, rows = trees.node_table(model), trees.prepared_rows(model, trained.data.users)
+    want = {r.user_id: r.score for r in trained.scores.where(F.col("model") == name).collect()}
+    got = {r.user_id: r.score for r in trees.walked_scores(model, trained.data.users, nodes).collect()}
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(want[k], abs=1e-12) for k in want)
+
+    values = rows.unpivot("user_id", list(CHURN_FEATURES), "feature", "value")
+    nodes.write.parquet(f"{folder}/nodes")
+    values.write.parquet(f"{folder}/values")
+    walked = duckdb.sql(f"""
+        WITH RECURSIVE nodes AS (FROM '{folder}/nodes/*.parquet'), vals AS (FROM '{folder}/values/*.parquet'),
+            steps AS (
+                SELECT DISTINCT user_id, tree, 0 AS node FROM vals, nodes
+                UNION ALL
+                SELECT s.user_id, s.tree, CASE WHEN v.value <= n.threshold THEN n."left" ELSE n."right" END
+                FROM steps s JOIN nodes n USING (tree, node) JOIN vals v ON v.user_id = s.user_id AND v.feature = n.feature)
+        SELECT user_id, avg(share), sum(weight * prediction) FROM steps JOIN nodes USING (tree, node) WHERE feature IS NULL GROUP BY user_id
+    """).fetchall()
+    assert len(walked) == len(want)
+    for user, share, margin in walked:
+        assert want[user] == pytest.approx(share if name == modeling.FOREST else 1 / (1 + math.exp(-2 * margin)), abs=1e-9)
+
+
+def test_importances_follow_from_the_node_table(trained):
+    assert all(r.difference == 0.0 for r in training.importance_differences(trained).collect())
+    assert training.importance_differences(trained).count() == 20
+    assert all(r.difference == 0.0 for r in training.tree_differences(trained).collect())
+
+
+def test_checks_hold_and_notice_a_wrong_metric(trained):
+    assert all(r.ok for r in training.checks(trained).collect())
+    wrong = training.Trained(trained.models, trained.metrics.withColumn("auc_roc", F.lit(0.5)), trained.data, trained.scores)
+    assert not any(r.ok for r in training.checks(wrong).where("check = 'auc'").collect())
+    less = training.Trained(trained.models, trained.metrics, trained.data, trained.scores.where("user_id > 0"))
+    assert not any(r.ok for r in training.checks(less).where("check IN ('histogram', 'every_user_once')").collect())
+
+
+def test_all_folds_of_all_models(trained):
+    found = modeling.cross_validate_all(modeling.MODELS, trained.data, CONFIG)
+    assert set(found) == set(modeling.MODELS) and all(0.5 < mean <= 1 and std >= 0 for mean, std in found.values())
+    alone = modeling.cross_validate(modeling.LOGISTIC, trained.data, CONFIG)
+    assert alone == pytest.approx(found[modeling.LOGISTIC], abs=1e-6)
+
+
+def test_model_panels(trained):
+    from shopsight.plans import dashboard
+
+    panels = dashboard.model_panels(trained)
+    assert {name: df.count() for name, df in panels.items()} == dashboard.MODEL_MINIMUM
+    for row in panels["roc_curves"].collect():
+        assert 1 < len(row.points) <= dashboard.CURVE_STEPS + 1 and row.points == sorted(row.points)
