@@ -22,10 +22,11 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .scratch import folder
+from .scratch import folder, written
 
 RECORDS_PER_FILE = 256
 LEAST_BYTES = 100
@@ -38,19 +39,25 @@ FIELDS = {
 RECORD_SCHEMA = "page_id long, url string, address string, date string, block binary, payload_bytes long, payload_digest string"
 
 
-def write_arc(pages: DataFrame, path: str, version: int) -> None:
-    """Pages (page_id, url, html) as ARC files of `RECORDS_PER_FILE` rows, the first of which is the version block."""
-    fields = FIELDS[version]
-    about = f"{version} 0 shopsight\n{fields}\n"
-    opening = f"filedesc://pages.arc 0.0.0.0 {DATE} text/plain" + (" 200 - - 0 pages.arc" if version == 2 else "") + f" {len(about)}\n{about}"
+def opening(version: int) -> str:
+    """The version block that every ARC file opens with."""
+    about = f"{version} 0 shopsight\n{FIELDS[version]}\n"
+    return f"filedesc://pages.arc 0.0.0.0 {DATE} text/plain" + (" 200 - - 0 pages.arc" if version == 2 else "") + f" {len(about)}\n{about}"
+
+
+def write_arc(pages: DataFrame, path: str, versions: tuple[int, ...] = tuple(FIELDS)) -> None:
+    """Pages (page_id, url, html) as ARC files of `RECORDS_PER_FILE` rows, the first of which is the version block.
+
+    Tasks take the versions in turn, so the pages are read once.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = 0
+        n, version = 0, versions[TaskContext.get().partitionId() % len(versions)]
         for batch in batches:
             out = []
             for row in batch.to_pylist():
                 if n % RECORDS_PER_FILE == 0:
-                    out.append(opening)
+                    out.append(opening(version))
                     n += 1
                 body = row["html"] or ""
                 size = len(body.encode())
@@ -207,10 +214,8 @@ def convert(pages: DataFrame) -> DataFrame:
     spark = pages.sparkSession
     base = folder(spark)
     typed = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"), F.col("html").cast("string").alias("html"))
-    odd = F.coalesce(F.pmod("page_id", F.lit(2)), F.lit(0)) == 1
-    write_arc(typed.where(~odd), f"{base}/arc1", 1)
-    write_arc(typed.where(odd), f"{base}/arc2", 2)
-    write_warc(read_arc(spark, f"{base}/arc[12]"), f"{base}/warc")
-    records = read_warc(spark, f"{base}/warc")
+    write_arc(typed, f"{base}/arc")
+    write_warc(read_arc(spark, f"{base}/arc"), f"{base}/warc")
+    records = written(read_warc(spark, f"{base}/warc"), "records")  # read once: ids and digests, no blocks
     responses = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(F.min("page_id").alias("refers_to"))
     return records.join(responses, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
