@@ -6,8 +6,8 @@ needs padding. One pass over the texts, no shuffle.
 
 A text is encoded piece by piece at its spaces, which the byte-level pattern never crosses, so the ids of a repeated word come
 from a bounded cache; texts with white space on both sides of a space are encoded as a whole. The ids equal those of
-the tokenizers library with byte_bpe_50k.json (the ranks file holds the same vocabulary); strings that look like
-special tokens are ordinary text.
+the tokenizers library with byte_bpe_50k.json (the ranks file holds the same vocabulary), added tokens such as
+<|endoftext|> included: a text is cut at them, and each is its one id.
 
 Defined results: a null or empty text is the closing id alone; rows with equal ids are separate documents; sequence numbers are unique and,
 as they follow the input files, equal in every run over the same files.
@@ -16,6 +16,7 @@ as they follow the input files, equal in every run over the same files.
 from __future__ import annotations
 
 import base64
+import json
 import re
 from collections.abc import Iterator
 
@@ -38,8 +39,15 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
+def added_tokens() -> str:
+    """The file that names the tokens added to the vocabulary."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: str | None = None):
         import public_tokenizers
         import tiktoken
 
@@ -47,8 +55,21 @@ class Encoder:
             ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.whole = tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
         self.known: dict[str, list[int]] = {}
+        self.added: dict[str, int] = {}
+        if added:
+            with open(added, encoding="utf-8") as lines:
+                self.added = {t["content"]: int(t["id"]) for t in json.load(lines)["added_tokens"]}
+        self.cut = re.compile("(" + "|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True)) + ")")
 
     def encode(self, text: str) -> list[int]:
+        if not any(t in text for t in self.added):
+            return self.ordinary(text)
+        ids: list[int] = []
+        for part in self.cut.split(text):
+            ids += [self.added[part]] if part in self.added else self.ordinary(part)
+        return ids
+
+    def ordinary(self, text: str) -> list[int]:
         if _INSIDE.search(text):
             return self.whole(text)
         head, *words = text.split(" ")
@@ -65,7 +86,7 @@ class Encoder:
         return ids
 
 
-_encoders: dict[str, Encoder] = {}
+_encoders: dict[tuple[str, str | None], Encoder] = {}
 
 
 def piece_lengths(n: int, length: int = LENGTH) -> list[int]:
@@ -73,14 +94,15 @@ def piece_lengths(n: int, length: int = LENGTH) -> list[int]:
     return [length] * (n // length) + [1 << b for b in range(rest.bit_length() - 1, -1, -1) if rest >> b & 1]
 
 
-def pack(docs: DataFrame, length: int = LENGTH, closing: int = 0, path: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+def pack(docs: DataFrame, length: int = LENGTH, closing: int = 0, path: str | None = None, id_column: str = "doc_id", text_column: str = "text", added: str | None = None) -> DataFrame:
     """Per piece: doc_id, start, length, tokens (little-endian 32-bit ids), doc_tokens, sequence_id, offset, bucket (log2 of the length)."""
     if length < 1 or length & (length - 1):
         raise ValueError("the sequence length must be a power of two")
-    path = path or vocabulary()
+    if path is None:
+        path, added = vocabulary(), added_tokens()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoders.get(path) or _encoders.setdefault(path, Encoder(path))
+        encoder = _encoders.get((path, added)) or _encoders.setdefault((path, added), Encoder(path, added))
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for rows, data, offsets in spans.slices(batch, "text"):

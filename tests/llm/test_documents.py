@@ -25,7 +25,7 @@ def _texts() -> list[tuple]:
     words = ["alpha", "beta", "Gamma", "dé", "e", "f,", "ggg.", "ß", "漢字", "i", "jj", "k"]
     base = [rng.choice(words) + str(rng.randrange(60)) for _ in range(90)]
     rows = [(1, " ".join(base)), (2, " ".join(base)), (3, " ".join(base[:80] + ["x"] * 3)), (7, None), (8, ""), (9, " \n\t "), (10, "one two"), (11, "ONE two")]
-    rows += [(12, "the " * 400), (13, "the " * 300 + "end"), (None, " ".join(base)), (None, None), (2, " ".join(base)), (15, "ab" * 900)]
+    rows += [(12, "the " * 400), (13, "the " * 300 + "end"), (None, " ".join(base)), (None, None), (2, " ".join(base)), (15, "ab" * 900), (16, "one <|endoftext|> two<|endoftext|>")]
     for i in range(20, 60):
         own = [rng.choice(words) + str(rng.randrange(500)) for _ in range(rng.randrange(0, 140))]
         at = rng.randrange(0, 60)
@@ -225,7 +225,6 @@ def test_packing(table, empty):
     import public_tokenizers
 
     plain = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
     pieces = packing.pack(table).collect()
     assert len({r.sequence_id for r in pieces}) == len(pieces)
     assert all(r.offset == 0 and r.length & (r.length - 1) == 0 and r.length <= 1024 and r.bucket == r.length.bit_length() - 1 for r in pieces)
@@ -246,8 +245,7 @@ def test_encoder_at_odd_white_space():
     import public_tokenizers
 
     plain = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    plain.encode_special_tokens = True
-    encoder, rng = packing.Encoder(packing.vocabulary()), random.Random(2)
+    encoder, rng = packing.Encoder(packing.vocabulary(), packing.added_tokens()), random.Random(2)
     for _ in range(1500):
         text = "".join(rng.choice([" ", " ", "\n", "\t", " ", "　", "a", "it's", "9", "!", "é", "漢", "<|endoftext|>"]) for _ in range(rng.randrange(0, 14)))
         assert encoder.encode(text) == plain.encode(text, add_special_tokens=False).ids, repr(text)
