@@ -132,3 +132,20 @@ def test_pipeline(spark):
             assert docs.count() <= before
             before = docs.count()
     assert corpus_pipeline.run(spark, folder).agg({"length": "sum"}).first()[0] > 0
+
+
+def test_mixing_stage_takes_rows_by_themselves(spark):
+    """Null and equal ids: sources still come near their targets, equal rows are taken as the mix says."""
+    rows = [(None if i % 3 else i // 2, f"word {i} " * (1 + i % 7), "en", f"s{i % 4}" if i % 5 else None, i) for i in range(400)]
+    rows += [rows[7]] * 6
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.mixture(spark, corpus_pipeline.scratch.written(docs, "test"), "")
+    assert out.columns == docs.columns
+    assert {tuple(r) for r in out.collect()} <= set(rows)
+    words = corpus_pipeline.mixing.word_count(out["text"])
+    taken = {r[0]: r[1] for r in out.groupBy("source").agg({"n_chars": "count"}).collect()}
+    sums = {r.source: r.w for r in out.select("source", words.alias("w")).groupBy("source").agg({"w": "sum"}).toDF("source", "w").collect()}
+    sizes = docs.select("source", corpus_pipeline.mixing.word_count(docs["text"]).alias("size"))
+    for r in corpus_pipeline.mixing.targets(sizes).collect():
+        assert abs(sums[r.source] - r.target) <= 16, (r.source, sums[r.source], r.target, taken[r.source])
+    assert corpus_pipeline.mixture(spark, docs.limit(0), "").count() == 0
