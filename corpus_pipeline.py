@@ -39,11 +39,18 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the mix takes it; those that it leaves out go."""
+    """Every document as often as the mix takes it; those that it leaves out go.
+
+    Rows are told apart by their contents, so equal or null ids share no count. What the mix takes of equal rows is added up.
+    """
     workers.importable(spark)
-    copies = mixing.mix(docs).where("copies > 0").select("doc_id", "copies").groupBy("doc_id").agg(F.max("copies").alias("copies"))
-    repeated = docs.join(copies.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(docs.columns)
+    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns))
+    taken = mixing.mix(keyed, id_column="_key").groupBy(F.col("doc_id").alias("_key")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
+    taken = scratch.written(taken, "taken")
+    if (taken.agg(F.max("_rows")).first()[0] or 0) > 1:
+        keyed = keyed.dropDuplicates(docs.columns)
+    repeated = keyed.join(taken.where("_copies > 0"), "_key")
+    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
