@@ -153,3 +153,46 @@ def test_model_panels(trained):
     assert {name: df.count() for name, df in panels.items()} == dashboard.MODEL_MINIMUM
     for row in panels["roc_curves"].collect():
         assert 1 < len(row.points) <= dashboard.CURVE_STEPS + 1 and row.points == sorted(row.points)
+
+
+def test_stored_scores_give_the_same_in_duckdb(trained, folder):
+    """Metrics, gate, curves and histogram, by plain SQL over the stored scores."""
+    import duckdb
+
+    trained.scores.write.parquet(f"{folder}/scores")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW scores AS FROM '{folder}/scores/*.parquet'")
+    con.execute("CREATE VIEW held AS SELECT * FROM scores WHERE is_test")
+    rows = con.execute("""
+        WITH pairs AS (
+            SELECT p.model, avg(CASE WHEN p.score > q.score THEN 1.0 WHEN p.score = q.score THEN 0.5 ELSE 0 END) AS auc
+            FROM held p JOIN held q ON p.model = q.model AND p.label = 1 AND q.label = 0 GROUP BY 1),
+        cells AS (
+            SELECT model, count(*) FILTER (score > 0.5 AND label = 1) AS tp, count(*) FILTER (score > 0.5 AND label = 0) AS fp,
+                   count(*) FILTER (score <= 0.5 AND label = 1) AS fn, count(*) AS n, count(*) FILTER ((score > 0.5) = (label = 1)) AS good
+            FROM held GROUP BY 1),
+        hits AS (
+            SELECT model, score, label, sum(label) OVER w AS tp, count(*) OVER w AS seen FROM held
+            WINDOW w AS (PARTITION BY model ORDER BY score DESC)),
+        precision_sums AS (SELECT model, sum(tp / seen) FILTER (label = 1) / sum(label) AS auc_pr FROM hits GROUP BY 1)
+        SELECT model, auc, auc_pr, 2 * tp / (2 * tp + fp + fn), CASE WHEN tp + fp > 0 THEN tp / (tp + fp) ELSE 0 END, tp / (tp + fn), good / n,
+               auc >= 0.6 AND auc = max(auc) OVER () AS champion
+        FROM pairs JOIN cells USING (model) JOIN precision_sums USING (model)""").fetchall()
+    names = ("auc_roc", "auc_pr", "f1", "precision", "recall", "accuracy")
+    table = {r.model: r for r in modeling.choose_champion(trained.metrics, 0.6).collect()}
+    assert len(rows) == len(table) == 3
+    for model, *values, champion in rows:
+        assert [float(v) for v in values] == pytest.approx([table[model][c] for c in names], abs=2e-6), model
+        assert table[model].is_champion == champion
+
+    curve = con.execute("""
+        SELECT model, score, count(*) FILTER (label = 0) OVER w / count(*) FILTER (label = 0) OVER m, sum(label) OVER w / sum(label) OVER m
+        FROM held WINDOW w AS (PARTITION BY model ORDER BY score DESC), m AS (PARTITION BY model)""").fetchall()
+    got = {(r.model, r.threshold): (r.fpr, r.tpr) for r in metrics.roc_curve(trained.held_out(), group=("model",)).collect()}
+    assert got.keys() == {(m, s) for m, s, *_ in curve}
+    assert all(got[m, s] == pytest.approx((float(f), float(t))) for m, s, f, t in curve)
+
+    for name in modeling.MODELS:
+        counts = dict(con.execute(f"SELECT least(floor(score * 20), 19)::INT, count(*) FROM scores WHERE model = '{name}' GROUP BY 1").fetchall())
+        own = {r.bin: r["count"] for r in metrics.score_histogram(trained.scores.where(F.col("model") == name)).collect()}
+        assert own == {i: counts.get(i, 0) for i in range(20)}
