@@ -22,6 +22,7 @@ from shopsight.functions.labels import risk_tier
 from shopsight.functions.numbers import hash_bucket
 from shopsight.operators.metrics import binary_metrics
 from shopsight.operators.quality import require_columns
+from shopsight.sources import versions
 from shopsight.sources.tables import materialise
 
 # Model names of the panels.
@@ -247,13 +248,23 @@ def choose_champion(metrics: DataFrame, min_auc: float = ModelConfig.min_auc) ->
 
 
 def save_champion(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+    """A new version of the champion; scoring goes on with the former one until it is whole."""
+    spark, folder = SparkSession.getActiveSession(), versions.new_version(path)
+    model.write().save(folder)
+    versions.commit(spark, path, folder)
+
+
+def load_champion(spark: SparkSession, path: str) -> PipelineModel:
+    folder = versions.current(spark, path)
+    if folder is None:
+        raise FileNotFoundError(f"no champion at {path}")
+    return PipelineModel.load(folder)
 
 
 def score_users(features: DataFrame, champion_path: str) -> DataFrame:
     """Churn score and risk of every user with the stored champion."""
     require_columns(features, CHURN_FEATURES)
-    scored = PipelineModel.load(champion_path).transform(features)
+    scored = load_champion(features.sparkSession, champion_path).transform(features)
     return scored.select("user_id", churn_probability().alias("churn_score")).withColumn(
         "churn_risk", risk_tier(F.col("churn_score"))
     )

@@ -10,7 +10,7 @@ from shopsight.operators import metrics, modeling
 from shopsight.operators.panels import behaviour, overview, products
 from shopsight.operators.panels.common import build_cube
 from shopsight.plans.training import Trained
-from shopsight.sources.tables import materialise, write_table
+from shopsight.sources.tables import materialise, temporary, write_table
 
 
 def build_panels(events: DataFrame, level: str = "root") -> dict[str, DataFrame]:
@@ -64,5 +64,6 @@ MODEL_MINIMUM = {"roc_curves": 3, "model_metrics": 3, "feature_importance": 10,
 
 
 def write_panels(events: DataFrame, folder: str, level: str = "root") -> None:
-    for name, panel in build_panels(events, level).items():
-        write_table(panel, f"{folder}/{name}")
+    with temporary(events.sparkSession):
+        for name, panel in build_panels(events, level).items():
+            write_table(panel, f"{folder}/{name}")

@@ -31,10 +31,12 @@ def ingest(
     """
     raw = read_checked_csv(spark, source).withColumn("_source", F.col("_metadata.file_path"))
     seen = Observation("landed")
-    landed = tables.materialise(raw.observe(seen, *[c.alias(n) for n, c in quality.row_counters().items()]), "landed")
-    metrics = tables.materialise(quality.observed_metrics(landed, seen.get), "dq")
-    events = bronze.dedup_events(bronze.clean_events(landed, month))
-    bronze.write_bronze(bronze.with_ingestion_columns(events, run_date, source), target)
+    with tables.temporary(spark):
+        landed = tables.materialise(raw.observe(seen, *[c.alias(n) for n, c in quality.row_counters().items()]), "landed")
+        found = quality.observed_metrics(landed, seen.get)
+        metrics = spark.createDataFrame(found.collect(), found.schema)  # one row
+        events = bronze.dedup_events(bronze.clean_events(landed, month))
+        bronze.write_bronze(bronze.with_ingestion_columns(events, run_date, source), target)
     written = spark.read.parquet(target).filter(F.col(bronze.BATCH) == bronze.batch_name(source, run_date))
     if month is not None:
         written = written.filter(F.col("event_month") == month)

@@ -95,6 +95,11 @@ def _sizes(changed: DataFrame, others: DataFrame | None, limit: int) -> DataFram
 
 def refresh_silver(spark: SparkSession, bronze_path: str, path: str, config: SilverConfig = SilverConfig()) -> list[str]:
     """Bring silver to what a rebuild from all of bronze would give; returns the days that were written or removed."""
+    with tables.temporary(spark):
+        return _refresh(spark, bronze_path, path, config)
+
+
+def _refresh(spark: SparkSession, bronze_path: str, path: str, config: SilverConfig) -> list[str]:
     ledger = f"{path.rstrip('/')}_ledger"
     now = _days_of(spark, bronze_path)
     version = versions.current(spark, ledger)

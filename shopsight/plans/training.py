@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -14,7 +14,7 @@ from shopsight.operators import metrics as measures
 from shopsight.operators import modeling, trees
 from shopsight.operators.metrics import binary_metrics
 from shopsight.operators.upsell import as_demand, upsell_top_k
-from shopsight.sources import tables, versions
+from shopsight.sources import lookup, tables
 
 
 @dataclass
@@ -107,10 +107,23 @@ def importance_differences(trained: Trained) -> DataFrame:
     return found
 
 
+CHURN, UPSELL = "churn_scores", "upsell_scores"
+
+
 def score_and_publish(
     features: DataFrame, champion_path: str, events: DataFrame, rfm: DataFrame, folder: str,
-    config: UpsellConfig = UpsellConfig(),
+    config: UpsellConfig = UpsellConfig(), buckets: int = 64,
 ) -> None:
-    """Daily scoring: churn scores of all users and their recommendations."""
-    versions.publish_scores(modeling.score_users(features, champion_path), f"{folder}/churn_scores")
-    versions.publish_scores(upsell_top_k(as_demand(events), rfm, config), f"{folder}/upsell_scores")
+    """Daily scoring with the stored champion: churn scores of all users and their recommendations, as look-up tables."""
+    for name, scores in ((CHURN, modeling.score_users(features, champion_path)), (UPSELL, upsell_top_k(as_demand(events), rfm, config))):
+        lookup.publish_lookup(scores.withColumn("scored_at", F.current_timestamp()), f"{folder}/{name}", "user_id", buckets)
+
+
+def answer(spark: SparkSession, folder: str, user_id: int) -> DataFrame:
+    """What is published about one user: a row with churn score, risk and recommendations, best first; found flags as nulls say."""
+    churn = lookup.lookup(spark, f"{folder}/{CHURN}", user_id)
+    best = F.sort_array(F.collect_list(F.struct("rank", "category")))
+    offers = lookup.lookup(spark, f"{folder}/{UPSELL}", user_id).agg(F.transform(best, lambda x: x["category"]).alias("recommendations"))
+    asked = spark.range(1).select(F.lit(user_id).cast("long").alias("user_id"))
+    known = asked.join(churn.select("user_id", "churn_score", "churn_risk"), "user_id", "left")
+    return known.select("*", offers.scalar().alias("recommendations"))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +42,20 @@ def release(spark: SparkSession) -> None:
         fs.delete(hadoop_path, True)
 
 
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[None]:
+    """Scratch copies made inside are deleted at the end: for jobs whose results are stored elsewhere by then."""
+    app = spark.sparkContext.applicationId
+    before = set(_written.setdefault(app, []))
+    try:
+        yield
+    finally:
+        for path in [p for p in _written.get(app, []) if p not in before]:
+            fs, hadoop_path = _file_system(spark, path)
+            fs.delete(hadoop_path, True)
+            _written[app].remove(path)
+
+
 def _file_system(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path

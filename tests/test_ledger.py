@@ -130,3 +130,18 @@ def test_a_failed_publish_leaves_the_old_version(spark, folder):
     fs, root = tables._file_system(spark, path)
     kept = [s.getPath().getName() for s in fs.listStatus(root) if s.getPath().getName().startswith("v-")]
     assert len(kept) == 3 and versions.read(spark, path).count() == 7  # two versions and what the failed run left
+
+
+def test_jobs_leave_no_scratch_copies(spark, folder):
+    from shopsight.plans import ingest
+    from test_tables import landing
+
+    def kept():
+        return [p for p in tables._written.get(spark.sparkContext.applicationId, []) if tables.path_exists(spark, p)]
+
+    source = landing(spark, folder)
+    before = kept()
+    report = ingest.ingest(spark, source, f"{folder}/bronze", "2024-01-31")
+    ledger.refresh_silver(spark, f"{folder}/bronze", f"{folder}/silver", CONFIG)
+    assert kept() == before
+    assert report.metrics.first().total_rows == 1020 and spark.read.parquet(f"{folder}/silver").count() > 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from shopsight.config import CHURN_FEATURES, ModelConfig
 from shopsight.operators import metrics, modeling, trees
 from shopsight.plans import training
+from shopsight.sources import versions
 
 CONFIG = ModelConfig(rf_trees=10, rf_depth=3, gbt_iterations=5, gbt_depth=2, folds=3)
 
@@ -63,6 +64,36 @@ def test_gate_can_refuse_all(trained, folder, spark):
     assert not path_exists(spark, f"{folder}/none")
 
 
+def test_a_refused_model_leaves_the_champion(spark, users, trained, folder):
+    training.promote(trained, f"{folder}/champion", CONFIG)
+    first = versions.current(spark, f"{folder}/champion")
+    training.promote(trained, f"{folder}/champion", ModelConfig(min_auc=1.01))
+    assert versions.current(spark, f"{folder}/champion") == first
+    training.promote(trained, f"{folder}/champion", CONFIG)
+    assert versions.current(spark, f"{folder}/champion") != first
+    with pytest.raises(FileNotFoundError):
+        modeling.score_users(users, f"{folder}/nobody")
+
+
+def test_published_scores_answer_for_one_user(spark, trained, folder):
+    from conftest import SMALL
+
+    from shopsight.functions.events import with_category
+    from shopsight.plans import catalog
+
+    features = catalog._churn_features(spark, SMALL)
+    training.promote(trained, f"{folder}/champion", CONFIG)
+    events, segments = with_category(catalog._events(spark, SMALL), "full"), catalog._event_rfm(spark, SMALL)
+    training.score_and_publish(features, f"{folder}/champion", events, segments, f"{folder}/scores", catalog.UPSELL, buckets=4)
+    scores = {r.user_id: r.churn_score for r in modeling.score_users(features, f"{folder}/champion").collect()}
+    user = min(scores)
+    row = training.answer(spark, f"{folder}/scores", user).first()
+    want = catalog._recommend(spark, SMALL, catalog.upsell.upsell_top_k).where(F.col("user_id") == user).orderBy("rank").collect()
+    assert row.churn_score == pytest.approx(scores[user]) and row.recommendations == [r.category for r in want] != []
+    nobody = training.answer(spark, f"{folder}/scores", -5).first()
+    assert nobody.churn_score is None and nobody.recommendations == []
+
+
 def test_scoring_needs_its_features(spark, users):
     with pytest.raises(ValueError, match="n_carts"):
         modeling.score_users(users.drop("n_carts"), "/nowhere")
