@@ -13,7 +13,7 @@ SESSION_KEYS = ("user_id", "event_time", "user_session")
 
 
 def row_counters() -> dict[str, Column]:
-    """Counters of each rule that a row decides by itself; they can be observed while the rows are written."""
+    """Counters of each rule that a row decides by itself."""
     price = F.col("price").try_cast("double")
     known = F.coalesce(F.lower(F.trim("event_type")).isin(*EVENT_TYPES), F.lit(False))
     user = F.col("user_id").try_cast("long")
@@ -33,13 +33,6 @@ def _counted(raw: DataFrame, session_keys: tuple[str, ...], event_keys: tuple[st
     return raw.groupBy(*dict.fromkeys(event_keys + session_keys)).agg(*[c.alias(name) for name, c in row_counters().items()])
 
 
-def observed_metrics(landed: DataFrame, observed: dict[str, int]) -> DataFrame:
-    """The same row as dq_metrics: counters observed while `landed` was written, distinct keys from its key columns."""
-    by_session = landed.groupBy(*DEDUP_KEYS).agg(F.count(F.lit(1)).alias("_n")).groupBy(*SESSION_KEYS).agg(F.count("*").alias("event_keys"))
-    totals = by_session.agg(F.count("*").alias("session_keys"), F.coalesce(F.sum("event_keys"), F.lit(0)).alias("event_keys"))
-    return _report(totals.select("*", *[F.lit(int(observed[name])).cast("long").alias(name) for name in row_counters()]))
-
-
 def dq_metrics(raw: DataFrame) -> DataFrame:
     """One row of counters from one scan.
 
@@ -57,10 +50,6 @@ def dq_metrics(raw: DataFrame) -> DataFrame:
         F.coalesce(F.sum("event_keys"), F.lit(0)).alias("event_keys"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counters],
     )
-    return _report(totals)
-
-
-def _report(totals: DataFrame) -> DataFrame:
     return totals.select(
         F.col("n").alias("total_rows"),
         "null_user_id",
