@@ -6,8 +6,11 @@ Contexts of equal anchors meet in one shard; its distinct contexts form a text t
 sorting (`suffix`). Neighbours in that order whose permuted common prefix has 50 bytes are one string; the smallest id that
 holds it decides which of a chunk's windows are later copies.
 
-An anchor that 64 chunks or more hold is hot: its windows travel one by one, dealt out by a hash of their own 50 bytes, so that
+An anchor with many different contexts is hot: its windows travel one by one, dealt out by a hash of their own 50 bytes, so that
 different text around a common phrase doesn't meet in one shard. Equal windows have the same anchor, hence the same rule and shard.
+To tell, each chunk adds to an anchor one byte of the hash of its least context and the number of its further contexts: different
+bytes plus further contexts bound the different contexts from above, but for equal bytes. Text that thousands of documents hold
+alike, with equal contexts throughout, stays in whole contexts. The rule chooses a route only, the result is the same.
 
 Strings are compared as bytes, never by hash; hashes only choose shards and candidates. Inside a shard equal contexts are
 one text with the smallest id, so a passage that a third of all documents hold is sorted once.
@@ -32,7 +35,7 @@ from .suffix import permuted_prefixes, suffix_array
 
 LENGTH = 50
 ANCHOR = 24
-HOT = 64  # chunks of about a megabyte, or of one longer text: that much bounds the contexts of an anchor that is not hot
+HOT = 64  # bounds the different contexts of an anchor that is not hot
 
 
 def _runs(counts: np.ndarray) -> np.ndarray:
@@ -69,6 +72,20 @@ class _Contexts:
     def anchors(self) -> Question:
         return Question(self.keys, self.chunk.ids[self.texts], self.buckets)
 
+    def anchor_rows(self) -> pa.RecordBatch:
+        """The anchors asked, each with a byte of its least context's hash and the number of its other contexts, 255 at most."""
+        asked = self.anchors()
+        whole = self.whole()
+        order = np.lexsort((whole, asked.of_window))
+        owner, ranked = asked.of_window[order], whole[order]
+        heads = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]])) if len(owner) else np.zeros(0, np.int64)
+        new = np.concatenate([[False], (ranked[1:] != ranked[:-1]) & (owner[1:] == owner[:-1])])[: len(owner)]
+        others = np.minimum(np.add.reduceat(new.astype(np.int64), heads), 255).astype(np.uint8) if len(heads) else np.zeros(0, np.uint8)
+        marks = (ranked[heads] & np.uint64(255)).astype(np.uint8)
+        lows = [marks[a:b].tobytes() + others[a:b].tobytes() for _, a, b in asked.parts()]
+        rows = asked.rows(self.chunk.number, False)
+        return rows.set_column(rows.schema.get_field_index("lows"), "lows", pa.array(lows, pa.binary()))
+
     def candidates(self) -> _Contexts:
         asked = self.anchors()
         answers = self.chunk.answers(1)
@@ -81,9 +98,13 @@ class _Contexts:
         self.keys, self.texts = np.repeat(self.keys[go], n), np.repeat(self.texts[go], n)
         return self
 
-    def contexts(self) -> Question:
+    def whole(self) -> np.ndarray:
+        """A hash of each context."""
         stops = self.first + self.count - 1 + self.length
-        whole = spans.span_hash(self.sums, self.first, stops) ^ (self.keys * np.uint64(0x9E3779B97F4A7C15))
+        return spans.span_hash(self.sums, self.first, stops) ^ (self.keys * np.uint64(0x9E3779B97F4A7C15))
+
+    def contexts(self) -> Question:
+        whole = self.whole()
         return Question(whole, self.chunk.ids[self.texts], self.buckets, np.where(self.hot, whole, self.keys))
 
     def context_rows(self) -> pa.RecordBatch:
@@ -168,12 +189,14 @@ def remove_copied_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANC
     """Per document: n_bytes, n_removed, n_spans, kept (remaining bytes), and `row`, its other columns."""
     if not 0 < anchor <= length or length - anchor >= 32:
         raise ValueError("a context holds at most 32 windows: length - anchor must be 0 to 31")
+    if not 0 < hot <= 128:
+        raise ValueError("hot must be 1 to 128: contexts are told apart by one byte")
     buckets = bucket_count(docs.sparkSession)
     packed = chunked(docs, id_column, text_column)
 
     def ask_anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks_of(batches):
-            yield _Contexts(chunk, length, anchor, buckets).anchors().rows(chunk.number, False)
+            yield _Contexts(chunk, length, anchor, buckets).anchor_rows()
 
     def ask_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in chunks_of(batches):
