@@ -178,7 +178,7 @@ def shared_keys(table: pa.Table) -> pa.Table:
 
 def shared_and_hot_keys(hot: int, table: pa.Table) -> pa.Table:
     """Answer as shared_keys does, and behind it in as many bytes whether the key is hot: `lows` holds a mark of one byte and a number
-    for each key, and different marks plus the sum of the numbers are `hot` or more."""
+    for each key, and different marks (128 or more: chunks that ask) plus the sum of the numbers are `hot` or more."""
     chunks, buckets, raw, many = _asked(table)
     shared = shared_keys(table).column("mask").to_pylist()
     sizes = [len(x) // 6 for x in raw]
@@ -189,7 +189,8 @@ def shared_and_hot_keys(hot: int, table: pa.Table) -> pa.Table:
     numbers = np.frombuffer(b"".join(x[n:] for x, n in zip(lows, sizes)), np.uint8)
     distinct, which = np.unique(wide.view(np.uint64).ravel(), return_inverse=True)
     pairs = np.unique(which.astype(np.int64) * 256 + marks)
-    different = np.bincount(pairs >> 8, minlength=len(distinct)) + np.bincount(which, numbers, minlength=len(distinct))
+    told = np.bincount(pairs >> 8, minlength=len(distinct))
+    different = np.where(told < 128, told, np.bincount(which, minlength=len(distinct))) + np.bincount(which, numbers, minlength=len(distinct))
     hots = _answered(chunks, buckets, sizes, (different >= hot)[which]).column("mask").to_pylist()
     return pa.table({"chunk": pa.array(chunks, pa.int64()), "bucket": pa.array(buckets, pa.int32()), "mask": pa.array([a + b for a, b in zip(shared, hots)], pa.binary())})
 

@@ -9,7 +9,7 @@ holds it decides which of a chunk's windows are later copies.
 An anchor with many different contexts is hot: its windows travel one by one, dealt out by a hash of their own 50 bytes, so that
 different text around a common phrase doesn't meet in one shard. Equal windows have the same anchor, hence the same rule and shard.
 To tell, each chunk adds to an anchor one byte of the hash of its least context and the number of its further contexts: different
-bytes plus further contexts bound the different contexts from above, but for equal bytes. Text that thousands of documents hold
+bytes (from 128 on: chunks) plus further contexts stand for the different contexts. Text that thousands of documents hold
 alike, with equal contexts throughout, stays in whole contexts. The rule chooses a route only, the result is the same.
 
 Strings are compared as bytes, never by hash; hashes only choose shards and candidates. Inside a shard equal contexts are
@@ -35,7 +35,7 @@ from .suffix import permuted_prefixes, suffix_array
 
 LENGTH = 50
 ANCHOR = 24
-HOT = 64  # bounds the different contexts of an anchor that is not hot
+HOT = 512  # an anchor that is not hot has about as many different contexts at most, 39 kB of text
 
 
 def _runs(counts: np.ndarray) -> np.ndarray:
@@ -189,8 +189,6 @@ def remove_copied_bytes(docs: DataFrame, length: int = LENGTH, anchor: int = ANC
     """Per document: n_bytes, n_removed, n_spans, kept (remaining bytes), and `row`, its other columns."""
     if not 0 < anchor <= length or length - anchor >= 32:
         raise ValueError("a context holds at most 32 windows: length - anchor must be 0 to 31")
-    if not 0 < hot <= 128:
-        raise ValueError("hot must be 1 to 128: contexts are told apart by one byte")
     buckets = bucket_count(docs.sparkSession)
     packed = chunked(docs, id_column, text_column)
 
