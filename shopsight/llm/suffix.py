@@ -23,23 +23,30 @@ def _smaller_than_next(t: np.ndarray) -> np.ndarray:
 def _ranks(typed: np.ndarray, bits: int, starts: np.ndarray, lengths: np.ndarray, tail: np.ndarray | None = None) -> np.ndarray:
     """Rank (number of smaller ones) of the sequences typed[start : start + length], ties broken by `tail`."""
     per = 63 // bits
+    n = len(typed)
     padded = np.concatenate([typed, np.zeros(per, typed.dtype)]).astype(np.uint64)
+    packed = np.zeros(n + 1, np.uint64)  # the next `per` characters at every place
+    for q in range(per):
+        packed[:n] = (packed[:n] << np.uint64(bits)) | padded[q : q + n]
+    kept = np.array([((1 << bits * k) - 1) << bits * (per - k) for k in range(per + 1)], np.uint64)
 
     def column(rows: np.ndarray, j: int) -> np.ndarray:
-        key = np.zeros(len(rows), np.uint64)
-        for q in range(j * per, (j + 1) * per):
-            at = starts[rows] + q
-            key = (key << np.uint64(bits)) | np.where(q < lengths[rows], padded[np.minimum(at, len(typed))], np.uint64(0))
-        return key
+        at = np.minimum(starts[rows] + j * per, n)
+        return packed[at] & kept[np.clip(lengths[rows] - j * per, 0, per)]
 
     rank = np.zeros(len(starts), np.int64)
     rows, j = np.arange(len(starts)), 0
 
     def split(rows: np.ndarray, key: np.ndarray) -> np.ndarray:
         """Refine the ranks of tied rows by a key; the rows that are still tied."""
-        order = np.lexsort((key, rank[rows]))
-        rows, key = rows[order], key[order]
+        order = np.argsort(key)
         old = rank[rows]
+        if len(rows) and old.min() != old.max():  # ranks and numbered keys in one number
+            numbered = np.empty(len(rows), np.int64)
+            ranked = key[order]
+            numbered[order] = np.cumsum(np.concatenate([[False], ranked[1:] != ranked[:-1]]))
+            order = np.argsort(old * len(rows) + numbered)
+        rows, key, old = rows[order], key[order], old[order]
         new_old = np.concatenate([[True], old[1:] != old[:-1]])
         new = new_old | np.concatenate([[True], key[1:] != key[:-1]])
         index = np.arange(len(rows))
@@ -63,6 +70,13 @@ def _ranks(typed: np.ndarray, bits: int, starts: np.ndarray, lengths: np.ndarray
     return rank
 
 
+def _inverse(rank: np.ndarray) -> np.ndarray:
+    """The entries in the order of their ranks, which are all different."""
+    order = np.empty(len(rank), np.int64)
+    order[rank] = np.arange(len(rank))
+    return order
+
+
 def _induced_bytes(t: np.ndarray, small: np.ndarray, lms: np.ndarray) -> np.ndarray:
     """Suffix array of bytes, given their sorted leftmost-smaller suffixes."""
     heads = t[lms]
@@ -122,8 +136,9 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     typed = 2 * t.astype(np.int64) + small + 1
     if len(lms):
         rank = _ranks(typed, bits, lms, np.concatenate([lms[1:], [n - 1]]) - lms + 1)
-        names = np.unique(rank, return_inverse=True)[1]
-        order = np.argsort(rank) if names.max() + 1 == len(lms) else suffix_array(names.astype(np.int64))
+        present = np.zeros(len(lms), bool)
+        present[rank] = True
+        order = _inverse(rank) if present.all() else suffix_array(np.cumsum(present)[rank] - 1)
         lms_sorted = lms[order]
     else:
         lms_sorted = lms
@@ -134,11 +149,13 @@ def suffix_array(t: np.ndarray) -> np.ndarray:
     following = np.searchsorted(lms, np.arange(n), side="right")
     until = np.concatenate([lms, [n - 1]])[following]
     tail = np.where(following < len(lms), of_lms[until], -1)
-    return np.argsort(_ranks(typed, bits, np.arange(n), until - np.arange(n) + 1, tail))
+    return _inverse(_ranks(typed, bits, np.arange(n), until - np.arange(n) + 1, tail))
 
 
 def permuted_prefixes(t: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
-    """For every position in text order: bytes (up to `most`, or a few more) shared with the suffix before it in order."""
+    """For every position in text order: bytes (up to `most`, or a few more) shared with the suffix before it in order.
+
+    `sa` may hold some of the suffixes only; the others get 0."""
     n = len(t)
     before = np.full(n, -1, np.int64)
     before[sa[1:]] = sa[:-1]

@@ -160,13 +160,11 @@ def _sorted_shard(length: int, table: pa.Table) -> pa.Table:
     edges = edges - edges[0]
 
     order = suffix_array(text)
-    shared = permuted_prefixes(text, order, length)
-    group = np.cumsum(shared[order] < length)
     owner = np.full(len(text), -1, np.int64)  # the context whose window starts at a byte
     windows = np.repeat(edges[:-1], count) + _runs(count)
     owner[windows] = np.repeat(np.arange(n), count)
-    valid = owner[order] >= 0
-    starts, group = order[valid], group[valid]
+    starts = order[owner[order] >= 0]
+    group = np.cumsum(permuted_prefixes(text, starts, length)[starts] < length)
     heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
     lowest = np.minimum.reduceat(least[owner[starts]], heads) if len(heads) else least[:0]
     earlier = np.zeros(len(text), bool)
