@@ -9,8 +9,12 @@ Path costs of consecutive turns combine like matrices, so a conversation of any
 block gives its cheapest cost from each state to each, one row per block decides the states between blocks, and each block then
 finds its own path. Rendering is one piece per source turn, which together, in order, make the prompt.
 
+A marker within a text is broken by a blank after its first sign, so that no text can open or close a turn.
+
 Defined results: roles are compared without case and outer blanks; a null or unknown role costs a relabel under any role; null texts are empty; turns are ordered
-by number, then role, then text, null numbers last; a null conversation id is one conversation; all rows with one number stay in one block.
+by number, then role, then text, null numbers last; a null conversation id is one conversation; all rows with one number stay in one block. Pieces are ordered by
+`block` and `place`, equal and null numbers included; repeated rows are turns of their own; an empty table gives an empty result; columns
+other than the four of a conversation are dropped, whatever their names.
 """
 
 from __future__ import annotations
@@ -112,6 +116,13 @@ def path_between_blocks(costs: list[list[int]]) -> list[tuple[int, int]]:
     return found
 
 
+def harmless(text: str) -> str:
+    """The text with its markers broken."""
+    for marker in (OPEN, CLOSE.strip()):
+        text = text.replace(marker, f"{marker[0]} {marker[1:]}")
+    return text
+
+
 def piece(move: tuple[int, int, int, bool, list[int]], state: int, text: str, last: bool) -> str:
     """What one source turn adds to the prompt."""
     _, role, after, merged, inserted = move
@@ -132,7 +143,7 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: tuple[str, ...]) -> Iterato
 
 
 def repair(turns: DataFrame, block: int = BLOCK) -> DataFrame:
-    """Per source turn: conv_id, turn, role (as repaired), merged, n_inserted, piece; pieces in order make the prompt."""
+    """Per source turn: conv_id, turn, role (as repaired), merged, n_inserted, piece, block, place; pieces by block and place make the prompt."""
     typed = turns.select(
         F.col("conv_id").cast("long").alias("conv_id"),
         F.col("turn").cast("long").alias("turn"),
@@ -156,13 +167,13 @@ def repair(turns: DataFrame, block: int = BLOCK) -> DataFrame:
             yield from pa.Table.from_pylist(out, schema=pa.schema([("conv_id", pa.int64()), ("block", pa.int64()), ("begin", pa.int32()), ("end", pa.int32()), ("last", pa.bool_())])).to_batches()
 
     def render(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("merged", pa.bool_()), ("n_inserted", pa.int64()), ("piece", pa.string())])
-        for (conv, _), rows in _groups(batches, ("conv_id", "block")):
+        schema = pa.schema([("conv_id", pa.int64()), ("turn", pa.int64()), ("role", pa.string()), ("merged", pa.bool_()), ("n_inserted", pa.int64()), ("piece", pa.string()), ("block", pa.int64()), ("place", pa.int64())])
+        for (conv, number), rows in _groups(batches, ("conv_id", "block")):
             state, out = rows[0]["begin"], []
             for i, (row, move) in enumerate(zip(rows, best_path([role_number(r["role"]) for r in rows], state, rows[0]["end"]))):
                 last = rows[0]["last"] and i == len(rows) - 1
                 added = len(move[4]) + (len(CLOSING[move[2]]) if last else 0)
-                out.append({"conv_id": conv, "turn": row["turn"], "role": ROLES[move[1]], "merged": move[3], "n_inserted": added, "piece": piece(move, state, row["text"], last)})
+                out.append({"conv_id": conv, "turn": row["turn"], "role": ROLES[move[1]], "merged": move[3], "n_inserted": added, "piece": piece(move, state, harmless(row["text"]), last), "block": number, "place": i})
                 state = move[2]
             yield from pa.Table.from_pylist(out, schema=schema).to_batches()
 
@@ -172,4 +183,4 @@ def repair(turns: DataFrame, block: int = BLOCK) -> DataFrame:
     states = states.select(F.col("conv_id").alias("c"), F.col("block").alias("b"), "begin", "end", "last")
     joined = typed.join(states, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))).select("conv_id", "block", "turn", "role", "text", "begin", "end", "last")
     placed = joined.repartition("conv_id", "block").sortWithinPartitions(*order)
-    return placed.mapInArrow(render, "conv_id long, turn long, role string, merged boolean, n_inserted long, piece string")
+    return placed.mapInArrow(render, "conv_id long, turn long, role string, merged boolean, n_inserted long, piece string, block long, place long")
