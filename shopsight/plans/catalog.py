@@ -312,13 +312,20 @@ def _once(spark, d, what, make):
     return _runs[key]
 
 
+def _split(spark, d):
+    """Split features, stored once for training and validation."""
+    return _once(spark, d, "split", lambda: modeling.prepare(_churn_features(spark, d), MODELS))
+
+
 def _trained(spark, d):
-    return _once(spark, d, "models", lambda: training.train(_churn_features(spark, d), MODELS))
+    data = _split(spark, d)
+    return _once(spark, d, "models", lambda: training.train_on(data, MODELS))
 
 
 def _validated(spark, d):
     """All folds of all three models at full parameters."""
-    return _once(spark, d, "folds", lambda: modeling.cross_validate_all(modeling.MODELS, modeling.prepare(_churn_features(spark, d), MODELS), MODELS))
+    data = _split(spark, d)
+    return _once(spark, d, "folds", lambda: modeling.cross_validate_all(modeling.MODELS, data, MODELS))
 
 
 def churn_lr_optimum(spark, d):
@@ -366,14 +373,18 @@ def model_score_histogram(spark, d):
 
 
 def model_summary(spark, d):
-    return training.model_summary(_trained(spark, d), MODELS, _validated(spark, d))
+    """The folds are fitted beside the models that they validate."""
+    _split(spark, d)
+    made = modeling.at_once(spark, {"models": lambda: _trained(spark, d), "folds": lambda: _validated(spark, d)})
+    return training.model_summary(made["models"], MODELS, made["folds"])
 
 
 def churn_scores(spark, d):
     """All users scored by a stored champion; the gate is open, as the data carry no signal."""
     path, published = tables.scratch_path(spark, "champion"), tables.scratch_path(spark, "churn-scores")
-    training.promote(_trained(spark, d), path, ModelConfig(min_auc=0.0))
-    versions.publish_scores(modeling.score_users(_churn_features(spark, d), path), published)
+    trained = _trained(spark, d)
+    training.promote(trained, path, ModelConfig(min_auc=0.0))
+    versions.publish_scores(modeling.score_users(trained.data.users, path), published)
     return versions.read(spark, published)
 
 

@@ -32,7 +32,11 @@ class Trained:
 
 def train(features: DataFrame, config: ModelConfig = ModelConfig(), names: tuple[str, ...] = modeling.MODELS) -> Trained:
     """All models fitted beside each other, their scores of all users stored, and the metrics of the test rows."""
-    data = modeling.prepare(features, config)
+    return train_on(modeling.prepare(features, config), config, names)
+
+
+def train_on(data: modeling.Training, config: ModelConfig = ModelConfig(), names: tuple[str, ...] = modeling.MODELS) -> Trained:
+    """`train` from rows that are split and stored already."""
     models = modeling.fit_all(names, data, config)
     scores = modeling.score_table(models, data)
     metrics = tables.materialise(binary_metrics(scores.where("is_test"), group=("model",)), "metrics")

@@ -227,3 +227,38 @@ def test_stored_scores_give_the_same_in_duckdb(trained, folder):
         counts = dict(con.execute(f"SELECT least(floor(score * 20), 19)::INT, count(*) FROM scores WHERE model = '{name}' GROUP BY 1").fetchall())
         own = {r.bin: r["count"] for r in metrics.score_histogram(trained.scores.where(F.col("model") == name)).collect()}
         assert own == {i: counts.get(i, 0) for i in range(20)}
+
+
+def test_folds_are_fitted_beside_each_other_and_once(spark, trained, monkeypatch):
+    """Every fit waits until all folds are being fitted; the areas are those of Spark's CrossValidator."""
+    from threading import Barrier
+
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    config, fits = ModelConfig(folds=3), []
+    build, together = modeling.build_pipeline, Barrier(config.folds, timeout=120)
+    folded = trained.data.train.withColumn("fold", modeling.hash_bucket(F.concat_ws("-", "churned", "user_id"), config.seed + 1, config.folds))
+    told = CrossValidator(
+        estimator=build(modeling.LOGISTIC, trained.data.train_rows, config), estimatorParamMaps=ParamGridBuilder().build(),
+        evaluator=BinaryClassificationEvaluator(labelCol="churned"), numFolds=config.folds, foldCol="fold",
+    ).fit(folded)
+
+    class Waiting:
+        def __init__(self, *args):
+            self.learner = build(*args)
+
+        def fit(self, rows):
+            fits.append(rows)
+            together.wait()
+            return self.learner.fit(rows)
+
+    monkeypatch.setattr(modeling, "build_pipeline", Waiting)
+    mean, deviation = modeling.cross_validate(modeling.LOGISTIC, trained.data, config)
+    assert len(fits) == config.folds
+    assert mean == pytest.approx(told.avgMetrics[0], abs=1e-12) and deviation == pytest.approx(told.stdMetrics[0], abs=1e-12)
+
+
+def test_empty_fold_is_an_error(trained):
+    with pytest.raises(ValueError):
+        modeling.cross_validate(modeling.LOGISTIC, trained.data, ModelConfig(folds=5000))
