@@ -53,11 +53,12 @@ def cents_of(condition: Column) -> Column:
 def sliced(facts: DataFrame, keys: list[str], measures: dict[str, Column]) -> DataFrame:
     """Sum measures by (slice, keys), slice being each month and `all`.
 
-    The facts are aggregated by month once; only that small result is repeated for `all`.
+    The facts are aggregated by month once. Those rows are final; only `all` is summed from them, so that no task holds the months of
+    its keys in a second aggregate.
     """
     monthly = facts.groupBy("event_month", *keys).agg(*[m.alias(name) for name, m in measures.items()])
-    repeated = monthly.withColumn("slice", F.explode(F.array(F.lit(ALL), F.col("event_month"))))
-    return repeated.groupBy("slice", *keys).agg(*[F.sum(name).alias(name) for name in measures])
+    whole = monthly.groupBy(F.lit(ALL).alias("slice"), *keys).agg(*[F.sum(name).alias(name) for name in measures])
+    return monthly.withColumnRenamed("event_month", "slice").unionByName(whole)
 
 
 def slices_of(facts: DataFrame) -> DataFrame:
