@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopsight.config import CHURN_FEATURES
@@ -56,17 +56,19 @@ def prepared_rows(model: PipelineModel, rows: DataFrame, key: str = "user_id", c
 def walk(rows: DataFrame, nodes: DataFrame, depth: int, key: str = "user_id", columns: tuple[str, ...] = CHURN_FEATURES) -> DataFrame:
     """(key, tree, weight, prediction, share) of the leaf that every row reaches in every tree.
 
-    A join per level. The node table is stored, so Spark knows its size and sends it to the rows; these are not shuffled.
+    A join per level. The node table is stored, so Spark knows its size and sends it to the rows; these are not shuffled. A row's
+    features travel as one array and a node names a place in it: a comparison with every column, level by level, makes code that
+    the JVM does not compile.
     """
-    value: Column = F.lit(None).cast("double")
-    for c in columns:
-        value = F.when(F.col("feature") == c, F.col(c)).otherwise(value)
-    steps = nodes.select("tree", "node", "feature", "threshold", "left", "right")
+    names = F.array(*[F.lit(c) for c in columns])
+    steps = nodes.select("tree", "node", (F.array_position(names, F.col("feature")) - 1).cast("int").alias("place"), "threshold", "left", "right")
+    value = F.get("_values", F.col("place"))
     further = F.when(F.col("left").isNull(), F.col("node")).when(value <= F.col("threshold"), F.col("left")).otherwise(F.col("right"))
     last = nodes.agg(F.max("tree")).first()[0]
-    at = rows.select("*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("tree"), F.lit(0).alias("node"))
+    held = rows.select(key, F.array(*columns).alias("_values"))
+    at = held.select("*", F.explode(F.sequence(F.lit(0), F.lit(last))).alias("tree"), F.lit(0).alias("node"))
     for _ in range(depth):
-        at = at.join(steps, ["tree", "node"]).select(*rows.columns, "tree", further.alias("node"))
+        at = at.join(steps, ["tree", "node"]).select(key, "_values", "tree", further.alias("node"))
     return at.join(nodes.select("tree", "node", "weight", "prediction", "share"), ["tree", "node"]).select(key, "tree", "weight", "prediction", "share")
 
 

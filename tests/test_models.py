@@ -262,3 +262,12 @@ def test_folds_are_fitted_beside_each_other_and_once(spark, trained, monkeypatch
 def test_empty_fold_is_an_error(trained):
     with pytest.raises(ValueError):
         modeling.cross_validate(modeling.LOGISTIC, trained.data, ModelConfig(folds=5000))
+
+
+def test_walk_takes_a_feature_by_its_place(trained, users):
+    """A level's step reads one entry of an array, whatever the number of features: no comparison per feature and level."""
+    model = trained.models[modeling.FOREST]
+    leaves = trees.walk(trees.prepared_rows(model, users), trees.node_table(model), CONFIG.rf_depth)
+    plan = leaves._jdf.queryExecution().optimizedPlan().toString()
+    assert not any(f"= {name})" in plan for name in CHURN_FEATURES)
+    assert leaves.count() == 400 * CONFIG.rf_trees
