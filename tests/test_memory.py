@@ -1,4 +1,4 @@
-"""What one task holds: panels sum their months once, shuffle partitions are merged to a bounded size only."""
+"""What one task holds: shuffle partitions are merged to a bounded size only, slices of panels are summed from months."""
 
 from collections import Counter
 
@@ -27,10 +27,13 @@ def test_slices_are_the_months_and_their_sum(spark):
     assert sliced(_facts(spark, []), [], {"n": F.sum("n")}).count() == 0
 
 
-def test_months_are_not_repeated_for_a_second_aggregate(spark):
-    plan = sliced(_facts(spark, ROWS), ["brand"], {"n": F.sum("n")})._jdf.queryExecution().optimizedPlan().toString()
-    assert "Generate" not in plan
-
-
 def test_partitions_are_merged_up_to_a_quarter_of_the_default(spark):
-    assert prepare(spark).conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes") == "16m"
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key, None)
+    try:
+        spark.conf.unset(key)
+        assert prepare(spark).conf.get(key) == "16m"
+        spark.conf.set(key, "20KB")  # what a user has set stays
+        assert prepare(spark).conf.get(key) == "20KB"
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
