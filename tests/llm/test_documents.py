@@ -251,6 +251,18 @@ def test_encoder_at_odd_white_space():
         assert encoder.encode(text) == plain.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_encoder_writes_bytes_of_whole_texts():
+    tokenizers = pytest.importorskip("tokenizers")
+    import public_tokenizers
+
+    plain = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encoder, rng = packing.Encoder(packing.vocabulary(), packing.added_tokens()), random.Random(3)
+    words = ["".join(rng.choice("aeinrstéñ漢") for _ in range(rng.randrange(1, 12))) for _ in range(400)]
+    for n in (0, 1, 5, 3000):
+        text = "".join(rng.choice(words) + rng.choice([" ", " ", "  ", ", ", ".\n", " 12 ", "<|endoftext|>"]) for _ in range(n))
+        assert encoder.packed(text) == np.array(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+
 def test_quality_rules(table, empty):
     text = re.compile(r"[^\x20\x09-\x0D]+")
     want: Counter = Counter()
