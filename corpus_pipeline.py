@@ -70,13 +70,17 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of a folder; every stage's result is written and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-        if name != STAGES[-1][0]:
-            docs = scratch.written(docs, name.replace(" ", "-"))
-    return docs
+    """All stages over the documents of a folder; every stage's result is written and read again.
+
+    Once it is, what the stage has read and written on its way is deleted; the last stage's result still reads that of the one before.
+    """
+    docs, old = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
+    for name, stage in STAGES[:-1]:
+        with scratch.listing() as paths:
+            docs = scratch.written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        scratch.remove(spark, old + paths[:-1])
+        old = paths[-1:]
+    return STAGES[-1][1](spark, docs, sf_dir)
 
 
 ORACLE_SQL = None  # perplexity and tokens are beyond SQL; the pipeline as a whole is not compared with a plain version

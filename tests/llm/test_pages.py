@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import itertools
 import random
+from pathlib import Path
 
 import corpus_pipeline
 import pytest
@@ -167,3 +168,14 @@ def test_mixing_stage_takes_rows_by_themselves(spark):
     for r in corpus_pipeline.mixing.targets(sizes).collect():
         assert abs(sums[r.source] - r.target) <= 16, (r.source, sums[r.source], r.target, taken[r.source])
     assert corpus_pipeline.mixture(spark, docs.limit(0), "").count() == 0
+
+
+def test_pipeline_leaves_what_its_last_stage_reads(spark, folder, monkeypatch):
+    texts = [" ".join(f"word{(i * 7 + k) % 211}" for k in range(80)) + "." for i in range(60)]
+    rows = [(i, t, "en", "ab"[i % 2], len(t)) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{folder}/documents.parquet")
+    made = iter(range(10**6))
+    monkeypatch.setattr(corpus_pipeline.scratch, "folder", lambda spark: f"{folder}/scratch/{next(made)}")
+    out = corpus_pipeline.run(spark, folder)
+    assert [p.parent.name for p in Path(folder, "scratch").glob("*/*/_SUCCESS")] == ["mixing"]
+    assert out.agg({"length": "sum"}).first()[0] > 0
