@@ -2,9 +2,9 @@
 
 A first exchange finds candidates: each window of 50 bytes is represented by the smallest of its 24-byte hashes (its
 anchor), and only anchors that several documents hold go on. All windows of one anchor lie in a context of at most 76 bytes.
-Contexts of equal anchors meet in one shard; its distinct contexts form a text that is suffix-sorted by induced
-sorting (`suffix`). Neighbours in that order whose permuted common prefix has 50 bytes are one string; the smallest id that
-holds it decides which of a chunk's windows are later copies.
+Contexts of equal anchors meet in one shard; those of its distinct contexts that hold a window whose hash comes twice there form
+a text that is suffix-sorted by induced sorting (`suffix`). Neighbours in that order whose permuted common prefix has 50 bytes
+are one string; the smallest id that holds it decides which of a chunk's windows are later copies.
 
 An anchor with many different contexts is hot: its windows travel one by one, dealt out by a hash of their own 50 bytes, so that
 different text around a common phrase doesn't meet in one shard. Equal windows have the same anchor, hence the same rule and shard.
@@ -51,8 +51,7 @@ class _Contexts:
         self.chunk, self.length, self.buckets = chunk, length, buckets
         n = len(chunk.data)
         self.sums = spans.prefix_sums(chunk.data)
-        starts = np.arange(max(0, n - anchor + 1))
-        hashes = spans.span_hash(self.sums, starts, starts + anchor)
+        hashes = spans.every_hash(self.sums, anchor)
         at = spans.window_minima(hashes, length - anchor + 1)
         alive = np.zeros(len(at) + 1, bool)
         for_text = np.diff(chunk.offsets) >= length
@@ -137,6 +136,28 @@ class _Contexts:
         return (np.repeat(self.first, self.count) + at)[flags.astype(bool)]
 
 
+def _earlier(text: np.ndarray, edges: np.ndarray, windows: np.ndarray, holder: np.ndarray, asked: np.ndarray, least: np.ndarray, length: int) -> np.ndarray:
+    """For every window asked: whether a context with a smaller id has the same bytes, by suffix sorting the contexts that hold one."""
+    if not len(asked):
+        return np.zeros(0, bool)
+    own = np.unique(holder[asked])
+    sizes = edges[own + 1] - edges[own]
+    moved = np.cumsum(sizes) - sizes
+    text = text[np.repeat(edges[own], sizes) + _runs(sizes)]
+    begins = windows[asked] - edges[holder[asked]] + moved[np.searchsorted(own, holder[asked])]
+    lows = np.full(len(text), LAST_ID)
+    lows[begins] = least[holder[asked]]
+    wanted = np.zeros(len(text), bool)
+    wanted[begins] = True
+    order = suffix_array(text)
+    starts = order[wanted[order]]
+    heads = np.flatnonzero(permuted_prefixes(text, starts, length)[starts] < length)
+    lowest = np.minimum.reduceat(lows[starts], heads)
+    earlier = np.zeros(len(text), bool)
+    earlier[starts] = np.repeat(lowest, np.diff(np.concatenate([heads, [len(starts)]]))) < lows[starts]
+    return earlier[begins]
+
+
 def _sorted_shard(length: int, table: pa.Table) -> pa.Table:
     """Answer to each context asked, one bit per window: an id smaller than the asking chunk's has the same string."""
     lows = [np.frombuffer(x, np.int64) for x in table.column("lows").to_pylist()]
@@ -159,19 +180,15 @@ def _sorted_shard(length: int, table: pa.Table) -> pa.Table:
     text = np.frombuffer(data, np.uint8)[edges[0] : edges[-1]]
     edges = edges - edges[0]
 
-    order = suffix_array(text)
-    owner = np.full(len(text), -1, np.int64)  # the context whose window starts at a byte
-    windows = np.repeat(edges[:-1], count) + _runs(count)
-    owner[windows] = np.repeat(np.arange(n), count)
-    starts = order[owner[order] >= 0]
-    group = np.cumsum(permuted_prefixes(text, starts, length)[starts] < length)
-    heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]])) if len(group) else np.zeros(0, np.int64)
-    lowest = np.minimum.reduceat(least[owner[starts]], heads) if len(heads) else least[:0]
-    earlier = np.zeros(len(text), bool)
-    earlier[starts] = np.repeat(lowest, np.diff(np.concatenate([heads, [len(group)]]))) < least[owner[starts]]
     at = _runs(count)
+    windows = np.repeat(edges[:-1], count) + at
+    holder = np.repeat(np.arange(n), count)
+    hashes = spans.span_hash(spans.prefix_sums(text), windows, windows + length)
+    twice = spans.repeated(hashes)  # equal strings have equal hashes, so the others need no sorting
+    earlier = np.zeros(len(windows), bool)
+    earlier[twice] = _earlier(text, edges, windows, holder, twice, least, length)
     masks = np.zeros(n, np.uint32)
-    np.bitwise_or.at(masks, np.repeat(np.arange(n), count), earlier[windows].astype(np.uint32) << at.astype(np.uint32))
+    np.bitwise_or.at(masks, holder[earlier], np.uint32(1) << at[earlier].astype(np.uint32))
     answer = np.where(low > least[which], np.uint32(0xFFFFFFFF), masks[which])
     cuts = np.concatenate([[0], np.cumsum(sizes)])
     return pa.table(

@@ -10,6 +10,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -128,6 +129,38 @@ def test_suffix_dedup_spreads_a_hot_phrase(spark, monkeypatch):
     assert sum(sizes) > 600 * 50 and max(sizes) < sum(sizes) / 4
 
 
+def test_suffix_dedup_sorts_only_what_comes_twice(monkeypatch):
+    """A shard's contexts whose windows are all different are not sorted, and the answers follow from the bytes."""
+    rng = random.Random(9)
+    alone = [bytes(rng.choices(b"abcd", k=50 + rng.randrange(26))) for _ in range(300)]
+    shared = [bytes(rng.choices(b"abcd", k=50)) for _ in range(20)]
+    partly = [bytes(rng.choices(b"abcd", k=9)) + x + bytes(rng.choices(b"abcd", k=7)) for x in shared for _ in range(3)]
+    texts = alone + partly + [alone[0]]
+    rng.shuffle(texts)
+    asked = [rng.randrange(40) for _ in texts]
+    counts = np.array([len(x) - 49 for x in texts], np.uint8)
+    table = pa.table({"chunk": [0], "bucket": pa.array([0], pa.int32()), "keys": [counts.tobytes() + b"".join(texts)], "lows": [np.array(asked, np.int64).tobytes()], "many": [b""]})
+    least: dict = {}
+    for i, x in zip(asked, texts):
+        for k in range(len(x) - 49):
+            least[x[k : k + 50]] = min(least.get(x[k : k + 50], 99), i)
+    sorted_bytes, whole = [], suffixdedup.suffix_array
+    monkeypatch.setattr(suffixdedup, "suffix_array", lambda t: (sorted_bytes.append(len(t)), whole(t))[1])
+    got = np.frombuffer(suffixdedup._sorted_shard(50, table).column("mask")[0].as_py(), np.uint32)
+    for i, x, mask in zip(asked, texts, got):
+        assert [int(mask) >> k & 1 for k in range(len(x) - 49)] == [int(least[x[k : k + 50]] < i) for k in range(len(x) - 49)]
+    assert sum(sorted_bytes) == sum(map(len, partly))
+
+
+def test_covered():
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 2, 3, 4, 50, 200):
+        for length in (1, 3, 50):
+            flags = rng.random(max(0, n - rng.integers(0, length))) < 0.05
+            want = [any(flags[max(0, i - length + 1) : i + 1]) for i in range(n)]
+            assert spans.covered(flags, length, n).tolist() == want
+
+
 def test_substring_dedup(table, empty):
     out = substring.remove_repeats(table)
     rows = out.select("row.doc_id", "n_words", "n_removed", F.lit(0), F.sha2("kept", 256)).collect()
