@@ -13,20 +13,21 @@ def components(links: DataFrame) -> DataFrame:
 
     Large-star and small-star steps: each step links a node's neighbours to the smallest of them, until nothing
     changes; the rounds grow with the logarithm of the number of nodes. Links meet their node's minimum in a
-    join, so a node with very many links is split like any skewed join key. An empty list gives no rows.
+    join, so a node with very many links is split like any skewed join key. An empty list gives no rows. A round reads its list
+    four times, in one plan that the driver can hold beside those of other rounds.
     """
     spark = links.sparkSession
     edges = written(links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "links")
     before = None
     while True:
-        both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v")))
+        small = large.join(least, "u").select(F.inline(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))))
         edges = written(small.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "links")
         state = edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if state == before:
+        if state == before or not state[0]:
             break
         before = state
     heads = edges.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))

@@ -241,8 +241,10 @@ def tile_pairs(rows: DataFrame, stats: DataFrame, tile: int, percent: int, bucke
     rows = rows.join(stats.select("token", "holders"), "token")
     whole = rows.where(F.col("holders") <= tile).select(F.pmod("token", F.lit(buckets)).alias("bucket"), "token", F.lit(0).alias("side"), "node", "n", "component", "bits")
     small = whole.groupBy("bucket").applyInArrow(lambda table: compare_tile(percent, table), "a long, b long")
+    if (stats.agg(F.max("holders")).first()[0] or 0) <= tile:
+        return small.distinct()
     large = rows.where(F.col("holders") > tile).withColumn("band", F.floor(F.log("n") / F.log(F.lit(BAND))).cast("int"))
-    blocks = large.groupBy("token", "band").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks"))
+    blocks = written(large.groupBy("token", "band").agg(F.ceil(F.count("*") / tile).cast("int").alias("blocks")), "blocks")
     large = large.join(blocks, ["token", "band"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     columns = ["node", "n", "component", "bits"]
     same = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
@@ -297,18 +299,20 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
             rows = rows.drop("component").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node"))
         return rows.select(F.explode("tokens").alias("token"), "node", "n", "component")
 
-    parts, links = None, None
+    def joined(found: DataFrame, parts: DataFrame) -> DataFrame:  # a link of each node to the head of its component stands for the former ones
+        return found.union(parts.select("component", "node"))
+
+    parts = None
     for seed, by_token in ((1, False), (2, True)):
         found = linked(plausible(star_pairs(listed(parts), percent, seed, by_token), sets, percent), sets, percent)
-        links = written(found if links is None else links.union(found), "links")
-        parts = written(components(links), "parts")
+        parts = written(components(found if parts is None else joined(found, parts)), "parts")
 
     stats = listed(parts).groupBy("token").agg(F.count("*").alias("holders"), F.min("component").alias("c0"), F.max("component").alias("c1"))
     mixed = written(stats.where("c0 <> c1"), "mixed")
     rows = listed(parts).join(sets.select("node", "bits"), "node")
     more = linked(tile_pairs(rows, mixed, tile, percent, buckets), sets, percent)
 
-    final = components(links.union(more))
+    final = components(joined(more, parts))
     known = nodes.select("node", F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "n").where("n > 0").groupBy("node").agg(F.min("id").alias("id"))
     placed = known.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     smallest = placed.groupBy("component").agg(F.min("id").alias("smallest"))

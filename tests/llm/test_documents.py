@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shopsight.llm import fingerprint, jaccard, mixing, packing, quality, spans, substring, suffix, suffixdedup
+from shopsight.llm import fingerprint, graph, jaccard, mixing, packing, quality, spans, substring, suffix, suffixdedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -195,6 +195,24 @@ def test_jaccard_components(table, empty, tile):
     assert jaccard.jaccard_components(empty).count() == 0
 
 
+def test_components_have_small_plans(spark, monkeypatch):
+    """What a round of the components plans, which the driver holds, reads its list four times; the components are those of a plain walk."""
+    rng = random.Random(4)
+    links = [(rng.randrange(300), rng.randrange(300)) for _ in range(220)] + [(500, i) for i in range(501, 600)] + [(i, i + 1) for i in range(700, 760)]
+    plans, whole = [], graph.written
+    monkeypatch.setattr(graph, "written", lambda df, label: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), whole(df, label))[1])
+    group = {x: x for pair in links if pair[0] != pair[1] for x in pair}
+    while any(group[a] != group[b] for a, b in links if a != b):
+        for a, b in links:
+            if a != b:
+                group[a] = group[b] = min(group[a], group[b])
+    got = graph.components(spark.createDataFrame(links, "a long, b long")).collect()
+    assert sorted(map(tuple, got)) == sorted(group.items())
+    assert len(plans) > 2 and all(x.count("Relation") <= 4 for x in plans[1:])
+    plans.clear()
+    assert graph.components(spark.createDataFrame([(1, 1)], "a long, b long")).count() == 0 and len(plans) == 2
+
+
 def test_fingerprints(table, empty):
     rows = sorted(((i, t or "") for i, t, *_ in _texts()), key=lambda r: (r[0] is None, -(r[0] or 0), r[1]))
     want = Counter()
