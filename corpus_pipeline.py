@@ -7,11 +7,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shopsight.llm import jaccard, mixing, packing, quality, scratch, substring, workers
 
+# Counts of the mixture: 4 + copies (3 at most, the mix's cap) in three bits a row.
+LANES, SLOTS = 16, 21
+PRESENT = sum(4 << 3 * i for i in range(SLOTS))
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the perplexity bands reject."""
@@ -41,16 +46,32 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the mix takes it; those that it leaves out go.
 
-    Rows are told apart by their contents, so equal or null ids share no count. What the mix takes of equal rows is added up.
+    Rows are told apart by their contents, so equal or null ids share no count. What the mix takes of equal rows is dealt out among them.
+    The counts go to the places of the rows in their files, three bits a row (`LANES` words of `SLOTS` rows in a block): half a byte a
+    document is broadcast up to far larger inputs than counts by key, and the texts then stay where they are. Rows that are not read from
+    files of their own are written first.
     """
     workers.importable(spark)
-    keyed = docs.withColumn("_key", F.xxhash64(*docs.columns))
+    try:
+        placed = docs.select("*", F.xxhash64("_metadata.file_path").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    except AnalysisException:
+        return mixture(spark, scratch.written(docs, "rows"), sf_dir)
+    keyed = placed.withColumn("_key", F.xxhash64(*docs.columns)).withColumn("_block", F.floor(F.col("_row") / (LANES * SLOTS)))
     taken = mixing.mix(keyed, id_column="_key").groupBy(F.col("doc_id").alias("_key")).agg(F.sum("copies").alias("_copies"), F.count("*").alias("_rows"))
-    taken = scratch.written(taken, "taken")
-    if (taken.agg(F.max("_rows")).first()[0] or 0) > 1:
-        keyed = keyed.dropDuplicates(docs.columns)
-    repeated = keyed.join(taken.where("_copies > 0"), "_key")
-    return repeated.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(docs.columns)
+    shared = keyed.select("_key", "_file", "_block", "_row").join(taken, "_key")
+    rank = F.row_number().over(Window.partitionBy("_key").orderBy("_file", "_row")) - 1
+    own = F.floor(F.col("_copies") / F.col("_rows")) + (rank < F.col("_copies") % F.col("_rows")).cast("long")
+    shared = shared.withColumn("_code", F.call_function("shiftleft", 4 + own, (F.col("_row") % SLOTS * 3).cast("int")))
+    lane = F.floor(F.col("_row") / SLOTS) % LANES
+    words = [F.bit_or(F.when(lane == i, F.col("_code"))).alias(f"_word{i}") for i in range(LANES)]
+    blocks = scratch.written(shared.groupBy("_file", "_block").agg(F.count("*").alias("_n"), *words), "blocks")
+    present = [F.bit_count(F.coalesce(F.col(f"_word{i}"), F.lit(0)).bitwiseAND(F.lit(PRESENT))) for i in range(LANES)]
+    if not blocks.where(F.col("_n") > sum(present[1:], present[0])).isEmpty():  # a place that several rows come from, as after a join
+        return mixture(spark, scratch.written(docs, "rows"), sf_dir)
+    repeated = keyed.join(blocks, ["_file", "_block"])
+    word = F.array(*[F.col(f"_word{i}") for i in range(LANES)])[lane.cast("int")]
+    copies = F.call_function("shiftright", word, (F.col("_row") % SLOTS * 3).cast("int")).bitwiseAND(F.lit(3)).cast("int")
+    return repeated.withColumn("_copy", F.explode(F.array_repeat(F.lit(1), copies))).select(docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

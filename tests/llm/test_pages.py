@@ -186,6 +186,33 @@ def test_mixing_stage_takes_rows_by_themselves(spark):
     assert corpus_pipeline.mixture(spark, docs.limit(0), "").count() == 0
 
 
+def test_mixing_stage_leaves_texts_in_place(spark):
+    """Counts too many to broadcast by key still meet their rows without moving the texts."""
+    docs = spark.range(20000).selectExpr("id AS doc_id", "concat('word ', id, ' more') AS text", "'en' AS lang", "concat('s', id % 5) AS source", "id AS n_chars")
+    docs = corpus_pipeline.scratch.written(docs, "test")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100000")
+    try:
+        out = corpus_pipeline.mixture(spark, docs, "")
+        taken = out.groupBy("doc_id").count().collect()
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange hashpartitioning" not in plan and "BroadcastHashJoin" in plan
+    want = corpus_pipeline.mixing.mix(docs.withColumn("_key", corpus_pipeline.F.xxhash64(*docs.columns)), id_column="_key").where("copies > 0")
+    assert sum(r["count"] for r in taken) == want.agg({"copies": "sum"}).first()[0]
+    assert sorted(r["count"] for r in taken) == sorted(r.copies for r in want.select("copies").collect())
+
+
+def test_mixing_stage_on_rows_that_share_a_place(spark):
+    docs = corpus_pipeline.scratch.written(spark.createDataFrame([(i, f"word {i} " * (1 + i % 7), "en", f"s{i % 3}", i) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars long"), "test")
+    twice = docs.join(spark.createDataFrame([(1,), (1,)], "one int"))
+    alone = twice.drop("one")
+    got = corpus_pipeline.mixture(spark, alone, "").collect()
+    want = corpus_pipeline.mixture(spark, corpus_pipeline.scratch.written(alone, "test"), "").collect()
+    assert sorted(got) == sorted(want) and got
+
+
 def test_pipeline_leaves_what_its_last_stage_reads(spark, folder, monkeypatch):
     texts = [" ".join(f"word{(i * 7 + k) % 211}" for k in range(80)) + "." for i in range(60)]
     rows = [(i, t, "en", "ab"[i % 2], len(t)) for i, t in enumerate(texts)]
