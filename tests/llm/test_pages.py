@@ -204,12 +204,15 @@ def test_mixing_stage_leaves_texts_in_place(spark):
     assert sorted(r["count"] for r in taken) == sorted(r.copies for r in want.select("copies").collect())
 
 
-def test_mixing_stage_on_rows_that_share_a_place(spark):
-    docs = corpus_pipeline.scratch.written(spark.createDataFrame([(i, f"word {i} " * (1 + i % 7), "en", f"s{i % 3}", i) for i in range(300)], "doc_id long, text string, lang string, source string, n_chars long"), "test")
-    twice = docs.join(spark.createDataFrame([(1,), (1,)], "one int"))
-    alone = twice.drop("one")
-    got = corpus_pipeline.mixture(spark, alone, "").collect()
-    want = corpus_pipeline.mixture(spark, corpus_pipeline.scratch.written(alone, "test"), "").collect()
+def test_mixing_stage_on_rows_that_share_a_place(spark, monkeypatch):
+    rows = [(i, f"word {i} " * (1 + i % 7), "en", f"s{i % 3}", i) for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    written, labels = corpus_pipeline.scratch.written, []
+    monkeypatch.setattr(corpus_pipeline.scratch, "written", lambda df, label: (labels.append(label), written(df, label))[1])
+    twice = written(docs, "test").selectExpr("*", "explode(array(1, 2)) AS one").drop("one")
+    got = corpus_pipeline.mixture(spark, twice, "").collect()
+    assert labels == ["blocks", "rows", "blocks"]
+    want = corpus_pipeline.mixture(spark, written(docs.union(docs), "test"), "").collect()
     assert sorted(got) == sorted(want) and got
 
 
