@@ -10,8 +10,9 @@ First every anchor gets its positives, the best rows of its own label. Each posi
 of its own, in which the best rows of other labels are its hard negatives.
 
 Anchors are a stated query set: they meet all rows block by block, in chunks of about CHUNK anchors, on a grid of (chunk, slice of
-the blocks), so that neither side is ever whole in one task. Spark chooses between shuffle and broadcast by the sizes of the two
-written tables. A task keeps a few rows per anchor; these are merged by a top-k per anchor. Labels play no part
+the blocks), so that neither side is ever whole in one task. Both sides are dealt out as rows of one table, the anchors of a cell before its
+blocks, so nothing passes through the driver and an anchor is sent once per slice. (Copies of the anchors for every slice are far larger than
+the table they come from, by whose size Spark would choose to broadcast them.) A task keeps a few rows per anchor; these are merged by a top-k per anchor. Labels play no part
 in the dealing, so a label that most rows have is no hot key. Equal vectors are equal candidates and never pair up beyond the top-k.
 
 Defined results: a row with a null label, a null vector, or a null or non-finite component takes no part. A component x becomes
@@ -35,7 +36,7 @@ from pyspark.sql.window import Window
 from . import scratch
 
 BLOCK = 4096
-CHUNK = 1024
+CHUNK = 4096
 SLICE = 16  # blocks to a slice at most; fewer where there would be fewer tasks than shuffle partitions
 STEP = 16  # dimensions read between two looks at the bounds
 FEW = 64  # candidates that are simply scored
@@ -219,7 +220,7 @@ def _negatives(anchor: dict, block: _Block, nulls: np.ndarray, tops: list[_Top])
 
 
 def _scan(best: int, visit, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Every chunk of anchors against its blocks; emits the best rows per anchor and place."""
+    """Every chunk of anchors against the blocks of a slice, which follow it; emits the best rows per anchor and place."""
     state: dict[int, list[_Top]] = {}
     anchors: list[dict] = []
     at = None
@@ -241,13 +242,14 @@ def _scan(best: int, visit, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Re
     for batch in batches:
         for i in range(batch.num_rows):
             row = batch.slice(i, 1).to_pylist()[0]
-            if row["chunk"] != at:
+            if (row["chunk"], row["slice"]) != at:
                 if state:
                     yield found()
-                at, anchors, state = row["chunk"], row["anchors"], {}
-                for a in anchors:
-                    a["numbers"] = np.frombuffer(a["vector"], np.int32)
-                    state[a["anchor"]] = [_Top(best) for _ in (a["scores"] or [None])]
+                at, anchors, state = (row["chunk"], row["slice"]), [], {}
+            if row["first"] is None:
+                anchors.append({"anchor": row["anchor"], "label": row["label"], "scores": row["scores"], "numbers": np.frombuffer(row["vector"], np.int32)})
+                state[row["anchor"]] = [_Top(best) for _ in (row["scores"] or [None])]
+                continue
             block = _Block(row)
             nulls = block.nulls(row)
             for a in anchors:
@@ -262,11 +264,10 @@ def _grid(blocks: DataFrame, n_blocks: int, anchors: DataFrame, n_anchors: int,
     chunks = max(1, -(-n_anchors // CHUNK))
     slices = max(1, -(-n_blocks // min(SLICE, max(1, chunks * n_blocks // (4 * partitions)))))
     tasks = min(chunks * slices, 16 * partitions)
-    pack = F.collect_list(F.struct("anchor", "label", "vector", "scores")).alias("anchors")
-    packed = anchors.groupBy(F.pmod(F.xxhash64("anchor"), F.lit(chunks)).cast("int").alias("chunk")).agg(pack)
-    packed = scratch.written(packed, "chunks").withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    dealt = blocks.withColumns({"slice": F.pmod(F.xxhash64("first"), F.lit(slices)).cast("int"), "chunk": F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))})
-    met = dealt.repartition(tasks, "chunk", "slice").join(packed, ["chunk", "slice"])
+    numbers = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    asking = anchors.select(F.pmod(F.xxhash64("anchor"), F.lit(chunks)).cast("int").alias("chunk"), numbers(slices).alias("slice"), "anchor", "label", "vector", "scores")
+    dealt = blocks.select("*", F.pmod(F.xxhash64("first"), F.lit(slices)).cast("int").alias("slice"), numbers(chunks).alias("chunk"))
+    met = dealt.unionByName(asking, allowMissingColumns=True).repartition(tasks, "chunk", "slice").sortWithinPartitions("chunk", "slice", F.col("first").asc_nulls_first())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return _scan(best, visit, batches)

@@ -215,6 +215,18 @@ def test_hard_negatives_of_nothing(spark):
     assert hardneg.mine(only, F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_hard_negatives_pass_no_anchors_through_the_driver(spark):
+    """Many slices: the copies of the anchors for them are dealt out, however small the table of anchors is."""
+    rng = random.Random(6)
+    rows = [(100 * i, i % 3, [rng.uniform(-1, 1) for _ in range(8)]) for i in range(300)]
+    typed = spark.createDataFrame(rows, "id long, label long, vector array<double>").repartition(6)
+    blocks = hardneg.scratch.written(typed.mapInArrow(hardneg._blocks, hardneg.BLOCK_SCHEMA), "blocks")
+    anchors = hardneg.scratch.written(hardneg._chosen(blocks, F.col("id") % 100 == 0, "id"), "anchors").withColumn("scores", F.lit(None).cast("array<long>"))
+    out = hardneg._grid(blocks, blocks.count(), anchors, 300, 5, hardneg._positives)
+    assert out.count() == 1500
+    assert "Broadcast" not in out._jdf.queryExecution().executedPlan().toString()
+
+
 def test_bounds_never_lose_a_candidate():
     """Small blocks, so that bounds of one prune the next."""
     import numpy as np
