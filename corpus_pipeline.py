@@ -21,7 +21,7 @@ PRESENT = sum(4 << 3 * i for i in range(SLOTS))
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither the base rules nor the perplexity bands reject."""
     workers.importable(spark)
-    return quality.judge(docs).where("kept").select("row.*").select(docs.columns)
+    return quality.judge(docs, by_words=True).where("kept").select("row.*").select(docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from shopsight.llm import fingerprint, graph, jaccard, mixing, packing, quality, spans, substring, suffix, suffixdedup
+from shopsight.llm import catalog, fingerprint, graph, jaccard, mixing, packing, quality, spans, substring, suffix, suffixdedup
 
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
@@ -435,3 +435,69 @@ def test_perplexity_model():
         return -model.log_probability(quality.gram_codes(raw, np.array([0, len(raw)]))).mean()
 
     assert nats(b"zq#k vx$ jjw") > 2 * nats(b"the cat sat on")
+
+
+def _word_log_perplexities(texts: list[str]) -> list[float]:
+    """Nats per word under a modified Kneser-Ney model of these texts' words, each 4-gram judged without one occurrence of itself; equal texts are one."""
+    rows = {t: [None] * 3 + re.findall(r"[^\x20\x09-\x0D]+", t) for t in texts}
+    levels = [Counter(tuple(r[k : k + 4]) for r in rows.values() for k in range(len(r) - 3))]
+    for _ in range(3):
+        levels.insert(0, Counter(g[1:] for g in levels[0]))
+    about = []
+    for grams in levels:
+        c = [sum(n == i for n in grams.values()) for i in range(1, 5)]
+        cut = [0.0, 0.5, 0.75, 0.9]
+        if min(c):
+            y = c[0] / (c[0] + 2 * c[1])
+            cut = [0.0, *[min(max(i - (i + 1) * y * c[i] / c[i - 1], 0.05), i - 0.05) for i in (1, 2, 3)]]
+        followers: dict = {}
+        for g, n in grams.items():
+            followers.setdefault(g[:-1], Counter())[g] = n
+        about.append((cut, followers))
+
+    def chance(g, out):
+        if not g:
+            return 1 / len(levels[0])
+        cut, followers = about[len(g) - 1]
+        n = followers[g[:-1]].copy()
+        lower = chance(g[1:], out and n[g] == 1)
+        n[g] -= out
+        total = sum(n.values())
+        return (n[g] - cut[min(n[g], 3)] + sum(cut[min(x, 3)] for x in n.values()) * lower) / total if total else lower
+
+    found = {t: [math.log(chance(tuple(r[k : k + 4]), 1)) for k in range(len(r) - 3)] for t, r in rows.items()}
+    return [-sum(found[t]) / max(len(found[t]), 1) for t in texts]
+
+
+def test_word_perplexities(spark):
+    """All n-grams of all words count, also those that differ only in what byte classes fold."""
+    rng = random.Random(21)
+    words = [rng.choice(["ab", "Ab", "aB", "é", "è", "ê", "漢", "x1", "x2"]) + rng.choice("aeiou") for _ in range(30)]
+    rows = [(lang, " ".join(rng.choice(words[: 6 + 3 * i]) for _ in range(rng.randrange(0, 90)))) for lang in ("en", None, "yy") for i in range(12)]
+    rows += [rows[3], rows[3], ("en", rows[14][1]), ("en", "alone"), ("yy", " \n"), (None, None), ("zz", "one two"), ("en", "q7 " * 60)]
+    rows = [(i, text, lang) for i, (lang, text) in enumerate(rows)]
+    want = {}
+    for lang in {r[2] for r in rows}:
+        own = [r for r in rows if r[2] == lang]
+        want |= dict(zip([r[0] for r in own], _word_log_perplexities([r[1] or "" for r in own])))
+    got = quality.judge(spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3), by_words=True).select("row.doc_id", "word_log_perplexity", "row.text", "row.lang").collect()
+    assert len(got) == len(rows)
+    for r in got:
+        assert abs(r.word_log_perplexity - want[r.doc_id]) < 1e-6
+    assert len({r.word_log_perplexity for r in got if (r.text, r.lang) == (rows[3][1], rows[3][2])}) == 1
+    assert quality.judge(spark.createDataFrame([], "doc_id long, text string, lang string"), by_words=True).count() == 0
+
+
+def test_quality_rules_judge_by_words(spark, folder):
+    """Texts of known syllables in words of no language are rejected; four byte classes at a time look like prose."""
+    rng = random.Random(22)
+    every = ["".join(rng.choice("tmsr") + rng.choice("aeo") for _ in range(4)) for _ in range(8000)]
+    words = every[:3000]
+    others = sorted(set(every) - set(words))
+    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randrange(80, 120))), "en") for i in range(200)]
+    rows += [(1000 + i, " ".join(rng.choice(others) for _ in range(100)), "en") for i in range(4)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(f"{folder}/documents.parquet")
+    plain = {r.doc_id: r.kept for r in quality.judge(spark.read.parquet(f"{folder}/documents.parquet")).select("row.doc_id", "kept").collect()}
+    got = {r.doc_id: r.kept for r in catalog.op9_quality_rules(spark, folder).collect()}
+    assert len(got) == len(rows) and sum(got[i] for i in range(200)) >= 198
+    assert any(plain[1000 + i] for i in range(4)) and not any(got[1000 + i] for i in range(4))
